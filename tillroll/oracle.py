@@ -1,4 +1,4 @@
-"""DuckDB SQL that rebuilds the retail tables from the driver's views.
+"""DuckDB SQL that rebuilds the retail and log tables from the driver's views.
 
 Used as the correctness oracle: each query key in ``__spark_entry__`` has a
 SQL twin written against the pre-registered views (region, nation, customer,
@@ -11,6 +11,9 @@ from __future__ import annotations
 TIERS = """CASE WHEN {b} < 45 THEN 'Bronze' WHEN {b} < 75 THEN 'Silver'
               WHEN {b} < 93 THEN 'Gold' ELSE 'Platinum' END"""
 
+BALANCE_TIERS = """CASE WHEN c_acctbal < 4500 THEN 'Bronze' WHEN c_acctbal < 7500 THEN 'Silver'
+              WHEN c_acctbal < 8700 THEN 'Gold' ELSE 'Platinum' END"""
+
 GEO = """geo AS (
   SELECT n_nationkey, r_name FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
@@ -26,12 +29,12 @@ RAW_TXN = """raw_txn AS (
               WHEN l_orderkey % 20 < 17 THEN 'Loyalty Points' ELSE 'Mobile Wallet' END AS payment_method
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
-TXN = """txn AS (
+TXN_ORDER = "transaction_date, customer_id, product_id, store_id, quantity, amount, payment_method"
+
+TXN = f"""txn AS (
   SELECT * FROM raw_txn
   WHERE quantity > 0 AND customer_id IS NOT NULL AND customer_id <> ''
-  QUALIFY row_number() OVER (PARTITION BY transaction_id
-      ORDER BY transaction_date, customer_id, product_id, store_id, quantity, amount,
-               payment_method) = 1)"""
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY {TXN_ORDER}) = 1)"""
 
 PRODUCTS = """products AS (
   SELECT CAST(p_partkey AS VARCHAR) AS product_id, p_type AS category,
@@ -91,8 +94,118 @@ loyalty AS (
   SELECT * FROM loyalty_union l
   WHERE EXISTS (SELECT 1 FROM dim_customer c WHERE c.is_current AND c.customer_id = l.customer_id))""")
 
-BASE = ",\n".join([GEO, RAW_TXN, TXN, PRODUCTS, STORES, CUSTOMERS, DIM_CUSTOMER, ENRICHED, LOYALTY])
+GOLD = """fact_sales AS (
+  SELECT month, region, category, CAST(SUM(amount) AS DOUBLE) AS revenue,
+         CAST(SUM(quantity) AS BIGINT) AS units, CAST(SUM(gross_margin) AS DOUBLE) AS gross_margin,
+         COUNT(transaction_id) AS transactions
+  FROM enriched GROUP BY month, region, category),
+fact_store AS (
+  SELECT store_id, store_format, region, CAST(SUM(amount) AS DOUBLE) AS revenue,
+         CAST(SUM(gross_margin) AS DOUBLE) AS gross_margin, COUNT(transaction_id) AS transactions
+  FROM enriched GROUP BY store_id, store_format, region),
+fact_tier AS (
+  SELECT loyalty_tier, COUNT(DISTINCT customer_id) AS customers, CAST(SUM(amount) AS DOUBLE) AS revenue,
+         CAST((2 * CAST(SUM(amount) * 100 AS HUGEINT) + COUNT(amount)) // (2 * COUNT(amount)) AS DOUBLE)
+           / 100 AS avg_basket
+  FROM enriched GROUP BY loyalty_tier),
+dim_date AS (
+  SELECT CAST(d AS DATE) AS date, CAST(year(d) AS BIGINT) AS year, 'Q' || CAST(quarter(d) AS VARCHAR) AS quarter,
+         monthname(d) AS month_name, strftime(d, '%Y-%m') AS month
+  FROM (SELECT unnest(generate_series(CAST(min(transaction_date) AS TIMESTAMP),
+                                      CAST(max(transaction_date) AS TIMESTAMP), INTERVAL 1 DAY)) AS d
+        FROM txn)),
+month_dim AS (SELECT DISTINCT month, year, quarter, month_name FROM dim_date)"""
+
+SCD = """day1 AS (
+  SELECT """ + CUSTOMER_COLS.format(tier=TIERS.format(b="c_custkey % 100")) + """,
+         DATE '2024-01-01' AS effective_from, CAST(NULL AS DATE) AS effective_to, TRUE AS is_current
+  FROM customer LEFT JOIN geo ON c_nationkey = n_nationkey WHERE c_acctbal >= 0),
+day2 AS (
+  SELECT """ + CUSTOMER_COLS.format(tier=BALANCE_TIERS) + """
+  FROM customer LEFT JOIN geo ON c_nationkey = n_nationkey WHERE c_acctbal < 9000),
+scd_new AS (
+  SELECT s.* FROM day2 s
+  WHERE NOT EXISTS (SELECT 1 FROM day1 d WHERE d.is_current AND d.customer_id = s.customer_id
+                    AND NOT coalesce(d.loyalty_tier <> s.loyalty_tier, FALSE))),
+scd_merged AS (
+  SELECT * FROM day1 WHERE NOT is_current
+  UNION ALL
+  SELECT d.customer_id, d.region, d.loyalty_tier, d.signup_date, d.email_opt_in, d.effective_from,
+         CASE WHEN coalesce(d.loyalty_tier <> s.loyalty_tier, FALSE) THEN DATE '2024-02-01'
+              ELSE d.effective_to END,
+         CASE WHEN coalesce(d.loyalty_tier <> s.loyalty_tier, FALSE) THEN FALSE ELSE d.is_current END
+  FROM day1 d LEFT JOIN day2 s ON d.customer_id = s.customer_id WHERE d.is_current
+  UNION ALL
+  SELECT *, DATE '2024-02-01', CAST(NULL AS DATE), TRUE FROM scd_new)"""
+
+LOGS = """runs AS (
+  SELECT ts AS TimeGenerated,
+         CASE WHEN user_id % 3 = 2 THEN 'pl_customer_sync' ELSE 'pl_medallion_refresh' END AS PipelineName,
+         CASE WHEN event_type = 'error' THEN 'Failed' ELSE 'Succeeded' END AS Status,
+         ts AS Start, ts + to_microseconds(CAST(round(value * 60000000) AS BIGINT)) AS "End"
+  FROM events),
+activities AS (
+  SELECT ts AS TimeGenerated,
+         CASE WHEN user_id % 3 = 2 THEN 'pl_customer_sync' ELSE 'pl_medallion_refresh' END AS PipelineName,
+         CASE CAST(json_extract_string(props, '$.k') AS INTEGER) % 4
+              WHEN 0 THEN 'copy_source_extracts_to_landing' WHEN 1 THEN 'validate_landing_row_counts'
+              WHEN 2 THEN 'trigger_databricks_medallion_job' ELSE 'run_dq_suite_gate' END AS ActivityName,
+         CASE WHEN event_type = 'error' THEN 'Failed' ELSE 'Succeeded' END AS Status
+  FROM events),
+jobs AS (
+  SELECT ts AS TimeGenerated,
+         CASE WHEN event_type IN ('purchase', 'view', 'error') THEN 'medallion_daily_refresh'
+              ELSE 'customer_sync' END AS JobName,
+         value AS DurationMinutes
+  FROM events),
+blobs AS (
+  SELECT TIMESTAMP '2024-01-01 00:00:00' + CAST(page_id AS INTEGER) * INTERVAL 1 HOUR AS TimeGenerated,
+         url AS Uri, CAST(length(html) AS BIGINT) AS ResponseBodySize
+  FROM pages),
+metrics AS (
+  SELECT ts AS TimeGenerated,
+         CASE WHEN event_type = 'signup' THEN 'MICROSOFT.STORAGE' ELSE 'MICROSOFT.DATABRICKS' END AS ResourceProvider,
+         CASE WHEN event_type IN ('purchase', 'view', 'click') THEN 'DBUUsage' ELSE 'CPUUsage' END AS MetricName,
+         value AS Total
+  FROM events),
+inventory AS (
+  SELECT CASE WHEN o_orderstatus = 'F' THEN 'bronze' WHEN o_orderstatus = 'O' THEN 'silver' ELSE 'gold' END
+           || '/orders/' || CAST(o_orderkey AS VARCHAR) || '.parquet' AS path,
+         o_orderdate AS modified, o_totalprice / 1000.0 AS size_gb, o_orderstatus = 'P' AS is_version
+  FROM orders)"""
+
+RETAIL = ",\n".join([GEO, RAW_TXN, TXN, PRODUCTS, STORES, CUSTOMERS, DIM_CUSTOMER, ENRICHED,
+                     LOYALTY, GOLD, SCD])
 
 
 def with_base(select: str) -> str:
-    return "WITH " + BASE + "\n" + select
+    return "WITH " + RETAIL + "\n" + select
+
+
+def with_logs(select: str) -> str:
+    return "WITH " + LOGS + "\n" + select
+
+
+def q(s: str) -> str:
+    """Quote a Python string as a SQL literal."""
+    return "'" + s.replace("'", "''") + "'"
+
+
+def ratio_check(name: str, table: str, num: str, den: str, threshold: float, tail: str,
+                source: str) -> str:
+    """One check-result row in SQL (same rules as operators.dq)."""
+    return f"""SELECT {q(name)} AS check_name, {q(table)} AS "table",
+       CASE WHEN score >= {threshold!r} THEN 'PASS' ELSE 'FAIL' END AS status,
+       round(score, 4) AS metric_value, CAST({threshold!r} AS DOUBLE) AS threshold,
+       format('{{:,}}/{{:,}}', n, d) || {q(tail)} AS detail
+FROM (SELECT n, d, coalesce(CAST(n AS DOUBLE) / NULLIF(CAST(d AS DOUBLE), 0), 0.0) AS score
+      FROM (SELECT {num} AS n, {den} AS d FROM {source}))"""
+
+
+def freshness_check(table: str, col: str, max_age: int, as_of: str, source: str) -> str:
+    return f"""SELECT 'freshness' AS check_name, {q(table)} AS "table",
+       CASE WHEN age IS NOT NULL AND age <= {max_age} THEN 'PASS' ELSE 'FAIL' END AS status,
+       CAST(age AS DOUBLE) AS metric_value, CAST({max_age} AS DOUBLE) AS threshold,
+       CASE WHEN total = 0 THEN 'Table is empty' WHEN age IS NULL THEN 'No dated records'
+            ELSE 'Latest record is ' || CAST(age AS VARCHAR) || ' days old (max allowed: {max_age})' END AS detail
+FROM (SELECT count(*) AS total, date_diff('day', max(CAST({col} AS DATE)), DATE '{as_of}') AS age FROM {source})"""

@@ -1,31 +1,492 @@
 """The comparable queries, one per operator of the inventory.
 
 Every query reads the whole driver tables through the binding; none runs on
-fixed or made-up input. The SQL twin of each is in the same register call.
+fixed or made-up input. The SQL twin of each is given in its register call.
+Output columns are aliased identically on both sides; decimals are reported
+as double; clock stamps are left out.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll import oracle as O
-from tillroll.operators import gold, silver
-from tillroll.plans import retail
+from tillroll.operators import dq, gold, oplog, scd2, silver
+from tillroll.plans import retail, semantic
 from tillroll.plans.registry import register
 from tillroll.sources import binding
 
 W = O.with_base
+L = O.with_logs
+
+SUITE_AS_OF = "2004-01-01"
+SCD2_AS_OF = "2024-02-01"
+LOG_AS_OF = "2024-01-31 00:00:00"
+STORAGE_AS_OF = "2001-09-01"
+LANDING_MINIMUMS = {"customers": 1, "products": 1, "stores": 1, "transactions": 1,
+                    "loyalty_events": 1}
+
+
+def out(df: DataFrame) -> DataFrame:
+    """Report decimals as double; everything else unchanged."""
+    cols = [F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, T.DecimalType)
+            else F.col(f.name) for f in df.schema.fields]
+    return df.select(*cols)
+
+
+TXN_COLS = ("transaction_id, customer_id, product_id, store_id, transaction_date, quantity, "
+            "CAST(amount AS DOUBLE) AS amount, payment_method")
+
+
+def _typed_txn(spark, sf):
+    return silver.type_table(binding.raw_transactions(spark, sf), "transactions")
+
 
 # ---------------------------------------------------------------------------
-# Gold aggregates
+# Silver: casts, filters, dedupe
 # ---------------------------------------------------------------------------
 
 
-@register("sales_by_region_category_month", W("""
-SELECT month, region, category, CAST(SUM(amount) AS DOUBLE) AS revenue,
-       CAST(SUM(quantity) AS BIGINT) AS units, CAST(SUM(gross_margin) AS DOUBLE) AS gross_margin,
-       COUNT(transaction_id) AS transactions
-FROM enriched GROUP BY month, region, category"""))
+@register("coerce_cast", W(f"SELECT {TXN_COLS} FROM raw_txn"))
+def q_coerce_cast(spark: SparkSession, sf: str) -> DataFrame:
+    return out(_typed_txn(spark, sf))
+
+
+@register("positive_quantity", W(f"SELECT {TXN_COLS} FROM raw_txn WHERE quantity > 0"))
+def q_positive_quantity(spark, sf):
+    return out(silver.positive_quantity(_typed_txn(spark, sf)))
+
+
+@register("present_key", W(f"""SELECT {TXN_COLS} FROM raw_txn
+WHERE customer_id IS NOT NULL AND customer_id <> ''"""))
+def q_present_key(spark, sf):
+    return out(silver.present_key(_typed_txn(spark, sf)))
+
+
+@register("event_type_in", W("""SELECT event_id, customer_id, event_date, event_type, points
+FROM loy_rt WHERE event_type IN ('earn', 'redeem', 'expire')"""))
+def q_event_type_in(spark, sf):
+    return retail.typed_realtime(spark, sf)
+
+
+@register("dedupe_transactions", W(f"""SELECT {TXN_COLS} FROM raw_txn
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY {O.TXN_ORDER}) = 1"""))
+def q_dedupe(spark, sf):
+    return out(silver.dedupe(_typed_txn(spark, sf), ["transaction_id"],
+                             [F.col(c).asc_nulls_last() for c in silver.TXN_ORDER]))
+
+
+@register("cleanse_transactions", W(f"SELECT {TXN_COLS} FROM txn"))
+def q_cleanse(spark, sf):
+    return out(silver.cleanse_transactions(binding.raw_transactions(spark, sf), stamp=False))
+
+
+@register("reject_accounting", W("""SELECT total, clean, total - clean AS rejected, bad_quantity,
+       missing_customer, passing - clean AS duplicates,
+       coalesce(CAST(clean AS DOUBLE) / NULLIF(CAST(total AS DOUBLE), 0), 0.0) AS pass_rate
+FROM (SELECT count(*) AS total,
+             count_if(NOT coalesce(quantity > 0, FALSE)) AS bad_quantity,
+             count_if(quantity > 0 AND NOT (customer_id IS NOT NULL AND customer_id <> '')) AS missing_customer,
+             count_if(quantity > 0 AND customer_id IS NOT NULL AND customer_id <> '') AS passing,
+             (SELECT count(*) FROM txn) AS clean
+      FROM raw_txn)"""))
+def q_reject_accounting(spark, sf):
+    return silver.reject_accounting(binding.raw_transactions(spark, sf))
+
+
+@register("gross_margin", W("""SELECT transaction_id, CAST(amount AS DOUBLE) AS amount,
+       CAST(cost_price_pct AS DOUBLE) AS cost_price_pct, CAST(gross_margin AS DOUBLE) AS gross_margin
+FROM enriched"""))
+def q_gross_margin(spark, sf):
+    return out(retail.enriched(spark, sf).select("transaction_id", "amount", "cost_price_pct",
+                                                 "gross_margin"))
+
+
+@register("month_key", W("SELECT transaction_id, transaction_date, month FROM enriched"))
+def q_month_key(spark, sf):
+    return retail.enriched(spark, sf).select("transaction_id", "transaction_date", "month")
+
+
+# ---------------------------------------------------------------------------
+# Joins and feeds
+# ---------------------------------------------------------------------------
+
+
+@register("enrich_left_joins", W(f"""SELECT {TXN_COLS}, category, CAST(cost_price_pct AS DOUBLE) AS cost_price_pct,
+       region, store_format, loyalty_tier, CAST(gross_margin AS DOUBLE) AS gross_margin, month
+FROM enriched"""))
+def q_enrich(spark, sf):
+    return out(retail.enriched(spark, sf))
+
+
+@register("loyalty_semi_join", W("SELECT event_id, customer_id, event_date, event_type, points FROM loyalty"))
+def q_loyalty_semi(spark, sf):
+    return retail.silver_tables(spark, sf).loyalty
+
+
+@register("loyalty_feed_union", W("SELECT * FROM loyalty_union"))
+def q_feed_union(spark, sf):
+    batch = silver.event_type_in(silver.type_table(binding.raw_loyalty_events(spark, sf), "loyalty_events"))
+    return silver.union_feeds(batch, retail.typed_realtime(spark, sf))
+
+
+@register("new_or_changed_anti_join", W("SELECT * FROM scd_new"))
+def q_new_or_changed(spark, sf):
+    day1, day2 = retail.scd2_snapshots(spark, sf)
+    return scd2.new_or_changed(day2, day1, ["customer_id"], ["loyalty_tier"])
+
+
+# ---------------------------------------------------------------------------
+# SCD2 (C1-C4)
+# ---------------------------------------------------------------------------
+
+
+@register("scd2_initial", W("SELECT * FROM day1"))
+def q_scd2_initial(spark, sf):
+    return retail.scd2_snapshots(spark, sf)[0]
+
+
+@register("scd2_merge", W("SELECT * FROM scd_merged"))
+def q_scd2_merge(spark, sf):
+    day1, day2 = retail.scd2_snapshots(spark, sf)
+    return scd2.scd2_merge(day1, day2, ["customer_id"], ["loyalty_tier"], SCD2_AS_OF)
+
+
+@register("scd2_current", W("SELECT * FROM scd_merged WHERE is_current"))
+def q_scd2_current(spark, sf):
+    return scd2.current_rows(q_scd2_merge(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Gold aggregates and top-k
+# ---------------------------------------------------------------------------
+
+
+@register("sales_by_region_category_month", W("SELECT * FROM fact_sales"))
 def q_sales(spark: SparkSession, sf: str) -> DataFrame:
     return gold.sales_by_region_category_month(retail.enriched(spark, sf))
+
+
+@register("loyalty_tier_value", W("SELECT * FROM fact_tier"))
+def q_tier_value(spark, sf):
+    return gold.loyalty_tier_value(retail.enriched(spark, sf))
+
+
+@register("store_performance", W("SELECT * FROM fact_store"))
+def q_store_performance(spark, sf):
+    return gold.store_performance(retail.enriched(spark, sf))
+
+
+@register("points_liability", W("""SELECT event_type, CAST(SUM(points) AS BIGINT) AS points
+FROM loyalty GROUP BY event_type"""))
+def q_points(spark, sf):
+    return gold.points_liability(retail.silver_tables(spark, sf).loyalty)
+
+
+@register("points_liability_net", W("""SELECT event_type, CAST(SUM(points) AS BIGINT) AS points,
+       GROUPING(event_type) = 1 AS is_total
+FROM loyalty GROUP BY ROLLUP (event_type)"""))
+def q_points_net(spark, sf):
+    return gold.points_liability_net(retail.silver_tables(spark, sf).loyalty)
+
+
+@register("top_stores", W("""SELECT store_id, region, revenue FROM fact_store
+ORDER BY revenue DESC, store_id LIMIT 5"""))
+def q_top_stores(spark, sf):
+    return gold.top_stores(gold.store_performance(retail.enriched(spark, sf)), 5)
+
+
+# ---------------------------------------------------------------------------
+# Data quality
+# ---------------------------------------------------------------------------
+
+_LANDING_SQL = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST(1 AS BIGINT) AS minimum, "
+    f"CASE WHEN count(*) >= 1 THEN 'PASS' ELSE 'FAIL' END AS status FROM {src}"
+    for t, src in [("customers", "customers"), ("products", "products"), ("stores", "stores"),
+                   ("transactions", "raw_txn"), ("loyalty_events", "loy_batch")])
+
+
+@register("landing_row_counts", W(_LANDING_SQL))
+def q_landing(spark, sf):
+    return dq.landing_row_counts(retail.bronze(spark, sf), LANDING_MINIMUMS)
+
+
+def _no_ts(df: DataFrame) -> DataFrame:
+    return df.drop("run_ts")
+
+
+_TXN_REQUIRED = ["customer_id", "product_id", "amount"]
+
+_SQL_COMPLETENESS = O.ratio_check(
+    "completeness", "transactions",
+    "count_if(customer_id IS NOT NULL AND product_id IS NOT NULL AND amount IS NOT NULL)",
+    "count(*)", 0.98, f" rows complete across {_TXN_REQUIRED}", "txn")
+_SQL_TXN_UNIQUE = O.ratio_check("uniqueness", "transactions", "count(DISTINCT transaction_id)",
+                                "count(*)", 0.999, " unique values for transaction_id", "txn")
+_SQL_TXN_RI = O.ratio_check(
+    "referential_integrity", "transactions", "count_if(k.customer_id IS NOT NULL)", "count(*)", 0.99,
+    " rows have a valid customer_id reference",
+    "txn t LEFT JOIN (SELECT DISTINCT customer_id FROM dim_customer WHERE is_current) k "
+    "ON t.customer_id = k.customer_id")
+_SQL_TXN_FRESH = O.freshness_check("transactions", "transaction_date", 3650, SUITE_AS_OF, "txn")
+_SQL_CUST_UNIQUE = O.ratio_check("uniqueness", "dim_customer", "count(DISTINCT customer_id)",
+                                 "count(*)", 0.999, " unique values for customer_id",
+                                 "(SELECT * FROM dim_customer WHERE is_current)")
+_SQL_LOY_RI = O.ratio_check(
+    "referential_integrity", "loyalty_events", "count_if(k.customer_id IS NOT NULL)", "count(*)", 0.99,
+    " rows have a valid customer_id reference",
+    "loyalty l LEFT JOIN (SELECT DISTINCT customer_id FROM dim_customer WHERE is_current) k "
+    "ON l.customer_id = k.customer_id")
+
+
+@register("dq_completeness", W(_SQL_COMPLETENESS))
+def q_dq_completeness(spark, sf):
+    s = retail.silver_tables(spark, sf)
+    return _no_ts(dq.check_completeness(s.transactions, "transactions", _TXN_REQUIRED, 0.98))
+
+
+@register("dq_uniqueness", W(O.ratio_check(
+    "uniqueness", "bronze_transactions", "count(DISTINCT transaction_id)", "count(*)", 0.999,
+    " unique values for transaction_id", "raw_txn")))
+def q_dq_uniqueness(spark, sf):
+    """Uniqueness before the dedupe: the raw feed repeats transaction ids."""
+    return _no_ts(dq.check_uniqueness(binding.raw_transactions(spark, sf), "bronze_transactions",
+                                      "transaction_id", 0.999))
+
+
+@register("dq_referential_integrity", W(O.ratio_check(
+    "referential_integrity", "loyalty_events_unfiltered", "count_if(k.customer_id IS NOT NULL)",
+    "count(*)", 0.99, " rows have a valid customer_id reference",
+    "loyalty_union l LEFT JOIN (SELECT DISTINCT customer_id FROM dim_customer WHERE is_current) k "
+    "ON l.customer_id = k.customer_id")))
+def q_dq_ri(spark, sf):
+    """Integrity of the unioned loyalty feed before the integrity filter."""
+    s = retail.silver_tables(spark, sf)
+    union = q_feed_union(spark, sf)
+    return _no_ts(dq.check_referential_integrity(union, "loyalty_events_unfiltered", "customer_id",
+                                                 s.current_customers.select("customer_id"), 0.99))
+
+
+@register("dq_freshness", W(_SQL_TXN_FRESH))
+def q_dq_freshness(spark, sf):
+    s = retail.silver_tables(spark, sf)
+    return _no_ts(dq.check_freshness(s.transactions, "transactions", "transaction_date", 3650,
+                                     as_of=SUITE_AS_OF))
+
+
+@register("dq_suite", W("\nUNION ALL\n".join([_SQL_COMPLETENESS, _SQL_TXN_UNIQUE, _SQL_TXN_RI,
+                                              _SQL_TXN_FRESH, _SQL_CUST_UNIQUE, _SQL_LOY_RI])))
+def q_dq_suite(spark, sf):
+    s = retail.silver_tables(spark, sf)
+    return _no_ts(dq.silver_suite(s.transactions, s.dim_customer, s.loyalty, SUITE_AS_OF))
+
+
+@register("dq_pass_rate", W("""SELECT 'pass_rate' AS check_name, 'transactions' AS "table",
+       CASE WHEN score >= 0.95 THEN 'PASS' ELSE 'FAIL' END AS status, round(score, 4) AS metric_value,
+       CAST(0.95 AS DOUBLE) AS threshold,
+       format('{:,} clean / {:,} total ({:,} rejected)', clean, total, total - clean) AS detail
+FROM (SELECT clean, total, coalesce(CAST(clean AS DOUBLE) / NULLIF(CAST(total AS DOUBLE), 0), 0.0) AS score
+      FROM (SELECT (SELECT count(*) FROM txn) AS clean, count(*) AS total FROM raw_txn))"""))
+def q_dq_pass_rate(spark, sf):
+    acc = silver.reject_accounting(binding.raw_transactions(spark, sf))
+    return _no_ts(dq.check_pass_rate(acc, "transactions", 0.95))
+
+
+# ---------------------------------------------------------------------------
+# Semantic model (H1-H9)
+# ---------------------------------------------------------------------------
+
+
+def _facts(spark, sf):
+    g = retail.gold_tables(spark, sf)
+    return g["sales_by_region_category_month"], g["store_performance"], g["loyalty_tier_value"]
+
+
+def _dates(spark, sf):
+    return semantic.dim_date(retail.silver_tables(spark, sf).transactions)
+
+
+MONEY_SUM = "CAST(SUM(CAST({c} AS DECIMAL(38,2))) AS DOUBLE)"
+REV = MONEY_SUM.format(c="revenue")
+GM = MONEY_SUM.format(c="gross_margin")
+
+
+@register("total_revenue", W(f"SELECT region, {REV} AS total_revenue FROM fact_sales GROUP BY region"))
+def q_total_revenue(spark, sf):
+    return semantic.total_revenue(_facts(spark, sf)[0], ["region"])
+
+
+@register("gross_margin_pct", W(f"""SELECT category, {GM} / NULLIF({REV}, 0) AS gross_margin_pct
+FROM fact_sales GROUP BY category"""))
+def q_gm_pct(spark, sf):
+    return semantic.gross_margin_pct(_facts(spark, sf)[0], ["category"])
+
+
+@register("revenue_per_transaction", W(f"""SELECT month,
+       {REV} / NULLIF(CAST(CAST(SUM(transactions) AS BIGINT) AS DOUBLE), 0) AS revenue_per_transaction
+FROM fact_sales GROUP BY month"""))
+def q_rev_per_tx(spark, sf):
+    return semantic.revenue_per_transaction(_facts(spark, sf)[0], ["month"])
+
+
+@register("yoy_revenue_growth", W("""SELECT month, region, revenue, prior_year_revenue,
+       (revenue - prior_year_revenue) / NULLIF(prior_year_revenue, 0) AS yoy_revenue_growth
+FROM (
+  SELECT coalesce(c.month, p.month) AS month, coalesce(c.region, p.region) AS region,
+         CAST(coalesce(c.cur, 0) AS DOUBLE) AS revenue, CAST(p.prior AS DOUBLE) AS prior_year_revenue
+  FROM (SELECT month, region, SUM(CAST(revenue AS DECIMAL(38,2))) AS cur FROM fact_sales GROUP BY month, region) c
+  FULL OUTER JOIN (
+    SELECT strftime(CAST(month || '-01' AS DATE) + INTERVAL 12 MONTH, '%Y-%m') AS month, region,
+           SUM(CAST(revenue AS DECIMAL(38,2))) AS prior
+    FROM fact_sales GROUP BY month, region) p
+  ON c.month = p.month AND c.region IS NOT DISTINCT FROM p.region)
+WHERE month IN (SELECT month FROM month_dim)"""))
+def q_yoy(spark, sf):
+    return semantic.yoy_revenue_growth(_facts(spark, sf)[0], _dates(spark, sf), ["region"])
+
+
+@register("avg_revenue_per_store", W(f"""SELECT store_format,
+       {REV} / NULLIF(CAST(count(revenue) AS DOUBLE), 0) AS avg_revenue_per_store
+FROM fact_store GROUP BY store_format"""))
+def q_avg_rev_store(spark, sf):
+    return semantic.avg_revenue_per_store(_facts(spark, sf)[1], ["store_format"])
+
+
+@register("revenue_per_customer", W(f"""SELECT loyalty_tier,
+       {REV} / NULLIF(CAST(CAST(SUM(customers) AS BIGINT) AS DOUBLE), 0) AS revenue_per_customer
+FROM fact_tier GROUP BY loyalty_tier"""))
+def q_rev_per_cust(spark, sf):
+    return semantic.revenue_per_customer(_facts(spark, sf)[2], ["loyalty_tier"])
+
+
+@register("dim_date", W("SELECT * FROM dim_date"))
+def q_dim_date(spark, sf):
+    return _dates(spark, sf)
+
+
+@register("calendar_rollup", W(f"""SELECT year, quarter, month, {REV} AS revenue,
+       CAST(GROUPING(year, quarter, month) AS BIGINT) AS level
+FROM fact_sales JOIN month_dim USING (month) GROUP BY ROLLUP (year, quarter, month)"""))
+def q_calendar_rollup(spark, sf):
+    return semantic.calendar_rollup(_facts(spark, sf)[0], _dates(spark, sf))
+
+
+@register("executive_summary", W(f"""
+SELECT 'Total Revenue' AS measure, {REV} AS value FROM fact_sales
+UNION ALL SELECT 'Gross Margin %', {GM} / NULLIF({REV}, 0) FROM fact_sales
+UNION ALL SELECT 'Revenue per Transaction',
+       {REV} / NULLIF(CAST(CAST(SUM(transactions) AS BIGINT) AS DOUBLE), 0) FROM fact_sales
+UNION ALL SELECT 'Revenue per Loyalty Customer',
+       {REV} / NULLIF(CAST(CAST(SUM(customers) AS BIGINT) AS DOUBLE), 0) FROM fact_tier"""))
+def q_exec_summary(spark, sf):
+    sales, _, tiers = _facts(spark, sf)
+    return semantic.executive_summary(sales, tiers)
+
+
+@register("store_operations", W(f"""SELECT region, store_format, count(*) AS stores, {REV} AS revenue,
+       {REV} / NULLIF(CAST(count(revenue) AS DOUBLE), 0) AS avg_revenue_per_store,
+       {GM} / NULLIF({REV}, 0) AS gross_margin_pct
+FROM fact_store GROUP BY region, store_format"""))
+def q_store_ops(spark, sf):
+    return semantic.store_operations(_facts(spark, sf)[1])
+
+
+# ---------------------------------------------------------------------------
+# Operations logs, alerts, storage
+# ---------------------------------------------------------------------------
+
+SINCE = "TimeGenerated > TIMESTAMP '" + LOG_AS_OF + "' - INTERVAL {d} DAY"
+
+
+@register("run_history", L(f"""SELECT TimeGenerated, Status, Start, "End",
+       (epoch_us("End") - epoch_us(Start)) // 1000 AS DurationMs
+FROM runs WHERE {SINCE.format(d=7)} AND PipelineName = 'pl_medallion_refresh'"""))
+def q_run_history(spark, sf):
+    return oplog.run_history(binding.pipeline_runs(spark, sf), LOG_AS_OF)
+
+
+@register("failures_by_activity", L(f"""SELECT ActivityName, count(*) AS FailureCount FROM activities
+WHERE {SINCE.format(d=30)} AND PipelineName = 'pl_medallion_refresh' AND Status = 'Failed'
+GROUP BY ActivityName"""))
+def q_failures(spark, sf):
+    return oplog.failures_by_activity(binding.activity_runs(spark, sf), LOG_AS_OF)
+
+
+@register("duration_trend", L(f"""SELECT CAST(CAST(TimeGenerated AS DATE) AS TIMESTAMP) AS TimeGenerated,
+       CAST(SUM(CAST(DurationMinutes AS DECIMAL(18,2))) AS DOUBLE) / count(DurationMinutes) AS AvgDurationMin,
+       max(DurationMinutes) AS MaxDurationMin
+FROM jobs WHERE {SINCE.format(d=30)} AND JobName = 'medallion_daily_refresh'
+GROUP BY 1"""))
+def q_duration(spark, sf):
+    return oplog.duration_trend(binding.job_runs(spark, sf), LOG_AS_OF)
+
+
+@register("volume_by_path_segment", L(f"""SELECT coalesce(split(Uri, '/')[4], '') AS Uri,
+       count(*) AS TransactionCount, CAST(sum(ResponseBodySize) AS BIGINT) AS TotalBytes
+FROM blobs WHERE {SINCE.format(d=30)} GROUP BY 1"""))
+def q_volume(spark, sf):
+    return oplog.volume_by_path_segment(binding.blob_logs(spark, sf), LOG_AS_OF)
+
+
+@register("daily_usage", L(f"""SELECT CAST(CAST(TimeGenerated AS DATE) AS TIMESTAMP) AS TimeGenerated,
+       CAST(SUM(CAST(Total AS DECIMAL(18,2))) AS DOUBLE) AS DailyDBUs
+FROM metrics WHERE {SINCE.format(d=30)} AND ResourceProvider = 'MICROSOFT.DATABRICKS'
+  AND MetricName = 'DBUUsage' GROUP BY 1"""))
+def q_daily_usage(spark, sf):
+    return oplog.daily_usage(binding.azure_metrics(spark, sf), LOG_AS_OF)
+
+
+def _alert_sql(src: str, pred: str, minutes: int, alert: str, severity: int) -> str:
+    return L(f"""SELECT time_bucket(INTERVAL {minutes} MINUTE, TimeGenerated) AS window_start,
+       time_bucket(INTERVAL {minutes} MINUTE, TimeGenerated) + INTERVAL {minutes} MINUTE AS window_end,
+       '{alert}' AS alert, {severity} AS severity, count(*) AS hits
+FROM {src} WHERE {pred} GROUP BY 1, 2""")
+
+
+@register("alert_failed_runs", _alert_sql(
+    "runs", "Status = 'Failed' AND PipelineName = 'pl_medallion_refresh'", 15, "pipeline_failure", 1))
+def q_alert_failed(spark, sf):
+    return oplog.alert_failed_runs(binding.pipeline_runs(spark, sf))
+
+
+@register("alert_gate_failed", _alert_sql(
+    "activities", "ActivityName = 'run_dq_suite_gate' AND Status = 'Failed'", 15, "dq_gate_failure", 2))
+def q_alert_gate(spark, sf):
+    return oplog.alert_gate_failed(binding.activity_runs(spark, sf))
+
+
+@register("alert_runtime", _alert_sql(
+    "jobs", "JobName = 'medallion_daily_refresh' AND DurationMinutes > 90", 30, "runtime_exceeded", 3))
+def q_alert_runtime(spark, sf):
+    return oplog.alert_runtime(binding.job_runs(spark, sf))
+
+
+_TIER_SQL = f"""tiers AS (
+  SELECT path, size_gb, age_days,
+         CASE WHEN is_version AND (path LIKE 'bronze/%' OR path LIKE 'silver/%' OR path LIKE 'gold/%')
+                   AND age_days > 90 THEN 'delete'
+              WHEN is_version THEN 'hot'
+              WHEN path LIKE 'bronze/%' AND age_days > 730 THEN 'delete'
+              WHEN path LIKE 'bronze/%' AND age_days > 90 THEN 'archive'
+              WHEN path LIKE 'bronze/%' AND age_days > 30 THEN 'cool'
+              ELSE 'hot' END AS tier
+  FROM (SELECT *, CAST(date_diff('day', CAST(modified AS DATE), DATE '{STORAGE_AS_OF}') AS INTEGER) AS age_days
+        FROM inventory))"""
+
+
+@register("storage_tiers", "WITH " + O.LOGS + ",\n" + _TIER_SQL + "\nSELECT * FROM tiers")
+def q_storage_tiers(spark, sf):
+    return oplog.storage_tiers(binding.object_inventory(spark, sf), STORAGE_AS_OF)
+
+
+@register("storage_cost", "WITH " + O.LOGS + ",\n" + _TIER_SQL + """
+SELECT tier, count(*) AS objects, CAST(SUM(CAST(size_gb AS DECIMAL(20,6))) AS DOUBLE) AS size_gb,
+       CAST(SUM(CAST(size_gb AS DECIMAL(20,6)) * CASE tier WHEN 'hot' THEN 0.38 WHEN 'cool' THEN 0.21
+            WHEN 'archive' THEN 0.04 ELSE 0.00 END) AS DOUBLE) AS cost_tiered,
+       CAST(SUM(CAST(size_gb AS DECIMAL(20,6)) * 0.38) AS DOUBLE) AS cost_all_hot
+FROM tiers GROUP BY tier""")
+def q_storage_cost(spark, sf):
+    return oplog.storage_cost(q_storage_tiers(spark, sf))
