@@ -490,3 +490,86 @@ SELECT tier, count(*) AS objects, CAST(SUM(CAST(size_gb AS DECIMAL(20,6))) AS DO
 FROM tiers GROUP BY tier""")
 def q_storage_cost(spark, sf):
     return oplog.storage_cost(q_storage_tiers(spark, sf))
+
+
+# ---------------------------------------------------------------------------
+# Streaming (T1-T4): each drains its source with availableNow into a parquet
+# sink under the shared checkpoint folder, then reads the sink back.
+# ---------------------------------------------------------------------------
+
+from tillroll.session import work_path  # noqa: E402
+from tillroll.sources import files  # noqa: E402
+from tillroll.streaming import file_ingest, realtime  # noqa: E402
+
+STREAM_DELAY = "10 minutes"
+
+
+def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
+    schema = binding.read(spark, sf, "events").schema
+    return file_ingest.stream_table(spark, sf, "events.parquet", schema)
+
+
+def _drain(spark: SparkSession, df: DataFrame, name: str, mode: str = "append") -> DataFrame:
+    root = work_path(spark, "streams", name, fresh=True)
+    realtime.run_to_sink(df, f"{root}/out", f"{root}/_checkpoint", mode)
+    return spark.read.schema(df.schema).parquet(f"{root}/out")
+
+
+@register("bronze_file_stream", W("""SELECT transaction_id, NULLIF(customer_id, '') AS customer_id,
+       product_id, store_id, CAST(transaction_date AS VARCHAR) AS transaction_date,
+       CASE WHEN quantity = -1 THEN '-1' ELSE CAST(CAST(quantity AS DOUBLE) AS VARCHAR) END AS quantity,
+       CAST(CAST(amount AS DOUBLE) AS VARCHAR) AS amount, payment_method
+FROM raw_txn"""))
+def q_bronze_stream(spark, sf):
+    """Land the transactions extract as CSV, drain it into Bronze.
+
+    The CSV reader reads an empty field as NULL, which the present-key rule
+    rejects like the empty string.
+    """
+    root = work_path(spark, "landing_run", fresh=True)
+    landing = f"{root}/landing"
+    files.export_csv(binding.raw_transactions(spark, sf), f"{landing}/transactions")
+    file_ingest.ingest_table(spark, landing, "transactions", f"{root}/bronze/transactions",
+                             f"{root}/_checkpoints/transactions")
+    return silver.drop_stamps(spark.read.parquet(f"{root}/bronze/transactions"))
+
+
+_RT_SQL = W("""SELECT event_id, customer_id, CAST(event_date AS VARCHAR) AS event_date, event_type,
+       CAST(points AS VARCHAR) AS points
+FROM loy_rt WHERE event_type IN ('earn', 'redeem', 'expire')""")
+
+
+@register("realtime_leg", _RT_SQL)
+def q_realtime_leg(spark, sf):
+    """Events stream -> loyalty records -> accepted types -> stamp -> append."""
+    leg = realtime.realtime_leg(binding.loyalty_realtime_source(_events_stream(spark, sf)))
+    return silver.drop_stamps(_drain(spark, leg, "realtime_leg"))
+
+
+@register("stream_batch_union", W("SELECT * FROM loyalty_union"))
+def q_stream_batch_union(spark, sf):
+    """Realtime leg de-duplicated in-stream, unioned with the batch feed."""
+    ev = (_events_stream(spark, sf).withColumn("_event_time", F.col("ts").cast("timestamp"))
+          .withWatermark("_event_time", STREAM_DELAY))
+    mapped = binding.loyalty_realtime_source(ev, keep=("_event_time",))
+    typed = silver.event_type_in(silver.type_table(mapped, "loyalty_events"))
+    deduped = typed.dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
+    rt = _drain(spark, realtime.realtime_leg(deduped), "stream_batch_union")
+    batch = silver.event_type_in(silver.type_table(binding.raw_loyalty_events(spark, sf), "loyalty_events"))
+    return silver.union_feeds(batch, silver.drop_stamps(rt))
+
+
+@register("alert_stream", L(f"""SELECT time_bucket(INTERVAL 15 MINUTE, TimeGenerated) AS window_start,
+       time_bucket(INTERVAL 15 MINUTE, TimeGenerated) + INTERVAL 15 MINUTE AS window_end,
+       'pipeline_failure' AS alert, 1 AS severity, count(*) AS hits
+FROM runs WHERE Status = 'Failed' AND PipelineName = 'pl_medallion_refresh'
+GROUP BY 1, 2
+HAVING time_bucket(INTERVAL 15 MINUTE, TimeGenerated) + INTERVAL 15 MINUTE
+       <= (SELECT max(TimeGenerated) FROM runs) - INTERVAL {STREAM_DELAY.split()[0]} MINUTE"""))
+def q_alert_stream(spark, sf):
+    """T4: L6 as a stream with a watermark; windows closed by the watermark."""
+    runs = binding.runs_from_events(_events_stream(spark, sf))
+    alerts = realtime.window_alerts(
+        runs, (F.col("Status") == "Failed") & (F.col("PipelineName") == oplog.PIPELINE),
+        F.col("TimeGenerated").cast("timestamp"), "15 minutes", STREAM_DELAY, "pipeline_failure", 1)
+    return _drain(spark, alerts, "alert_stream")

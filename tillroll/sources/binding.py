@@ -148,7 +148,7 @@ def customers_day2(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select(*_customer_cols(tier)))
 
 
-def _loyalty(events: DataFrame) -> DataFrame:
+def _loyalty(events: DataFrame, keep: tuple = ()) -> DataFrame:
     etype = (F.when(F.col("event_type").isin("purchase", "view"), F.lit("earn"))
              .when(F.col("event_type") == "click", F.lit("redeem"))
              .when(F.col("event_type") == "signup", F.lit("expire"))
@@ -161,6 +161,7 @@ def _loyalty(events: DataFrame) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd").alias("event_date"),
         etype.alias("event_type"),
         _s(points).alias("points"),
+        *keep,
     )
 
 
@@ -170,9 +171,12 @@ def raw_loyalty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loyalty(ev.filter(F.col("ts") < F.lit(BATCH_CUTOFF).cast("timestamp_ntz")))
 
 
-def loyalty_realtime_source(df: DataFrame) -> DataFrame:
-    """Map an events frame (batch or streaming) to realtime loyalty records."""
-    return _loyalty(df.filter(F.col("ts") >= F.lit(REALTIME_START).cast("timestamp_ntz")))
+def loyalty_realtime_source(df: DataFrame, keep: tuple = ()) -> DataFrame:
+    """Map an events frame (batch or streaming) to realtime loyalty records.
+
+    ``keep`` names extra columns to carry along (e.g. a watermark column).
+    """
+    return _loyalty(df.filter(F.col("ts") >= F.lit(REALTIME_START).cast("timestamp_ntz")), keep)
 
 
 def raw_loyalty_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -208,7 +212,11 @@ def _status() -> Column:
 
 def pipeline_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ADFPipelineRun: one run per event; error = failed; value = minutes."""
-    ev = read(spark, sf_dir, "events")
+    return runs_from_events(read(spark, sf_dir, "events"))
+
+
+def runs_from_events(ev: DataFrame) -> DataFrame:
+    """Map an events frame (batch or streaming) to ADFPipelineRun rows."""
     start = _ts()
     micros = F.round(F.col("value") * 60_000_000).cast("decimal(18,0)")
     end = start + F.make_dt_interval(secs=micros / F.lit(1_000_000))

@@ -57,12 +57,15 @@ def window_alerts(events: DataFrame, predicate: Column, ts: Column, window: str,
     """T4: tumbling-window counts of matching rows with a watermark.
 
     ``ts`` must be a TIMESTAMP (watermarks do not accept TIMESTAMP_NTZ);
-    the emitted window bounds are returned as TIMESTAMP_NTZ.
+    the emitted window bounds are returned as TIMESTAMP_NTZ. Matches are
+    counted inside the aggregate rather than filtered before it: a filter
+    would be pushed below the watermark, and windows would then close only
+    when the next *matching* row arrives instead of when the log moves on.
     """
-    return (events.filter(predicate).withColumn("_t", ts)
-                  .withWatermark("_t", delay)
+    return (events.withColumn("_t", ts).withWatermark("_t", delay)
                   .groupBy(F.window("_t", window).alias("w"))
-                  .agg(F.count(F.lit(1)).alias("hits"))
+                  .agg(F.count_if(predicate).alias("hits"))
+                  .filter(F.col("hits") > 0)
                   .select(F.col("w.start").cast("timestamp_ntz").alias("window_start"),
                           F.col("w.end").cast("timestamp_ntz").alias("window_end"),
                           F.lit(alert).alias("alert"), F.lit(severity).alias("severity"), "hits"))
