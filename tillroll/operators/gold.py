@@ -17,17 +17,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.exprs import as_money, gross_margin, month_key
+from tillroll.functions.joins import bounded_broadcast
 
 
 def enrich(txns: DataFrame, products: DataFrame, stores: DataFrame,
-           customers: DataFrame) -> DataFrame:
+           customers: DataFrame, row_bounds: dict | None = None) -> DataFrame:
     """J12 = J2 + J3 + J4 + P7 + P8.
 
     ``customers`` should be the current rows of the customer dimension.
+    ``row_bounds`` may give a proven row bound per dimension ("products",
+    "stores", "customers"); a dimension under the broadcast limit is then
+    broadcast, otherwise the planner's own size check decides.
     """
-    p = products.select("product_id", "category", "cost_price_pct")
-    s = stores.select("store_id", "region", "store_format")
-    c = customers.select("customer_id", "loyalty_tier")
+    rb = row_bounds or {}
+    p = bounded_broadcast(products.select("product_id", "category", "cost_price_pct"), rb.get("products"))
+    s = bounded_broadcast(stores.select("store_id", "region", "store_format"), rb.get("stores"))
+    c = bounded_broadcast(customers.select("customer_id", "loyalty_tier"), rb.get("customers"))
     return (txns
             .join(p, "product_id", "left")
             .join(s, "store_id", "left")

@@ -300,15 +300,16 @@ def q_dq_pass_rate(spark, sf):
 # ---------------------------------------------------------------------------
 
 
+def _gold(spark, sf):
+    return retail.gold_snapshot(spark, sf)
+
+
 def _facts(spark, sf):
+    """Lazy Gold facts: a single-fact measure runs one pipeline."""
     g = retail.gold_tables(spark, sf)
     return g["sales_by_region_category_month"], g["store_performance"], g["loyalty_tier_value"]
 
 
-def _dates(spark, sf):
-    return semantic.dim_date(retail.silver_tables(spark, sf).transactions)
-
-
 MONEY_SUM = "CAST(SUM(CAST({c} AS DECIMAL(38,2))) AS DOUBLE)"
 REV = MONEY_SUM.format(c="revenue")
 GM = MONEY_SUM.format(c="gross_margin")
@@ -345,7 +346,8 @@ FROM (
   ON c.month = p.month AND c.region IS NOT DISTINCT FROM p.region)
 WHERE month IN (SELECT month FROM month_dim)"""))
 def q_yoy(spark, sf):
-    return semantic.yoy_revenue_growth(_facts(spark, sf)[0], _dates(spark, sf), ["region"])
+    g = _gold(spark, sf)
+    return semantic.yoy_revenue_growth(g["fact_sales"], g["dim_date"], ["region"])
 
 
 @register("avg_revenue_per_store", W(f"""SELECT store_format,
@@ -364,14 +366,15 @@ def q_rev_per_cust(spark, sf):
 
 @register("dim_date", W("SELECT * FROM dim_date"))
 def q_dim_date(spark, sf):
-    return _dates(spark, sf)
+    return semantic.dim_date(retail.silver_tables(spark, sf).transactions)
 
 
 @register("calendar_rollup", W(f"""SELECT year, quarter, month, {REV} AS revenue,
        CAST(GROUPING(year, quarter, month) AS BIGINT) AS level
 FROM fact_sales JOIN month_dim USING (month) GROUP BY ROLLUP (year, quarter, month)"""))
 def q_calendar_rollup(spark, sf):
-    return semantic.calendar_rollup(_facts(spark, sf)[0], _dates(spark, sf))
+    g = _gold(spark, sf)
+    return semantic.calendar_rollup(g["fact_sales"], g["dim_date"])
 
 
 @register("executive_summary", W(f"""
@@ -382,8 +385,8 @@ UNION ALL SELECT 'Revenue per Transaction',
 UNION ALL SELECT 'Revenue per Loyalty Customer',
        {REV} / NULLIF(CAST(CAST(SUM(customers) AS BIGINT) AS DOUBLE), 0) FROM fact_tier"""))
 def q_exec_summary(spark, sf):
-    sales, _, tiers = _facts(spark, sf)
-    return semantic.executive_summary(sales, tiers)
+    g = _gold(spark, sf)
+    return semantic.executive_summary(g["fact_sales"], g["fact_loyalty_tier_value"])
 
 
 @register("store_operations", W(f"""SELECT region, store_format, count(*) AS stores, {REV} AS revenue,

@@ -6,7 +6,7 @@ prunes every column a query does not use down to the parquet scan.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,43 +19,78 @@ AS_OF = "2024-02-01"
 DAY1 = "2024-01-01"
 
 
-@dataclass
 class Silver:
-    transactions: DataFrame
-    products: DataFrame
-    stores: DataFrame
-    dim_customer: DataFrame
-    loyalty: DataFrame
+    """The Silver tables of one run, each built on first use.
 
-    @property
+    Building a DataFrame costs driver round-trips per expression, so a query
+    that needs only transactions never builds the loyalty or SCD plans.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, as_of: str = DAY1):
+        self.spark, self.sf_dir, self.as_of = spark, sf_dir, as_of
+
+    def _raw(self, name: str) -> DataFrame:
+        return binding.RAW_BINDERS[name](self.spark, self.sf_dir)
+
+    @cached_property
+    def transactions(self) -> DataFrame:
+        return silver.cleanse_transactions(self._raw("transactions"), stamp=False)
+
+    @cached_property
+    def products(self) -> DataFrame:
+        return silver.conform(self._raw("products"), "products")
+
+    @cached_property
+    def stores(self) -> DataFrame:
+        return silver.conform(self._raw("stores"), "stores")
+
+    @cached_property
+    def dim_customer(self) -> DataFrame:
+        return scd2.scd2_initial(silver.conform(self._raw("customers"), "customers"), self.as_of)
+
+    @cached_property
     def current_customers(self) -> DataFrame:
         return scd2.current_rows(self.dim_customer)
 
+    @cached_property
+    def loyalty(self) -> DataFrame:
+        valid = self.current_customers.select("customer_id")
+        return silver.silver_loyalty(self._raw("loyalty_events"),
+                                     binding.raw_loyalty_realtime(self.spark, self.sf_dir), valid)
+
 
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: fn(spark, sf_dir) for name, fn in binding.RAW_BINDERS.items()}
 
 
 def silver_tables(spark: SparkSession, sf_dir: str, as_of: str = DAY1) -> Silver:
-    raw = bronze(spark, sf_dir)
-    txns = silver.cleanse_transactions(raw["transactions"], stamp=False)
-    products = silver.conform(raw["products"], "products")
-    stores = silver.conform(raw["stores"], "stores")
-    dim = scd2.scd2_initial(silver.conform(raw["customers"], "customers"), as_of)
-    valid = scd2.current_rows(dim).select("customer_id")
-    loyalty = silver.silver_loyalty(raw["loyalty_events"],
-                                    binding.raw_loyalty_realtime(spark, sf_dir), valid)
-    return Silver(txns, products, stores, dim, loyalty)
+    return Silver(spark, sf_dir, as_of)
+
+
+def dim_bounds(spark: SparkSession, sf_dir: str) -> dict[str, int]:
+    """Proven row bounds of the dimensions: their source tables' row counts."""
+    from tillroll.functions.joins import source_rows_many
+    key = (id(spark), sf_dir)
+    if key not in _BOUNDS:  # the driver tables are read-only
+        _BOUNDS[key] = source_rows_many(spark, {"products": binding.path(sf_dir, "part"),
+                                                "stores": binding.path(sf_dir, "supplier"),
+                                                "customers": binding.path(sf_dir, "customer")})
+    return _BOUNDS[key]
+
+
+_BOUNDS: dict = {}
 
 
 def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = silver_tables(spark, sf_dir)
-    return gold.enrich(s.transactions, s.products, s.stores, s.current_customers)
+    return gold.enrich(s.transactions, s.products, s.stores, s.current_customers,
+                       dim_bounds(spark, sf_dir))
 
 
 def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     s = silver_tables(spark, sf_dir)
-    e = gold.enrich(s.transactions, s.products, s.stores, s.current_customers)
+    e = gold.enrich(s.transactions, s.products, s.stores, s.current_customers,
+                    dim_bounds(spark, sf_dir))
     return {
         "sales_by_region_category_month": gold.sales_by_region_category_month(e),
         "loyalty_tier_value": gold.loyalty_tier_value(e),
@@ -78,3 +113,32 @@ def typed_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def month_of(col: str) -> F.Column:
     return F.date_format(col, "yyyy-MM")
+
+
+def gold_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Gold facts and dim_date written once, as the semantic model reads them.
+
+    The enriched fact is computed once and persisted (memory, spilling to
+    disk) while the three small aggregates and the date dimension are
+    written to a fresh folder under the shared checkpoint directory; the
+    returned frames read those tables, so measures never recompute Silver.
+    """
+    from pyspark import StorageLevel
+
+    from tillroll.plans import semantic
+    from tillroll.session import work_path
+
+    root = work_path(spark, "gold_snapshot", fresh=True)
+    e = enriched(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        frames = {
+            "fact_sales": gold.sales_by_region_category_month(e),
+            "fact_store_performance": gold.store_performance(e),
+            "fact_loyalty_tier_value": gold.loyalty_tier_value(e),
+            "dim_date": semantic.dim_date(e.select("transaction_date")),
+        }
+        for name, df in frames.items():
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+    finally:
+        e.unpersist()
+    return {name: spark.read.parquet(f"{root}/{name}") for name in frames}

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.joins import source_rows, spread
+
 # Fixed values of the retail domain (must stay as written).
 LOYALTY_TIERS = ["Bronze", "Silver", "Gold", "Platinum"]
 PAYMENT_METHODS = ["Card", "Cash", "Loyalty Points", "Mobile Wallet"]
@@ -46,8 +48,31 @@ REALTIME_START = "2024-01-15 00:00:00"
 DAY2_BALANCE_CUTS = (4500.0, 7500.0, 8700.0)
 
 
+# Tables with a fixed size at every scale (25 nations, 5 regions).
+FIXED_SIZE = {"nation", "region"}
+
+
+def path(sf_dir: str, name: str) -> str:
+    return f"{sf_dir.rstrip('/')}/{name}.parquet"
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan of a driver table. The tables are read-only, so the scan frame
+    (file listing and footer schema) is built once per session and path."""
+    p = path(sf_dir, name)
+    key = (id(spark), p)
+    if key not in _SCANS:
+        df = spark.read.parquet(p)
+        _SCANS[key] = df if name in FIXED_SIZE else spread(df, spark, key=p)
+    return _SCANS[key]
+
+
+_SCANS: dict = {}
+
+
+def row_bound(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """Proven upper bound on rows of anything derived 1:1 from a table."""
+    return source_rows(spark, path(sf_dir, name))
 
 
 def _bucketed(bucket: Column, cuts: tuple, labels: list[str]) -> Column:
@@ -65,8 +90,9 @@ def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation -> region name; 25 rows, broadcast by size by the planner."""
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    return nation.join(region, nation.n_regionkey == region.r_regionkey).select(
+    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
         "n_nationkey", "r_name")
+    return F.broadcast(geo)  # fixed size at every scale
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
