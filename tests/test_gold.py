@@ -63,3 +63,15 @@ def test_points_net_row(spark):
     loy = spark.createDataFrame([("earn", 10), ("earn", 5), ("redeem", -7)], "event_type string, points long")
     got = {(r.event_type, r.is_total): r.points for r in gold.points_liability_net(loy).collect()}
     assert got == {("earn", False): 15, ("redeem", False): -7, (None, True): 8}
+
+
+def test_one_pass_equals_separate_aggregates(spark):
+    e = retail.enriched(spark, SF)
+    agg = gold.gold_one_pass(e)
+    for name in ("sales_by_region_category_month", "store_performance", "loyalty_tier_value"):
+        a = sorted((tuple(r) for r in gold.from_one_pass(agg, name).collect()), key=str)
+        b = sorted((tuple(r) for r in getattr(gold, name)(e).collect()), key=str)
+        assert a == b, name
+    rng = gold.from_one_pass(agg, "date_range").first()
+    t = retail.silver_tables(spark, SF).transactions.agg(F.min("transaction_date"), F.max("transaction_date")).first()
+    assert (rng.first_date, rng.last_date) == (t[0], t[1])

@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -108,25 +107,20 @@ def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
     summary.dq_failed = stored.filter(F.col("status") == "FAIL").count()
     dq.enforce(results)
 
-    # Gold: the enriched fact feeds three aggregates; persist it once
-    # (memory, spilling to disk) instead of recomputing three joins.
+    # Gold: every fact aggregate from one pass over the enriched fact
+    # (grouping sets), staged once, then split into the Gold tables. The
+    # fact is never cached, however large it is.
     enriched = gold.enrich(txns, _silver_read(spark, lake, "products"),
                            _silver_read(spark, lake, "stores"), scd2.current_rows(dim))
-    enriched = enriched.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        outputs = {
-            "sales_by_region_category_month": gold.sales_by_region_category_month(enriched),
-            "loyalty_tier_value": gold.loyalty_tier_value(enriched),
-            "store_performance": gold.store_performance(enriched),
-            "loyalty_points_liability": gold.points_liability(loyalty),
-        }
-        for name, df in outputs.items():
-            summary.gold_versions[name] = files.write_version(spark, df, lake, "gold", name)
-            if export_csv:
-                files.export_csv(files.read_table(spark, lake, "gold", name),
-                                 f"{lake}/export/{name}")
-    finally:
-        enriched.unpersist()
+    stage = files.write_version(spark, gold.gold_one_pass(enriched), lake, "gold", "_one_pass")
+    agg = spark.read.parquet(f"{lake}/gold/_one_pass/v={stage}")
+    outputs = {name: gold.from_one_pass(agg, name) for name in
+               ("sales_by_region_category_month", "loyalty_tier_value", "store_performance")}
+    outputs["loyalty_points_liability"] = gold.points_liability(loyalty)
+    for name, df in outputs.items():
+        summary.gold_versions[name] = files.write_version(spark, df, lake, "gold", name)
+        if export_csv:
+            files.export_csv(files.read_table(spark, lake, "gold", name), f"{lake}/export/{name}")
     return summary
 
 
@@ -134,7 +128,9 @@ def gold_views(spark: SparkSession, lake: str, perspective: str | None = None) -
     """Publish the Gold tables under their fact names."""
     facts = {fact: files.read_table(spark, lake, "gold", table)
              for fact, table in semantic.FACT_TABLES.items()}
-    dates = semantic.dim_date(files.read_table(spark, lake, "silver", "transactions"))
+    bounds = gold.from_one_pass(files.read_table(spark, lake, "gold", "_one_pass"), "date_range")
+    dates = semantic.dim_date_between(bounds.select(F.col("first_date").alias("lo"),
+                                                    F.col("last_date").alias("hi")))
     return semantic.register_views(spark, facts, dates, perspective)
 
 

@@ -118,27 +118,23 @@ def month_of(col: str) -> F.Column:
 def gold_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Gold facts and dim_date written once, as the semantic model reads them.
 
-    The enriched fact is computed once and persisted (memory, spilling to
-    disk) while the three small aggregates and the date dimension are
-    written to a fresh folder under the shared checkpoint directory; the
-    returned frames read those tables, so measures never recompute Silver.
+    All Gold aggregates come from one pass over the enriched fact
+    (``gold.gold_one_pass``); that small result is written once to a fresh
+    folder under the shared checkpoint directory (cutting lineage), and the
+    facts and the date dimension are derived from it. Measures therefore
+    never recompute Silver, and the fact is never cached.
     """
-    from pyspark import StorageLevel
-
     from tillroll.plans import semantic
     from tillroll.session import work_path
 
     root = work_path(spark, "gold_snapshot", fresh=True)
-    e = enriched(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        frames = {
-            "fact_sales": gold.sales_by_region_category_month(e),
-            "fact_store_performance": gold.store_performance(e),
-            "fact_loyalty_tier_value": gold.loyalty_tier_value(e),
-            "dim_date": semantic.dim_date(e.select("transaction_date")),
-        }
-        for name, df in frames.items():
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-    finally:
-        e.unpersist()
-    return {name: spark.read.parquet(f"{root}/{name}") for name in frames}
+    gold.gold_one_pass(enriched(spark, sf_dir)).write.mode("overwrite").parquet(f"{root}/_one_pass")
+    agg = spark.read.parquet(f"{root}/_one_pass")
+    bounds = gold.from_one_pass(agg, "date_range").select(F.col("first_date").alias("lo"),
+                                                          F.col("last_date").alias("hi"))
+    return {
+        "fact_sales": gold.from_one_pass(agg, "sales_by_region_category_month"),
+        "fact_store_performance": gold.from_one_pass(agg, "store_performance"),
+        "fact_loyalty_tier_value": gold.from_one_pass(agg, "loyalty_tier_value"),
+        "dim_date": semantic.dim_date_between(bounds),
+    }

@@ -88,6 +88,11 @@ def dim_date(dates: DataFrame, col: str = "transaction_date") -> DataFrame:
     month ('yyyy-MM', the fact's grain; D15).
     """
     bounds = dates.agg(F.min(F.to_date(col)).alias("lo"), F.max(F.to_date(col)).alias("hi"))
+    return dim_date_between(bounds)
+
+
+def dim_date_between(bounds: DataFrame) -> DataFrame:
+    """H7 from a one-row frame of first (``lo``) and last (``hi``) dates."""
     days = bounds.select(F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 DAY"))).alias("date"))
     return days.select(
         "date",
