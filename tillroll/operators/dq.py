@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.functions.exprs import all_present
+from tillroll.functions.joins import bounded_broadcast
 
 
 class DQGateError(RuntimeError):
@@ -37,6 +38,7 @@ class Check:
     valid_keys: DataFrame | None = None
     valid_key_col: str | None = None
     date_col: str | None = None
+    key_rows: int | None = None    # proven bound on parent-key rows, if known
 
 
 def completeness(columns: list[str], threshold: float = 0.98) -> Check:
@@ -48,9 +50,9 @@ def uniqueness(key: str, threshold: float = 0.999) -> Check:
 
 
 def referential_integrity(fk: str, valid_keys: DataFrame, threshold: float = 0.99,
-                          valid_key_col: str | None = None) -> Check:
+                          valid_key_col: str | None = None, key_rows: int | None = None) -> Check:
     return Check("referential_integrity", threshold, key=fk, valid_keys=valid_keys,
-                 valid_key_col=valid_key_col or fk)
+                 valid_key_col=valid_key_col or fk, key_rows=key_rows)
 
 
 def freshness(date_col: str, max_age_days: int = 7) -> Check:
@@ -91,8 +93,8 @@ def evaluate(df: DataFrame, table: str, checks: list[Check], as_of=None) -> Data
             rows.append(_ratio_row("uniqueness", table, F.col(m), total, c.threshold, tail))
         elif c.kind == "referential_integrity":
             flag = f"_ok{i}"
-            keys = (c.valid_keys.select(F.col(c.valid_key_col).alias(f"_vk{i}"))
-                    .distinct().withColumn(flag, F.lit(True)))
+            keys = bounded_broadcast(c.valid_keys.select(F.col(c.valid_key_col).alias(f"_vk{i}"))
+                                     .distinct().withColumn(flag, F.lit(True)), c.key_rows)
             base = base.join(keys, base[c.key] == keys[f"_vk{i}"], "left").drop(f"_vk{i}")
             metrics.append(F.count_if(F.col(flag)).alias(m))
             tail = f" rows have a valid {c.key} reference"
@@ -179,7 +181,7 @@ def assert_pass_rate(accounting: DataFrame, table: str, threshold: float = 0.95)
 
 
 def silver_suite(transactions: DataFrame, dim_customer: DataFrame, loyalty: DataFrame,
-                 as_of, freshness_days: int = 3650) -> DataFrame:
+                 as_of, freshness_days: int = 3650, customer_rows: int | None = None) -> DataFrame:
     """Q7: the six checks bound to Silver, with the reference thresholds.
 
     Uniqueness of the customer key is tested on current rows only (D13).
@@ -189,11 +191,12 @@ def silver_suite(transactions: DataFrame, dim_customer: DataFrame, loyalty: Data
     txn = evaluate(transactions, "transactions", [
         completeness(["customer_id", "product_id", "amount"]),
         uniqueness("transaction_id"),
-        referential_integrity("customer_id", valid),
+        referential_integrity("customer_id", valid, key_rows=customer_rows),
         freshness("transaction_date", freshness_days),
     ], as_of=as_of)
     cust = evaluate(current, "dim_customer", [uniqueness("customer_id")])
-    loy = evaluate(loyalty, "loyalty_events", [referential_integrity("customer_id", valid)])
+    loy = evaluate(loyalty, "loyalty_events",
+                   [referential_integrity("customer_id", valid, key_rows=customer_rows)])
     return run_suite([txn, cust, loy])[0]
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.exprs import (
     coerce_bool, coerce_date, coerce_decimal, coerce_number, positive, present,
 )
+from tillroll.functions.joins import bounded_broadcast
 from tillroll.schemas import INGEST_STAMPS, SILVER_TYPES
 
 ACCEPTED_EVENT_TYPES = ["earn", "redeem", "expire"]
@@ -142,15 +143,17 @@ def conform(bronze: DataFrame, table: str) -> DataFrame:
 
 
 def integrity_filter(df: DataFrame, valid_keys: DataFrame, col: str = "customer_id",
-                     key_col: str | None = None) -> DataFrame:
+                     key_col: str | None = None, key_rows: int | None = None) -> DataFrame:
     """Keep rows whose key exists in ``valid_keys`` (left semi join).
 
     A semi join never fans out when the key side repeats. No broadcast hint:
     the planner broadcasts the key side only when its size is under the
     threshold, and falls back to a shuffle join (with AQE skew splitting)
-    beyond it.
+    beyond it. ``key_rows``, a proven bound on the key rows, lets a key side
+    under the broadcast limit be broadcast even when the planner cannot
+    estimate its size.
     """
-    keys = valid_keys.select(F.col(key_col or col).alias(col))
+    keys = bounded_broadcast(valid_keys.select(F.col(key_col or col).alias(col)), key_rows)
     return df.join(keys, col, "left_semi")
 
 
@@ -169,7 +172,7 @@ def union_feeds(batch: DataFrame, realtime: DataFrame, key: str = "event_id") ->
 
 
 def silver_loyalty(batch_bronze: DataFrame, realtime_bronze: DataFrame | None,
-                   valid_customers: DataFrame) -> DataFrame:
+                   valid_customers: DataFrame, customer_rows: int | None = None) -> DataFrame:
     """Typed, accepted-type, de-duplicated loyalty events of known customers."""
     batch = event_type_in(type_table(batch_bronze, "loyalty_events"))
     if realtime_bronze is not None:
@@ -177,7 +180,7 @@ def silver_loyalty(batch_bronze: DataFrame, realtime_bronze: DataFrame | None,
         events = union_feeds(batch, rt)
     else:
         events = dedupe(batch, ["event_id"])
-    return integrity_filter(events, valid_customers, "customer_id")
+    return integrity_filter(events, valid_customers, "customer_id", key_rows=customer_rows)
 
 
 def drop_stamps(df: DataFrame) -> DataFrame:

@@ -90,18 +90,25 @@ def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
         dim = scd2.scd2_initial(staged, as_of)
     v["dim_customer"] = files.write_version(spark, dim, lake, "silver", "dim_customer")
     dim = _silver_read(spark, lake, "dim_customer")
+    # Proven row bounds of the written dimensions (Parquet footers only):
+    # dimensions under the broadcast limit are broadcast, larger ones shuffle.
+    bounds = {"customers": dim.count(),
+              "products": _silver_read(spark, lake, "products").count(),
+              "stores": _silver_read(spark, lake, "stores").count()}
 
     # Silver loyalty: batch and realtime feeds, accepted types, known customers.
     rt = spark.read.parquet(realtime_bronze) if realtime_bronze else None
     valid = scd2.current_rows(dim).select("customer_id")
     loyalty = silver.silver_loyalty(silver.drop_stamps(bronze["loyalty_events"]),
-                                    silver.drop_stamps(rt) if rt is not None else None, valid)
+                                    silver.drop_stamps(rt) if rt is not None else None, valid,
+                                    bounds["customers"])
     v["loyalty_events"] = files.write_version(spark, loyalty, lake, "silver", "loyalty_events")
 
     # Gate (Q6-Q8, D12): stored, then enforced before Gold.
     txns = _silver_read(spark, lake, "transactions")
     loyalty = _silver_read(spark, lake, "loyalty_events")
-    results = dq.silver_suite(txns, dim, loyalty, suite_as_of or as_of, freshness_days)
+    results = dq.silver_suite(txns, dim, loyalty, suite_as_of or as_of, freshness_days,
+                              customer_rows=bounds["customers"])
     results.withColumn("run_as_of", F.lit(as_of)).write.mode("append").parquet(f"{lake}/dq_results")
     stored = spark.read.parquet(f"{lake}/dq_results").filter(F.col("run_as_of") == as_of)
     summary.dq_failed = stored.filter(F.col("status") == "FAIL").count()
@@ -111,7 +118,7 @@ def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
     # (grouping sets), staged once, then split into the Gold tables. The
     # fact is never cached, however large it is.
     enriched = gold.enrich(txns, _silver_read(spark, lake, "products"),
-                           _silver_read(spark, lake, "stores"), scd2.current_rows(dim))
+                           _silver_read(spark, lake, "stores"), scd2.current_rows(dim), bounds)
     stage = files.write_version(spark, gold.gold_one_pass(enriched), lake, "gold", "_one_pass")
     agg = spark.read.parquet(f"{lake}/gold/_one_pass/v={stage}")
     outputs = {name: gold.from_one_pass(agg, name) for name in

@@ -266,8 +266,9 @@ def q_dq_ri(spark, sf):
     """Integrity of the unioned loyalty feed before the integrity filter."""
     s = retail.silver_tables(spark, sf)
     union = q_feed_union(spark, sf)
-    return _no_ts(dq.check_referential_integrity(union, "loyalty_events_unfiltered", "customer_id",
-                                                 s.current_customers.select("customer_id"), 0.99))
+    bound = retail.dim_bounds(spark, sf)["customers"]
+    return _no_ts(dq.evaluate(union, "loyalty_events_unfiltered", [dq.referential_integrity(
+        "customer_id", s.current_customers.select("customer_id"), 0.99, key_rows=bound)]))
 
 
 @register("dq_freshness", W(_SQL_TXN_FRESH))
@@ -281,7 +282,8 @@ def q_dq_freshness(spark, sf):
                                               _SQL_TXN_FRESH, _SQL_CUST_UNIQUE, _SQL_LOY_RI])))
 def q_dq_suite(spark, sf):
     s = retail.silver_tables(spark, sf)
-    return _no_ts(dq.silver_suite(s.transactions, s.dim_customer, s.loyalty, SUITE_AS_OF))
+    return _no_ts(dq.silver_suite(s.transactions, s.dim_customer, s.loyalty, SUITE_AS_OF,
+                                  customer_rows=retail.dim_bounds(spark, sf)["customers"]))
 
 
 @register("dq_pass_rate", W("""SELECT 'pass_rate' AS check_name, 'transactions' AS "table",

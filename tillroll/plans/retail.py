@@ -56,7 +56,8 @@ class Silver:
     def loyalty(self) -> DataFrame:
         valid = self.current_customers.select("customer_id")
         return silver.silver_loyalty(self._raw("loyalty_events"),
-                                     binding.raw_loyalty_realtime(self.spark, self.sf_dir), valid)
+                                     binding.raw_loyalty_realtime(self.spark, self.sf_dir), valid,
+                                     dim_bounds(self.spark, self.sf_dir)["customers"])
 
 
 def bronze(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
