@@ -578,3 +578,32 @@ def q_alert_stream(spark, sf):
         runs, (F.col("Status") == "Failed") & (F.col("PipelineName") == oplog.PIPELINE),
         F.col("TimeGenerated").cast("timestamp"), "15 minutes", STREAM_DELAY, "pipeline_failure", 1)
     return _drain(spark, alerts, "alert_stream")
+
+
+# ---------------------------------------------------------------------------
+# Model defaults and cost summary (H10, L10 summary)
+# ---------------------------------------------------------------------------
+
+
+@register("fact_sales_default_summary", W("""SELECT region, CAST(SUM(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS revenue,
+       CAST(SUM(units) AS BIGINT) AS units,
+       CAST(SUM(CAST(gross_margin AS DECIMAL(38,2))) AS DOUBLE) AS gross_margin,
+       CAST(SUM(transactions) AS BIGINT) AS transactions
+FROM fact_sales GROUP BY region"""))
+def q_default_summary(spark, sf):
+    """Every sum-by-default column of fact_sales, under region."""
+    return semantic.default_summary(_facts(spark, sf)[0], "fact_sales", ["region"])
+
+
+@register("storage_saving", "WITH " + O.LOGS + ",\n" + _TIER_SQL + """,
+cost AS (
+  SELECT tier, CAST(SUM(CAST(size_gb AS DECIMAL(20,6)) * CASE tier WHEN 'hot' THEN 0.38 WHEN 'cool' THEN 0.21
+              WHEN 'archive' THEN 0.04 ELSE 0.00 END) AS DOUBLE) AS cost_tiered,
+         CAST(SUM(CAST(size_gb AS DECIMAL(20,6)) * 0.38) AS DOUBLE) AS cost_all_hot
+  FROM tiers GROUP BY tier)
+SELECT cost_tiered, cost_all_hot, (cost_all_hot - cost_tiered) / NULLIF(cost_all_hot, 0) AS saving_pct
+FROM (SELECT CAST(SUM(CAST(cost_tiered AS DECIMAL(38,6))) AS DOUBLE) AS cost_tiered,
+             CAST(SUM(CAST(cost_all_hot AS DECIMAL(38,6))) AS DOUBLE) AS cost_all_hot FROM cost)""")
+def q_storage_saving(spark, sf):
+    """Tiered against all-hot monthly cost and the saving share."""
+    return oplog.storage_saving(q_storage_cost(spark, sf))
