@@ -72,3 +72,12 @@ def test_integrity_semi_join_does_not_fan_out(spark):
     ev = spark.createDataFrame([("E1", "C1"), ("E2", "C9")], "event_id string, customer_id string")
     keys = spark.createDataFrame([("C1",), ("C1",)], "customer_id string")
     assert [r.event_id for r in silver.integrity_filter(ev, keys).collect()] == ["E1"]
+
+
+def test_reject_counts_match_one_pass_accounting(spark):
+    from tillroll.sources import binding
+    raw = binding.raw_transactions(spark, SF_SMALL)
+    clean = silver.cleanse_transactions(raw, stamp=False).count()
+    a = silver.reject_accounting(raw).first().asDict()
+    b = silver.reject_counts(raw, clean)
+    assert a == b

@@ -137,6 +137,27 @@ def reject_accounting(bronze: DataFrame) -> DataFrame:
     )
 
 
+def reject_counts(bronze: DataFrame, clean_rows: int) -> dict:
+    """P12 without a distinct count: reasons from one plain aggregate over
+    Bronze, the clean count from the written Silver table (its footers).
+
+    At scale this avoids shuffling every transaction id a second time just
+    to count the survivors of a dedupe that already ran.
+    """
+    q = coerce_number("quantity", "int")
+    qty_ok = F.coalesce(q > 0, F.lit(False))
+    cust_ok = present("customer_id")
+    r = bronze.agg(F.count(F.lit(1)).alias("total"),
+                   F.count_if(~qty_ok).alias("bad_quantity"),
+                   F.count_if(qty_ok & ~cust_ok).alias("missing_customer"),
+                   F.count_if(qty_ok & cust_ok).alias("passing")).first()
+    total = r["total"]
+    return {"total": total, "clean": clean_rows, "rejected": total - clean_rows,
+            "bad_quantity": r["bad_quantity"], "missing_customer": r["missing_customer"],
+            "duplicates": r["passing"] - clean_rows,
+            "pass_rate": clean_rows / total if total else 0.0}
+
+
 def conform(bronze: DataFrame, table: str) -> DataFrame:
     """Typed passthrough, newest row per key."""
     return latest_per_key(type_table(bronze, table), KEYS[table])

@@ -69,14 +69,17 @@ def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
     summary.bronze_rows = file_ingest.ingest_all(spark, landing, lake)
     bronze = {t: spark.read.parquet(f"{lake}/bronze/{t}") for t in TABLES}
 
-    # Silver transactions: pass-rate assertion before the write (Q9).
-    acc = silver.reject_accounting(bronze["transactions"]).first().asDict()
+    # Silver transactions: staged, counted from its footers, and published
+    # only when the pass rate holds (Q9) - a failing cleanse is never visible.
+    version, path = files.stage_version(silver.cleanse_transactions(bronze["transactions"]),
+                                        lake, "silver", "transactions")
+    acc = silver.reject_counts(bronze["transactions"], spark.read.parquet(path).count())
     summary.accounting = acc
     if acc["pass_rate"] < pass_rate:
         raise dq.DQGateError(f"transactions pass rate {acc['pass_rate']:.2%} below {pass_rate:.0%}")
+    files.publish_version(spark, lake, "silver", "transactions", version)
     v = summary.silver_versions
-    v["transactions"] = files.write_version(
-        spark, silver.cleanse_transactions(bronze["transactions"]), lake, "silver", "transactions")
+    v["transactions"] = version
     for t in ("products", "stores"):
         v[t] = files.write_version(spark, silver.conform(bronze[t], t), lake, "silver", t)
 

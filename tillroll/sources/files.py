@@ -4,7 +4,7 @@ Storage layout under a lake root (any Hadoop path):
   <lake>/bronze/<table>        parquet, appended by the ingest streams
   <lake>/silver/<table>/v=<id> parquet, one directory per written version
   <lake>/gold/<table>/v=<id>
-  <lake>/_current/<layer>/<table>  a one-row pointer to the current version
+  <lake>/_current/<layer>/<table>  append-only log of published versions
 A new version is written completely before the pointer moves, so a reader
 never sees a half-written table and a table can be rebuilt from itself
 (SCD2) without overwriting the files it is reading. One writer per table.
@@ -84,12 +84,29 @@ def read_table(spark: SparkSession, lake: str, layer: str, table: str) -> DataFr
     return spark.read.parquet(f"{lake.rstrip('/')}/{layer}/{table}/v={v}")
 
 
-def write_version(spark: SparkSession, df: DataFrame, lake: str, layer: str, table: str) -> str:
-    """S11 as a versioned overwrite: write a new version, then move the pointer."""
+def stage_version(df: DataFrame, lake: str, layer: str, table: str) -> tuple[str, str]:
+    """Write a new version folder without publishing it; returns (version, path)."""
     version = f"{int(time.time() * 1000):015d}"
-    df.write.mode("overwrite").parquet(f"{lake.rstrip('/')}/{layer}/{table}/v={version}")
+    path = f"{lake.rstrip('/')}/{layer}/{table}/v={version}"
+    df.write.mode("overwrite").parquet(path)
+    return version, path
+
+
+def publish_version(spark: SparkSession, lake: str, layer: str, table: str, version: str) -> None:
+    """Move the table's pointer to a staged version.
+
+    The pointer is an append-only log of published versions; the current
+    version is the newest entry. Appending never removes the previous entry,
+    so a concurrent reader always finds a complete version.
+    """
     (spark.createDataFrame([(version,)], "version string").coalesce(1)
-          .write.mode("overwrite").json(_pointer(lake, layer, table)))
+          .write.mode("append").json(_pointer(lake, layer, table)))
+
+
+def write_version(spark: SparkSession, df: DataFrame, lake: str, layer: str, table: str) -> str:
+    """S11 as a versioned overwrite: write a new version, then move the pointer."""
+    version, _ = stage_version(df, lake, layer, table)
+    publish_version(spark, lake, layer, table, version)
     return version
 
 
