@@ -71,7 +71,7 @@ def silver_tables(spark: SparkSession, sf_dir: str, as_of: str = DAY1) -> Silver
 def dim_bounds(spark: SparkSession, sf_dir: str) -> dict[str, int]:
     """Proven row bounds of the dimensions: their source tables' row counts."""
     from tillroll.functions.joins import source_rows_many
-    key = (id(spark), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _BOUNDS:  # the driver tables are read-only
         _BOUNDS[key] = source_rows_many(spark, {"products": binding.path(sf_dir, "part"),
                                                 "stores": binding.path(sf_dir, "supplier"),

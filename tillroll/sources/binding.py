@@ -60,7 +60,7 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of a driver table. The tables are read-only, so the scan frame
     (file listing and footer schema) is built once per session and path."""
     p = path(sf_dir, name)
-    key = (id(spark), p)
+    key = (spark.sparkContext.applicationId, id(spark), p)
     if key not in _SCANS:
         df = spark.read.parquet(p)
         _SCANS[key] = df if name in FIXED_SIZE else spread(df, spark, key=p)
