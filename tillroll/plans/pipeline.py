@@ -50,6 +50,13 @@ def _silver_read(spark, lake, t):
     return files.read_table(spark, lake, "silver", t)
 
 
+def read_dim_customer(spark: SparkSession, lake: str) -> DataFrame:
+    """The whole type 2 dimension: current rows plus published history."""
+    cur = files.read_table(spark, lake, "silver", "dim_customer")
+    hist = files.read_history(spark, lake, "silver", "dim_customer")
+    return cur if hist is None else cur.unionByName(hist.select(*cur.columns))
+
+
 def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
                  suite_as_of: str | None = None, realtime_bronze: str | None = None,
                  freshness_days: int = 3650, pass_rate: float = 0.95,
@@ -83,19 +90,24 @@ def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
     for t in ("products", "stores"):
         v[t] = files.write_version(spark, silver.conform(bronze[t], t), lake, "silver", t)
 
-    # Silver customer dimension: first load or type 2 merge (C1-C3). The new
-    # version is written to its own folder, so the merge may read the old one.
+    # Silver customer dimension: first load or type 2 merge (C1-C3). Only the
+    # current rows are rewritten (a new version folder, so the merge may read
+    # the old one); rows the merge closes are appended to the history, which
+    # is never rewritten. The run's history becomes visible with its version.
     staged = silver.conform(bronze["customers"], "customers").drop(*INGEST_STAMPS)
     if files.table_exists(spark, lake, "silver", "dim_customer"):
         old = files.read_table(spark, lake, "silver", "dim_customer")
         dim = scd2.scd2_merge(old, staged, ["customer_id"], ["loyalty_tier"], as_of, null_safe_scd)
     else:
         dim = scd2.scd2_initial(staged, as_of)
-    v["dim_customer"] = files.write_version(spark, dim, lake, "silver", "dim_customer")
-    dim = _silver_read(spark, lake, "dim_customer")
+    version, path = files.stage_version(scd2.current_rows(dim), lake, "silver", "dim_customer")
+    files.stage_history(dim.filter(~F.col("is_current")), lake, "silver", "dim_customer", version)
+    files.publish_version(spark, lake, "silver", "dim_customer", version)
+    v["dim_customer"] = version
+    dim = read_dim_customer(spark, lake)
     # Proven row bounds of the written dimensions (Parquet footers only):
     # dimensions under the broadcast limit are broadcast, larger ones shuffle.
-    bounds = {"customers": dim.count(),
+    bounds = {"customers": _silver_read(spark, lake, "dim_customer").count(),
               "products": _silver_read(spark, lake, "products").count(),
               "stores": _silver_read(spark, lake, "stores").count()}
 

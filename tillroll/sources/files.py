@@ -110,6 +110,38 @@ def write_version(spark: SparkSession, df: DataFrame, lake: str, layer: str, tab
     return version
 
 
+def published_versions(spark: SparkSession, lake: str, layer: str, table: str) -> list[str]:
+    """All published versions of a table (one pointer entry per run)."""
+    try:
+        return [r["version"] for r in
+                spark.read.json(_pointer(lake, layer, table)).select("version").collect()]
+    except Exception:  # noqa: BLE001 - never published
+        return []
+
+
+def stage_history(df: DataFrame, lake: str, layer: str, table: str, version: str) -> None:
+    """Append-only history: each run writes its rows to its own folder.
+
+    Rows become visible only once ``version`` is published on the table's
+    pointer (see ``read_history``), so a failed run's rows never show.
+    """
+    df.write.mode("overwrite").parquet(f"{lake.rstrip('/')}/{layer}/{table}/_history/run={version}")
+
+
+def read_history(spark: SparkSession, lake: str, layer: str, table: str,
+                 schema=None) -> DataFrame | None:
+    """History rows of all published runs (partition-pruned by run)."""
+    runs = published_versions(spark, lake, layer, table)
+    path = f"{lake.rstrip('/')}/{layer}/{table}/_history"
+    try:
+        h = spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - no history yet
+        return None
+    # run folders are numeric version ids; partition inference reads them as numbers
+    return h.filter(F.col("run").cast("bigint").isin([int(r) for r in runs])).drop("run") \
+        if runs else None
+
+
 def create_layers(spark: SparkSession, layers=("bronze", "silver", "gold")) -> None:
     """One database per layer in the session catalog."""
     for layer in layers:
