@@ -59,3 +59,23 @@ def test_stream_union_equals_batch_union(spark):
     s = {tuple(r) for r in E.queries()["stream_batch_union"](spark, SF).collect()}
     b = {tuple(r) for r in E.queries()["loyalty_feed_union"](spark, SF).collect()}
     assert s == b
+
+
+def test_continuous_leg_picks_up_new_files(spark):
+    import time
+    root = tempfile.mkdtemp(prefix="tillroll-cont-")
+    src = f"{root}/in"
+    os.makedirs(src)
+    line = '{{"event_id": "{}", "customer_id": "C1", "event_date": "2024-01-01", "event_type": "earn", "points": "1"}}\n'
+    with open(f"{src}/a.json", "w") as f:
+        f.write(line.format("E1"))
+    q = realtime.run_to_sink(realtime.realtime_leg(realtime.json_source(spark, src)), f"{root}/out",
+                             f"{root}/_ckpt", continuous_every="1 second")
+    try:
+        q.processAllAvailable()
+        with open(f"{src}/b.json", "w") as f:
+            f.write(line.format("E2"))
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.event_id for r in spark.read.parquet(f"{root}/out").collect()) == ["E1", "E2"]

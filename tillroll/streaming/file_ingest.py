@@ -10,45 +10,65 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.schemas import RAW_SCHEMAS, TABLES
 from tillroll.sources.files import stamp_ingest
 
 
-def landing_stream(spark: SparkSession, landing_dir: str, table: str,
-                   glob: str = "*.csv") -> DataFrame:
-    """Streaming CSV source for one landing table (explicit schema, S3)."""
-    return (spark.readStream.schema(RAW_SCHEMAS[table]).option("header", True)
-            .option("pathGlobFilter", glob).csv(f"{landing_dir.rstrip('/')}/{table}"))
+def landing_stream(spark: SparkSession, landing_dir: str, table: str, glob: str = "*.csv",
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming CSV source for one landing table (explicit schema, S3).
+
+    ``max_files_per_trigger`` splits a large backlog into several
+    micro-batches (availableNow honours it), bounding each batch's size.
+    """
+    reader = (spark.readStream.schema(RAW_SCHEMAS[table]).option("header", True)
+              .option("pathGlobFilter", glob))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.csv(f"{landing_dir.rstrip('/')}/{table}")
+
+
+def start_ingest(spark: SparkSession, landing_dir: str, table: str, bronze_path: str,
+                 checkpoint: str, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Start draining new landing files of one table into Bronze."""
+    src = landing_stream(spark, landing_dir, table, max_files_per_trigger=max_files_per_trigger)
+    return (stamp_ingest(src).writeStream.format("parquet")
+            .option("checkpointLocation", checkpoint)
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start(bronze_path))
+
+
+def _rows_added(query: StreamingQuery) -> int:
+    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
 
 
 def ingest_table(spark: SparkSession, landing_dir: str, table: str, bronze_path: str,
                  checkpoint: str, max_files_per_trigger: int | None = None) -> int:
     """Drain new landing files of one table into Bronze; returns rows added."""
-    src = landing_stream(spark, landing_dir, table)
-    q = (stamp_ingest(src).writeStream.format("parquet")
-         .option("checkpointLocation", checkpoint)
-         .outputMode("append")
-         .trigger(availableNow=True))
-    if max_files_per_trigger:
-        q = q.option("maxFilesPerTrigger", max_files_per_trigger)
-    query = q.start(bronze_path)
+    query = start_ingest(spark, landing_dir, table, bronze_path, checkpoint, max_files_per_trigger)
     query.awaitTermination()
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+    return _rows_added(query)
 
 
 def ingest_all(spark: SparkSession, landing_dir: str, lake: str,
                tables: list[str] | None = None) -> dict[str, int]:
     """Ingest every table; returns rows in each Bronze table afterwards.
 
-    The counts come from the written tables (one count aggregate each).
+    The tables are independent, so their streams run concurrently and share
+    the cluster; each stops when its landing folder is drained. The counts
+    come from the written tables.
     """
-    out = {}
     root = lake.rstrip("/")
-    for t in tables or TABLES:
-        ingest_table(spark, landing_dir, t, f"{root}/bronze/{t}", f"{root}/_checkpoints/{t}")
-        out[t] = spark.read.parquet(f"{root}/bronze/{t}").agg(F.count(F.lit(1))).first()[0]
-    return out
+    tables = tables or TABLES
+    queries = {t: start_ingest(spark, landing_dir, t, f"{root}/bronze/{t}", f"{root}/_checkpoints/{t}")
+               for t in tables}
+    for q in queries.values():
+        q.awaitTermination()
+    return {t: spark.read.parquet(f"{root}/bronze/{t}").agg(F.count(F.lit(1))).first()[0]
+            for t in tables}
 
 
 def stream_table(spark: SparkSession, dir_path: str, file_glob: str, schema) -> DataFrame:

@@ -71,9 +71,17 @@ def window_alerts(events: DataFrame, predicate: Column, ts: Column, window: str,
                           F.lit(alert).alias("alert"), F.lit(severity).alias("severity"), "hits"))
 
 
-def run_to_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """S12 (stream): append to a parquet sink; drain available input and stop."""
-    q = (df.writeStream.format("parquet").option("checkpointLocation", checkpoint)
-           .outputMode(mode).trigger(availableNow=True).start(path))
+def run_to_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
+                continuous_every: str | None = None) -> StreamingQuery:
+    """S12 (stream): append to a parquet sink.
+
+    By default drain the available input and stop (availableNow). With
+    ``continuous_every`` (e.g. "1 minute") the query keeps running on a
+    processing-time trigger and the handle is returned without waiting.
+    """
+    w = df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode(mode)
+    if continuous_every:
+        return w.trigger(processingTime=continuous_every).start(path)
+    q = w.trigger(availableNow=True).start(path)
     q.awaitTermination()
     return q
