@@ -99,3 +99,14 @@ def test_empty_landing_fails_fast(spark):
         .write.option("header", True).csv(f"{landing}/transactions")
     with pytest.raises(dq.DQGateError):
         pipeline.run_pipeline(spark, landing, lake, "2024-01-01")
+
+
+def test_layers_and_csv_export(spark):
+    root = tempfile.mkdtemp(prefix="tillroll-layers-")
+    files.create_layers(spark)
+    names = {d.name for d in spark.catalog.listDatabases()}
+    assert {"bronze", "silver", "gold"} <= names
+    df = spark.createDataFrame([("a", 1.5)], "k string, v double")
+    files.export_csv(df, f"{root}/out")
+    back = spark.read.option("header", True).csv(f"{root}/out").collect()
+    assert [(r.k, r.v) for r in back] == [("a", "1.5")]
