@@ -110,3 +110,19 @@ def test_layers_and_csv_export(spark):
     files.export_csv(df, f"{root}/out")
     back = spark.read.option("header", True).csv(f"{root}/out").collect()
     assert [(r.k, r.v) for r in back] == [("a", "1.5")]
+
+
+def test_cli_exit_code_on_failed_gate(spark):
+    import os
+    import subprocess
+    import sys
+    from tillroll.schemas import RAW_COLUMNS
+    root = tempfile.mkdtemp(prefix="tillroll-cli-")
+    for t, cols in RAW_COLUMNS.items():   # header-only extracts: zero rows each
+        os.makedirs(f"{root}/landing/{t}")
+        with open(f"{root}/landing/{t}/part-0.csv", "w") as f:
+            f.write(",".join(cols) + "\n")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    r = subprocess.run([sys.executable, "-m", "tillroll", "bronze", "--landing", f"{root}/landing",
+                        "--lake", f"{root}/lake"], cwd=repo, capture_output=True, text=True, timeout=300)
+    assert r.returncode == 1 and "landing zone below minimum" in r.stderr

@@ -9,6 +9,7 @@ anything is published.
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,92 +58,130 @@ def read_dim_customer(spark: SparkSession, lake: str) -> DataFrame:
     return cur if hist is None else cur.unionByName(hist.select(*cur.columns))
 
 
-def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
-                 suite_as_of: str | None = None, realtime_bronze: str | None = None,
-                 freshness_days: int = 3650, pass_rate: float = 0.95,
-                 landing_minimums: dict | None = None, export_csv: bool = False,
-                 null_safe_scd: bool = False) -> RunSummary:
-    """Run the whole job once. ``as_of`` is the run date (SCD2 validity)."""
-    summary = RunSummary()
-    lake = lake.rstrip("/")
+def _dim_bounds(spark: SparkSession, lake: str) -> dict[str, int]:
+    """Proven row bounds of the written dimensions (Parquet footers only):
+    dimensions under the broadcast limit are broadcast, larger ones shuffle."""
+    return {"customers": _silver_read(spark, lake, "dim_customer").count(),
+            "products": _silver_read(spark, lake, "products").count(),
+            "stores": _silver_read(spark, lake, "stores").count()}
 
-    # Fail fast on an empty or truncated landing zone.
+
+def run_bronze(spark: SparkSession, landing: str, lake: str,
+               landing_minimums: dict | None = None) -> dict:
+    """Task 1: landing gate (S8, D20), then drain landing files into Bronze."""
+    lake = lake.rstrip("/")
     landing_tables = {t: files.read_landing_csv(spark, f"{landing.rstrip('/')}/{t}", t)
                       for t in TABLES}
     counts = dq.enforce_landing(dq.landing_row_counts(landing_tables, landing_minimums))
-    summary.landing_rows = {r["table"]: r["rows"] for r in counts.collect()}
+    return {"landing_rows": {r["table"]: r["rows"] for r in counts.collect()},
+            "bronze_rows": file_ingest.ingest_all(spark, landing, lake)}
+
 
-    # Bronze: each landing file exactly once.
-    summary.bronze_rows = file_ingest.ingest_all(spark, landing, lake)
+def run_silver(spark: SparkSession, lake: str, as_of: str, *, realtime_bronze: str | None = None,
+               pass_rate: float = 0.95, null_safe_scd: bool = False) -> dict:
+    """Task 2: Bronze -> Silver. Returns the reject accounting and versions."""
+    lake = lake.rstrip("/")
     bronze = {t: spark.read.parquet(f"{lake}/bronze/{t}") for t in TABLES}
+    v = {}
 
-    # Silver transactions: staged, counted from its footers, and published
-    # only when the pass rate holds (Q9) - a failing cleanse is never visible.
+    # Transactions: staged, counted from its footers, and published only when
+    # the pass rate holds (Q9) - a failing cleanse is never visible.
     version, path = files.stage_version(silver.cleanse_transactions(bronze["transactions"]),
                                         lake, "silver", "transactions")
     acc = silver.reject_counts(bronze["transactions"], spark.read.parquet(path).count())
-    summary.accounting = acc
     if acc["pass_rate"] < pass_rate:
         raise dq.DQGateError(f"transactions pass rate {acc['pass_rate']:.2%} below {pass_rate:.0%}")
     files.publish_version(spark, lake, "silver", "transactions", version)
-    v = summary.silver_versions
     v["transactions"] = version
     for t in ("products", "stores"):
         v[t] = files.write_version(spark, silver.conform(bronze[t], t), lake, "silver", t)
 
-    # Silver customer dimension: first load or type 2 merge (C1-C3). Only the
-    # current rows are rewritten (a new version folder, so the merge may read
-    # the old one); rows the merge closes are appended to the history, which
-    # is never rewritten. The run's history becomes visible with its version.
+    # Customer dimension: first load or type 2 merge (C1-C3). Only the current
+    # rows are rewritten (a new version folder, so the merge may read the old
+    # one); rows the merge closes are appended to the history, which is never
+    # rewritten. The run's history becomes visible with its version.
     staged = silver.conform(bronze["customers"], "customers").drop(*INGEST_STAMPS)
     if files.table_exists(spark, lake, "silver", "dim_customer"):
         old = files.read_table(spark, lake, "silver", "dim_customer")
         dim = scd2.scd2_merge(old, staged, ["customer_id"], ["loyalty_tier"], as_of, null_safe_scd)
     else:
         dim = scd2.scd2_initial(staged, as_of)
-    version, path = files.stage_version(scd2.current_rows(dim), lake, "silver", "dim_customer")
+    version, _ = files.stage_version(scd2.current_rows(dim), lake, "silver", "dim_customer")
     files.stage_history(dim.filter(~F.col("is_current")), lake, "silver", "dim_customer", version)
     files.publish_version(spark, lake, "silver", "dim_customer", version)
     v["dim_customer"] = version
-    dim = read_dim_customer(spark, lake)
-    # Proven row bounds of the written dimensions (Parquet footers only):
-    # dimensions under the broadcast limit are broadcast, larger ones shuffle.
-    bounds = {"customers": _silver_read(spark, lake, "dim_customer").count(),
-              "products": _silver_read(spark, lake, "products").count(),
-              "stores": _silver_read(spark, lake, "stores").count()}
-
-    # Silver loyalty: batch and realtime feeds, accepted types, known customers.
+
+    # Loyalty: batch and realtime feeds, accepted types, known customers.
     rt = spark.read.parquet(realtime_bronze) if realtime_bronze else None
-    valid = scd2.current_rows(dim).select("customer_id")
+    current = _silver_read(spark, lake, "dim_customer")
     loyalty = silver.silver_loyalty(silver.drop_stamps(bronze["loyalty_events"]),
-                                    silver.drop_stamps(rt) if rt is not None else None, valid,
-                                    bounds["customers"])
+                                    silver.drop_stamps(rt) if rt is not None else None,
+                                    current.select("customer_id"), current.count())
     v["loyalty_events"] = files.write_version(spark, loyalty, lake, "silver", "loyalty_events")
+    return {"accounting": acc, "versions": v}
+
 
-    # Gate (Q6-Q8, D12): stored, then enforced before Gold.
-    txns = _silver_read(spark, lake, "transactions")
-    loyalty = _silver_read(spark, lake, "loyalty_events")
-    results = dq.silver_suite(txns, dim, loyalty, suite_as_of or as_of, freshness_days,
-                              customer_rows=bounds["customers"])
-    results.withColumn("run_as_of", F.lit(as_of)).write.mode("append").parquet(f"{lake}/dq_results")
-    stored = spark.read.parquet(f"{lake}/dq_results").filter(F.col("run_as_of") == as_of)
-    summary.dq_failed = stored.filter(F.col("status") == "FAIL").count()
-    dq.enforce(results)
-
-    # Gold: every fact aggregate from one pass over the enriched fact
-    # (grouping sets), staged once, then split into the Gold tables. The
-    # fact is never cached, however large it is.
-    enriched = gold.enrich(txns, _silver_read(spark, lake, "products"),
-                           _silver_read(spark, lake, "stores"), scd2.current_rows(dim), bounds)
+def run_quality_gate(spark: SparkSession, lake: str, as_of: str, *, suite_as_of: str | None = None,
+                     freshness_days: int = 3650) -> DataFrame:
+    """Task 3: the six Silver checks (Q6-Q8, D12), stored, then enforced.
+
+    Results are appended to ``<lake>/dq_results`` with a run id before the
+    gate raises, so a failed run still leaves its evidence.
+    """
+    lake = lake.rstrip("/")
+    run_id = f"{int(time.time() * 1000):015d}"
+    results = dq.silver_suite(_silver_read(spark, lake, "transactions"), read_dim_customer(spark, lake),
+                              _silver_read(spark, lake, "loyalty_events"), suite_as_of or as_of,
+                              freshness_days, customer_rows=_dim_bounds(spark, lake)["customers"])
+    (results.withColumn("run_as_of", F.lit(as_of)).withColumn("run_id", F.lit(run_id))
+            .write.mode("append").parquet(f"{lake}/dq_results"))
+    stored = spark.read.parquet(f"{lake}/dq_results").filter(F.col("run_id") == run_id)
+    return dq.enforce(stored)
+
+
+def run_gold(spark: SparkSession, lake: str, *, export_csv: bool = False) -> dict:
+    """Task 4: Silver -> Gold.
+
+    Every fact aggregate comes from one pass over the enriched fact (grouping
+    sets), staged once, then split into the Gold tables. The fact is never
+    cached, however large it is.
+    """
+    lake = lake.rstrip("/")
+    enriched = gold.enrich(_silver_read(spark, lake, "transactions"), _silver_read(spark, lake, "products"),
+                           _silver_read(spark, lake, "stores"), _silver_read(spark, lake, "dim_customer"),
+                           _dim_bounds(spark, lake))
     stage = files.write_version(spark, gold.gold_one_pass(enriched), lake, "gold", "_one_pass")
     agg = spark.read.parquet(f"{lake}/gold/_one_pass/v={stage}")
     outputs = {name: gold.from_one_pass(agg, name) for name in
                ("sales_by_region_category_month", "loyalty_tier_value", "store_performance")}
-    outputs["loyalty_points_liability"] = gold.points_liability(loyalty)
+    outputs["loyalty_points_liability"] = gold.points_liability(_silver_read(spark, lake, "loyalty_events"))
+    versions = {}
     for name, df in outputs.items():
-        summary.gold_versions[name] = files.write_version(spark, df, lake, "gold", name)
+        versions[name] = files.write_version(spark, df, lake, "gold", name)
         if export_csv:
             files.export_csv(files.read_table(spark, lake, "gold", name), f"{lake}/export/{name}")
+    return versions
+
+
+def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
+                 suite_as_of: str | None = None, realtime_bronze: str | None = None,
+                 freshness_days: int = 3650, pass_rate: float = 0.95,
+                 landing_minimums: dict | None = None, export_csv: bool = False,
+                 null_safe_scd: bool = False) -> RunSummary:
+    """Run the whole job once: the four tasks in order. ``as_of`` is the run
+    date (SCD2 validity); ``suite_as_of`` the freshness reference date."""
+    summary = RunSummary()
+    b = run_bronze(spark, landing, lake, landing_minimums)
+    summary.landing_rows, summary.bronze_rows = b["landing_rows"], b["bronze_rows"]
+    s = run_silver(spark, lake, as_of, realtime_bronze=realtime_bronze, pass_rate=pass_rate,
+                   null_safe_scd=null_safe_scd)
+    summary.accounting, summary.silver_versions = s["accounting"], s["versions"]
+    try:
+        run_quality_gate(spark, lake, as_of, suite_as_of=suite_as_of, freshness_days=freshness_days)
+    except dq.DQGateError:
+        summary.dq_failed = -1
+        raise
+    summary.gold_versions = run_gold(spark, lake, export_csv=export_csv)
     return summary
 
 
