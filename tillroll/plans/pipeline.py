@@ -150,8 +150,8 @@ def run_gold(spark: SparkSession, lake: str, *, export_csv: bool = False) -> dic
     enriched = gold.enrich(_silver_read(spark, lake, "transactions"), _silver_read(spark, lake, "products"),
                            _silver_read(spark, lake, "stores"), _silver_read(spark, lake, "dim_customer"),
                            _dim_bounds(spark, lake))
-    stage = files.write_version(spark, gold.gold_one_pass(enriched), lake, "gold", "_one_pass")
-    agg = spark.read.parquet(f"{lake}/gold/_one_pass/v={stage}")
+    stage = files.write_version(spark, gold.gold_one_pass(enriched), lake, "gold", "one_pass")
+    agg = spark.read.parquet(f"{lake}/gold/one_pass/v={stage}")
     outputs = {name: gold.from_one_pass(agg, name) for name in
                ("sales_by_region_category_month", "loyalty_tier_value", "store_performance")}
     outputs["loyalty_points_liability"] = gold.points_liability(_silver_read(spark, lake, "loyalty_events"))
@@ -189,7 +189,7 @@ def gold_views(spark: SparkSession, lake: str, perspective: str | None = None) -
     """Publish the Gold tables under their fact names."""
     facts = {fact: files.read_table(spark, lake, "gold", table)
              for fact, table in semantic.FACT_TABLES.items()}
-    bounds = gold.from_one_pass(files.read_table(spark, lake, "gold", "_one_pass"), "date_range")
+    bounds = gold.from_one_pass(files.read_table(spark, lake, "gold", "one_pass"), "date_range")
     dates = semantic.dim_date_between(bounds.select(F.col("first_date").alias("lo"),
                                                     F.col("last_date").alias("hi")))
     return semantic.register_views(spark, facts, dates, perspective)

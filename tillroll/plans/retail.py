@@ -129,8 +129,8 @@ def gold_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     from tillroll.session import work_path
 
     root = work_path(spark, "gold_snapshot", fresh=True)
-    gold.gold_one_pass(enriched(spark, sf_dir)).write.mode("overwrite").parquet(f"{root}/_one_pass")
-    agg = spark.read.parquet(f"{root}/_one_pass")
+    gold.gold_one_pass(enriched(spark, sf_dir)).write.mode("overwrite").parquet(f"{root}/one_pass")
+    agg = spark.read.parquet(f"{root}/one_pass")
     bounds = gold.from_one_pass(agg, "date_range").select(F.col("first_date").alias("lo"),
                                                           F.col("last_date").alias("hi"))
     return {

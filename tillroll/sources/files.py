@@ -125,14 +125,14 @@ def stage_history(df: DataFrame, lake: str, layer: str, table: str, version: str
     Rows become visible only once ``version`` is published on the table's
     pointer (see ``read_history``), so a failed run's rows never show.
     """
-    df.write.mode("overwrite").parquet(f"{lake.rstrip('/')}/{layer}/{table}/_history/run={version}")
+    df.write.mode("overwrite").parquet(f"{lake.rstrip('/')}/{layer}/{table}/history/run={version}")
 
 
 def read_history(spark: SparkSession, lake: str, layer: str, table: str,
                  schema=None) -> DataFrame | None:
     """History rows of all published runs (partition-pruned by run)."""
     runs = published_versions(spark, lake, layer, table)
-    path = f"{lake.rstrip('/')}/{layer}/{table}/_history"
+    path = f"{lake.rstrip('/')}/{layer}/{table}/history"
     try:
         h = spark.read.parquet(path)
     except Exception:  # noqa: BLE001 - no history yet
