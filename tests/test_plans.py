@@ -52,3 +52,43 @@ def test_hot_key_dedupe_correct(spark):
     out = silver.dedupe(df, ["transaction_id"], [F.col("transaction_date")])
     got = {r.transaction_id: r.transaction_date for r in out.collect()}
     assert len(got) == 41 and got["HOT"] == "2024-01-01"
+
+
+def test_hot_store_split_by_aqe_skew_join(spark):
+    """A store holding a third of all sales, dimensions not broadcast: AQE
+    splits the skewed join partition and the totals stay exact."""
+    from tillroll.operators import gold
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        n = 30000
+        tx = spark.range(n).select(
+            F.col("id").cast("string").alias("transaction_id"),
+            (F.col("id") % 500).cast("string").alias("customer_id"),
+            (F.col("id") % 50).cast("string").alias("product_id"),
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 97).cast("string")).alias("store_id"),
+            F.lit("2024-01-05").cast("date").alias("transaction_date"),
+            F.lit(1).alias("quantity"), F.lit(10).cast("decimal(18,2)").alias("amount"))
+        stores = spark.range(97).select(F.col("id").cast("string").alias("store_id"), F.lit("R").alias("region"),
+                                        F.lit("Mall").alias("store_format")).union(
+            spark.createDataFrame([("HOT", "R", "Mall")], "store_id string, region string, store_format string"))
+        products = spark.range(50).select(F.col("id").cast("string").alias("product_id"), F.lit("C").alias("category"),
+                                          F.lit(0.5).cast("decimal(4,3)").alias("cost_price_pct"))
+        cust = spark.range(500).select(F.col("id").cast("string").alias("customer_id"), F.lit("Gold").alias("loyalty_tier"))
+        perf = gold.store_performance(gold.enrich(tx, products, stores, cust))
+        rows = {r.store_id: (r.revenue, r.transactions) for r in perf.collect()}
+        assert rows["HOT"] == (100000.0, 10000) and sum(t for _, t in rows.values()) == n
+        assert "SortMergeJoin(skew=true)" in plan(perf)
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
