@@ -112,8 +112,6 @@ def typed_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.event_type_in(silver.type_table(rt, "loyalty_events"))
 
 
-def month_of(col: str) -> F.Column:
-    return F.date_format(col, "yyyy-MM")
 
 
 def gold_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

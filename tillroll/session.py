@@ -8,7 +8,6 @@ unset, which happens in local tests.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -76,21 +75,3 @@ def work_path(spark: SparkSession, *parts: str, fresh: bool = False) -> str:
         parts = (*parts, uuid.uuid4().hex[:12])
     sep = "" if base.endswith("/") else "/"
     return base + sep + "/".join(parts) if parts else base
-
-
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def local_fs_path(path: str) -> str:
-    return path[len("file:"):] if path.startswith("file:") else path
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence check that works for local and Hadoop-style paths."""
-    if is_local_path(path):
-        return os.path.exists(local_fs_path(path))
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
