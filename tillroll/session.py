@@ -35,6 +35,16 @@ SCALE_CONF = {
 }
 
 
+def shuffle_partitions_for(largest_shuffle_bytes: int, target_bytes: int = 256 << 20) -> int:
+    """Initial shuffle partitions so the largest shuffle has ~target-sized
+    partitions; AQE then coalesces the smaller stages to the advisory size.
+
+    The fact dedupe shuffles roughly the Bronze transactions' width: 100 TB
+    of input gives about 400,000 partitions of 256 MB.
+    """
+    return max(1, -(-largest_shuffle_bytes // target_bytes))
+
+
 def build_session(
     app: str = "tillroll",
     master: str | None = None,
