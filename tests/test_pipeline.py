@@ -78,6 +78,10 @@ def test_pipeline_two_runs(spark):
     names = pipeline.gold_views(spark, lake)
     assert "fact_sales" in names
     assert spark.sql("SELECT count(*) FROM fact_sales").first()[0] > 0
+    assert pipeline.gold_views(spark, lake, "StoreOperations") == ["fact_store_performance", "dim_date"]
+    assert pipeline.gold_views(spark, lake, "ExecutiveSummary") == ["fact_sales", "fact_loyalty_tier_value"]
+    first_day = files.read_table(spark, lake, "silver", "transactions").agg(F.min("transaction_date")).first()[0]
+    assert spark.sql("SELECT min(date) AS d FROM dim_date").first().d == first_day
 
 
 def test_gate_blocks_gold(spark):
