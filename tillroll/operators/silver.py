@@ -118,15 +118,20 @@ def reject_accounting(bronze: DataFrame) -> DataFrame:
     q = coerce_number("quantity", "int")
     qty_ok = F.coalesce(q > 0, F.lit(False))
     cust_ok = present("customer_id")
-    ok = qty_ok & cust_ok
-    tid = F.col("transaction_id")
-    agg = bronze.agg(
-        F.count(F.lit(1)).alias("total"),
+    # Per transaction id first (map-side combined), then rolled up: a key
+    # survives the dedupe when it has at least one passing row (the NULL id
+    # is one key, as in the dedupe). No DISTINCT aggregate, no Expand.
+    per_id = bronze.groupBy("transaction_id").agg(
+        F.count(F.lit(1)).alias("rows"),
         F.count_if(~qty_ok).alias("bad_quantity"),
         F.count_if(qty_ok & ~cust_ok).alias("missing_customer"),
-        F.count_if(ok).alias("passing"),
-        (F.count_distinct(F.when(ok, tid))
-         + F.max(F.when(ok & tid.isNull(), 1).otherwise(0))).alias("clean"),
+        F.count_if(qty_ok & cust_ok).alias("passing"))
+    agg = per_id.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum("bad_quantity"), F.lit(0)).alias("bad_quantity"),
+        F.coalesce(F.sum("missing_customer"), F.lit(0)).alias("missing_customer"),
+        F.coalesce(F.sum("passing"), F.lit(0)).alias("passing"),
+        F.count_if(F.col("passing") > 0).alias("clean"),
     )
     return agg.select(
         "total", "clean",
