@@ -93,6 +93,8 @@ def test_gate_blocks_gold(spark):
         pipeline.run_pipeline(spark, landing, lake, "2024-01-01", freshness_days=1,
                               pass_rate=E2E_PASS_RATE)
     assert not files.table_exists(spark, lake, "gold", "sales_by_region_category_month")
+    stored = spark.read.parquet(f"{lake}/dq_results")
+    assert stored.count() == 6 and stored.filter("status = 'FAIL'").select("check_name").first()[0] == "freshness"
 
 
 def test_empty_landing_fails_fast(spark):
