@@ -78,3 +78,29 @@ def test_storage_saving_matches_cost_model(spark):
     s = oplog.storage_saving(oplog.storage_cost(tiers)).first()
     assert round(s.cost_all_hot, 2) == 912.00 and round(s.cost_tiered, 2) == 402.00
     assert round(s.saving_pct, 3) == 0.559
+
+
+def test_failures_by_activity_window_and_filters(spark):
+    rows = [(T(2024, 1, 20), "pl_medallion_refresh", "run_dq_suite_gate", "Failed"),
+            (T(2024, 1, 21), "pl_medallion_refresh", "run_dq_suite_gate", "Failed"),
+            (T(2024, 1, 21), "pl_medallion_refresh", "copy_source_extracts_to_landing", "Failed"),
+            (T(2024, 1, 21), "pl_medallion_refresh", "copy_source_extracts_to_landing", "Succeeded"),
+            (T(2024, 1, 21), "other", "copy_source_extracts_to_landing", "Failed"),
+            (T(2023, 12, 1), "pl_medallion_refresh", "run_dq_suite_gate", "Failed")]   # older than 30 days
+    acts = ntz(spark.createDataFrame(rows, "TimeGenerated timestamp, PipelineName string, ActivityName string, Status string"),
+               "TimeGenerated")
+    got = [(r.ActivityName, r.FailureCount) for r in oplog.failures_by_activity(acts, "2024-01-31 00:00:00").collect()]
+    assert got == [("run_dq_suite_gate", 2), ("copy_source_extracts_to_landing", 1)]
+    gate = [(r.window_start, r.hits, r.severity) for r in oplog.alert_gate_failed(acts).collect()]
+    assert sorted(gate) == [(T(2023, 12, 1), 1, 2), (T(2024, 1, 20), 1, 2), (T(2024, 1, 21), 1, 2)]
+
+
+def test_daily_usage_sums_one_metric(spark):
+    rows = [(T(2024, 1, 20, 1), "MICROSOFT.DATABRICKS", "DBUUsage", 1.1),
+            (T(2024, 1, 20, 9), "MICROSOFT.DATABRICKS", "DBUUsage", 2.2),
+            (T(2024, 1, 20, 9), "MICROSOFT.DATABRICKS", "CPUUsage", 50.0),
+            (T(2024, 1, 20, 9), "MICROSOFT.STORAGE", "DBUUsage", 7.0)]
+    m = ntz(spark.createDataFrame(rows, "TimeGenerated timestamp, ResourceProvider string, MetricName string, Total double"),
+            "TimeGenerated")
+    got = [(r.TimeGenerated, r.DailyDBUs) for r in oplog.daily_usage(m, "2024-01-31 00:00:00").collect()]
+    assert got == [(T(2024, 1, 20), 3.3)]                # exact decimal sum, not 3.3000000000000003
