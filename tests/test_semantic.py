@@ -47,3 +47,25 @@ def test_calendar_rollup_levels(spark):
     assert got[(2024, None, None, 3)] == 15.0
     assert got[(2024, "Q2", None, 1)] == 5.0
     assert got[(2024, "Q1", "2024-01", 0)] == 10.0
+
+
+def test_simple_measures_and_defaults(spark):
+    f = fact(spark, [("2024-01", "A", 0.1, 0.05, 1), ("2024-01", "A", 0.2, 0.05, 2), ("2024-02", "B", 1.0, 0.5, 1)])
+    tot = {r.region: r.total_revenue for r in semantic.total_revenue(f, ["region"]).collect()}
+    assert tot == {"A": 0.3, "B": 1.0}                     # exact: not 0.30000000000000004
+    d = {r.region: tuple(r)[1:] for r in semantic.default_summary(
+        f.withColumn("units", f.transactions), "fact_sales", ["region"]).collect()}
+    assert d["A"] == (0.3, 3, 0.1, 3)
+    stores = spark.createDataFrame([("S1", "Mall", "R", 10.0, 1.0), ("S2", "Mall", "R", 20.0, 2.0),
+                                    ("S3", "Express", "R", 5.0, 0.0)],
+                                   "store_id string, store_format string, region string, revenue double, gross_margin double")
+    avg = {r.store_format: r.avg_revenue_per_store for r in semantic.avg_revenue_per_store(stores, ["store_format"]).collect()}
+    assert avg == {"Mall": 15.0, "Express": 5.0}
+    ops = {r.store_format: (r.stores, r.gross_margin_pct) for r in semantic.store_operations(stores).collect()}
+    assert ops == {"Mall": (2, 0.1), "Express": (1, 0.0)}
+    tiers = spark.createDataFrame([("Gold", 2, 100.0), ("Bronze", 0, 0.0)], "loyalty_tier string, customers long, revenue double")
+    rpc = {r.loyalty_tier: r.revenue_per_customer for r in semantic.revenue_per_customer(tiers, ["loyalty_tier"]).collect()}
+    assert rpc == {"Gold": 50.0, "Bronze": None}
+    es = {r.measure: r.value for r in semantic.executive_summary(f, tiers).collect()}
+    assert es["Total Revenue"] == 1.3 and es["Revenue per Loyalty Customer"] == 50.0
+    assert es["Revenue per Transaction"] == 1.3 / 4
