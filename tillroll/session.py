@@ -67,14 +67,19 @@ def build_session(
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; set a local one only if unset."""
+    """The cluster's shared checkpoint folder; a local one only if unset.
+
+    ``spark.checkpoint.dir`` is a core setting read at start-up (it cannot be
+    changed at run time), so the fallback folder is registered with
+    ``setCheckpointDir`` instead. That happens in local runs only.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
-        path = tempfile.mkdtemp(prefix="tillroll-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
+        spark.sparkContext.setCheckpointDir(local)
+        path = spark.sparkContext.getCheckpointDir() or local
     return path
 
 
