@@ -606,3 +606,19 @@ FROM (SELECT CAST(SUM(CAST(cost_tiered AS DECIMAL(38,6))) AS DOUBLE) AS cost_tie
 def q_storage_saving(spark, sf):
     """Tiered against all-hot monthly cost and the saving share."""
     return oplog.storage_saving(q_storage_cost(spark, sf))
+
+
+@register("alert_runtime_stream", L(f"""SELECT time_bucket(INTERVAL 30 MINUTE, TimeGenerated) AS window_start,
+       time_bucket(INTERVAL 30 MINUTE, TimeGenerated) + INTERVAL 30 MINUTE AS window_end,
+       'runtime_exceeded' AS alert, 3 AS severity, count(*) AS hits
+FROM jobs WHERE JobName = 'medallion_daily_refresh' AND DurationMinutes > 90
+GROUP BY 1, 2
+HAVING time_bucket(INTERVAL 30 MINUTE, TimeGenerated) + INTERVAL 30 MINUTE
+       <= (SELECT max(TimeGenerated) FROM jobs) - INTERVAL {STREAM_DELAY.split()[0]} MINUTE"""))
+def q_alert_runtime_stream(spark, sf):
+    """T4 for L8: job runs over 90 minutes, 30-minute windows, as a stream."""
+    jobs = binding.jobs_from_events(_events_stream(spark, sf))
+    alerts = realtime.window_alerts(
+        jobs, (F.col("JobName") == oplog.JOB) & (F.col("DurationMinutes") > oplog.RUNTIME_LIMIT_MIN),
+        F.col("TimeGenerated").cast("timestamp"), "30 minutes", STREAM_DELAY, "runtime_exceeded", 3)
+    return _drain(spark, alerts, "alert_runtime_stream")

@@ -270,7 +270,11 @@ def activity_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """DatabricksJobs: value is the run's duration in minutes."""
-    ev = read(spark, sf_dir, "events")
+    return jobs_from_events(read(spark, sf_dir, "events"))
+
+
+def jobs_from_events(ev: DataFrame) -> DataFrame:
+    """Map an events frame (batch or streaming) to job-run log rows."""
     name = F.when(F.col("event_type").isin("purchase", "view", "error"), F.lit(JOB_NAME)) \
         .otherwise(F.lit(OTHER_JOB))
     return ev.select(_ts().alias("TimeGenerated"), name.alias("JobName"),
