@@ -79,3 +79,16 @@ def test_continuous_leg_picks_up_new_files(spark):
     finally:
         q.stop()
     assert sorted(r.event_id for r in spark.read.parquet(f"{root}/out").collect()) == ["E1", "E2"]
+
+
+def test_backlog_drains_in_bounded_batches(spark):
+    root = tempfile.mkdtemp(prefix="tillroll-backlog-")
+    landing = f"{root}/landing"
+    for _ in range(3):   # three extracts waiting
+        binding.raw_stores(spark, SF).coalesce(1).write.mode("append").option("header", True).csv(f"{landing}/stores")
+    q = file_ingest.start_ingest(spark, landing, "stores", f"{root}/bronze/stores", f"{root}/_ckpt/stores",
+                                 max_files_per_trigger=1)
+    q.awaitTermination()
+    batches = [p for p in q.recentProgress if int(p.get("numInputRows", 0)) > 0]
+    assert len(batches) == 3
+    assert spark.read.parquet(f"{root}/bronze/stores").count() == 3 * binding.raw_stores(spark, SF).count()

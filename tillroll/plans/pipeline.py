@@ -67,14 +67,19 @@ def _dim_bounds(spark: SparkSession, lake: str) -> dict[str, int]:
 
 
 def run_bronze(spark: SparkSession, landing: str, lake: str,
-               landing_minimums: dict | None = None) -> dict:
-    """Task 1: landing gate (S8, D20), then drain landing files into Bronze."""
+               landing_minimums: dict | None = None,
+               max_files_per_trigger: int | None = None) -> dict:
+    """Task 1: landing gate (S8, D20), then drain landing files into Bronze.
+
+    ``max_files_per_trigger`` drains a large backlog in bounded micro-batches.
+    """
     lake = lake.rstrip("/")
     landing_tables = {t: files.read_landing_csv(spark, f"{landing.rstrip('/')}/{t}", t)
                       for t in TABLES}
     counts = dq.enforce_landing(dq.landing_row_counts(landing_tables, landing_minimums))
     return {"landing_rows": {r["table"]: r["rows"] for r in counts.collect()},
-            "bronze_rows": file_ingest.ingest_all(spark, landing, lake)}
+            "bronze_rows": file_ingest.ingest_all(spark, landing, lake,
+                                                  max_files_per_trigger=max_files_per_trigger)}
 
 
 def run_silver(spark: SparkSession, lake: str, as_of: str, *, realtime_bronze: str | None = None,

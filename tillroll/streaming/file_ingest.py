@@ -54,7 +54,8 @@ def ingest_table(spark: SparkSession, landing_dir: str, table: str, bronze_path:
 
 
 def ingest_all(spark: SparkSession, landing_dir: str, lake: str,
-               tables: list[str] | None = None) -> dict[str, int]:
+               tables: list[str] | None = None,
+               max_files_per_trigger: int | None = None) -> dict[str, int]:
     """Ingest every table; returns rows in each Bronze table afterwards.
 
     The tables are independent, so their streams run concurrently and share
@@ -63,7 +64,8 @@ def ingest_all(spark: SparkSession, landing_dir: str, lake: str,
     """
     root = lake.rstrip("/")
     tables = tables or TABLES
-    queries = {t: start_ingest(spark, landing_dir, t, f"{root}/bronze/{t}", f"{root}/_checkpoints/{t}")
+    queries = {t: start_ingest(spark, landing_dir, t, f"{root}/bronze/{t}", f"{root}/_checkpoints/{t}",
+                               max_files_per_trigger)
                for t in tables}
     for q in queries.values():
         q.awaitTermination()
