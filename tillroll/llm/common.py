@@ -37,6 +37,6 @@ def bounded_arrow_batches(spark: SparkSession, rows: int = 512, size: int = 32 <
     """
     for key, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", rows),
                        ("spark.sql.execution.arrow.maxBytesPerBatch", size)):
-        now = int(spark.conf.get(key, "0") or 0)
-        if now <= 0 or now > value:
+        now = spark.conf.get(key).rstrip("b")
+        if not now.lstrip("-").isdigit() or not 0 < int(now) <= value:
             spark.conf.set(key, str(value))

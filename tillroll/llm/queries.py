@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, fingerprints, secrets, sharding
+from tillroll.llm import (
+    decontaminate,
+    fingerprints,
+    language_id,
+    mixing,
+    quality,
+    samples,
+    secret_scan,
+    sharding,
+    simhash,
+    token_counts,
+)
 from tillroll.llm.common import table
+from tillroll.session import work_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -22,6 +36,30 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = samples.id_remainder(F.col("doc_id"), 4) == 2
+    model = language_id.fit(spark, docs, train=~held_out)
+    return language_id.identify(spark, docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own, so that every run encodes all distinct texts
+    return token_counts.count_tokens(spark, table(spark, sf_dir, "documents"),
+                                     public_tokenizers.path("word_bpe_49k.json"),
+                                     work_path(spark, "token-cache", fresh=True))
+
+
+@query("op3_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = samples.id_remainder(F.col("doc_id"), 5) == 0
+    model = quality.fit(spark, docs, table(spark, sf_dir, "labels"), train=~held_out)
+    return quality.score(spark, docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 @query("op4_fingerprints")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
@@ -29,7 +67,12 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_secrets")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.scan(table(spark, sf_dir, "documents"))
+    return secret_scan.scan(table(spark, sf_dir, "documents"))
+
+
+@query("op7_simhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))
 
 
 @query("op8_sharding")
@@ -37,6 +80,12 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(spark, table(spark, sf_dir, "documents"))
 
 
+@query("op9_mixing")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies")
+
+
 @query("op10_decontaminate")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
