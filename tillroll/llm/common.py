@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import gc
+
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,3 +43,39 @@ def bounded_arrow_batches(spark: SparkSession, rows: int = 512, size: int = 32 <
         now = spark.conf.get(key).rstrip("b")
         if not now.lstrip("-").isdigit() or not 0 < int(now) <= value:
             spark.conf.set(key, str(value))
+
+
+BITS = 1 << 27
+_BITMAP = 32768  # bits in one value of bitmap_construct_agg
+
+
+def bit_set(values: DataFrame, col: str, bits: int = BITS) -> np.ndarray:
+    """A fixed-size bit set (16 MB) with bit ``col mod bits`` set for every row.
+
+    Built as map-side combined bitmaps; the driver gets at most bits / 32768
+    rows of 4 KB whatever the number of rows. It is a filter without false
+    negatives: what passes it is checked exactly afterwards.
+    """
+    slot = F.pmod(F.col(col), F.lit(bits)) + 1
+    parts = values.groupBy(F.bitmap_bucket_number(slot).alias("part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(slot)).alias("bitmap")).toArrow()
+    out = np.zeros(bits // 8, np.uint8)
+    for part, bitmap in zip(parts.column("part").to_pylist(), parts.column("bitmap").to_pylist()):
+        at = (part - 1) * (_BITMAP // 8)
+        out[at:at + len(bitmap)] = np.frombuffer(bitmap, np.uint8)
+    return out
+
+
+def in_bit_set(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
+    slot = values.astype(np.int64) & (len(bits) * 8 - 1)
+    return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Let the context cleaner drop the shuffle files of finished steps.
+
+    They go when the driver's references are collected, which a small driver
+    heap may put off until long after the disk was needed.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()

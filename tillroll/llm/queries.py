@@ -18,6 +18,7 @@ from tillroll.llm import (
     secret_scan,
     sharding,
     simhash,
+    substring_dedup,
     token_counts,
 )
 from tillroll.llm.common import table
@@ -70,6 +71,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
+@query("op6_substring_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"))
+
+
 @query("op7_simhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(spark, table(spark, sf_dir, "documents"))

@@ -1,10 +1,44 @@
-"""Pipeline stages: each calls one operator and lets its decisions take effect."""
+"""Pipeline stages: each calls one operator and lets its decisions take effect.
+
+All but the last keep the columns of their input, whatever these are besides
+doc_id, text, source and lang. Rows with a NULL id cannot be told apart by the
+deduplicating stage and go there.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tillroll.llm import decontaminate as decontamination
+from tillroll.llm import language_id as languages
+from tillroll.llm import mixing, sharding, simhash
+from tillroll.llm.common import table
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents whose language is undetermined; a filter in the scan."""
+    predict = languages.predictor(spark, languages.fit(spark, docs))
+    return docs.filter(predict(F.col("text"))["lang_pred"] != languages.UNKNOWN)
+
+
+def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of every near-duplicate group."""
+    found = simhash.near_duplicates(spark, docs)
+    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
+    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents that the benchmark contaminates."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    return docs.join(found.filter("contaminated").select("doc_id").distinct(), "doc_id", "left_anti")
+
 
-from tillroll.llm import sharding
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the mix takes it (up to twice)."""
+    return mixing.mix(docs, carry=True).filter("copies > 0") \
+        .select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
