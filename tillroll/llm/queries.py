@@ -71,7 +71,56 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf_dir, "documents"))
 
 
-@query("op6_substring_dedup")
+SUBSTRING_SQL = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+win AS (
+  SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS k
+  FROM w, unnest(range(1, len(ws) - 11)) AS t(p)),
+own AS (SELECT k, min(doc_id) AS o FROM win GROUP BY k),
+gone AS (
+  SELECT DISTINCT doc_id, p + j AS p
+  FROM win JOIN own USING (k), unnest(range(0, 13)) AS t(j) WHERE o < doc_id),
+one AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS body, count(*) AS n
+  FROM one ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+CONTAMINATION_SQL = r"""
+WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM documents, letters),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), a, b), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws
+  FROM benchmark, letters),
+iw AS (
+  SELECT DISTINCT item_id, least(len(ws), 13) AS m, array_to_string(ws[p:p + least(len(ws), 13) - 1], ' ') AS k
+  FROM i, unnest(range(1, greatest(len(ws) - 12, 1) + 1)) AS t(p) WHERE len(ws) > 0),
+dw AS (
+  SELECT doc_id, m, p, array_to_string(ws[p:p + m - 1], ' ') AS k
+  FROM d, (SELECT DISTINCT m FROM iw), unnest(range(1, len(ws) - m + 2)) AS t(p)),
+hit AS (SELECT doc_id, p, m, item_id FROM dw JOIN iw USING (m, k)),
+words AS (
+  SELECT doc_id, count(DISTINCT p + j) AS n_hit
+  FROM (SELECT DISTINCT doc_id, p, m FROM hit), unnest(range(0, m)) AS t(j) GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
+@query("op6_substring_dedup", SUBSTRING_SQL)
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"))
 
@@ -92,6 +141,7 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "copies")
 
 
-@query("op10_decontaminate")
+@query("op10_decontaminate", CONTAMINATION_SQL)
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
+        .drop("hit_spans")

@@ -92,20 +92,22 @@ def edit_map(old: DataFrame, sizes: DataFrame, n_shards: int,
              tolerance: float = TOLERANCE) -> DataFrame:
     """Edit a map for new sizes or more shards; slots that can stay do.
 
-    A slot stays while the shard's running total, largest slots first, is
-    within the fair share plus the tolerance; a shard's largest slot stays
-    unless the shard was dropped. The others and slots unknown to the old
-    map are placed on the least loaded shards.
+    A shard within the fair share plus the tolerance keeps its slots. A
+    fuller one keeps them, largest first, while their running total is within
+    the fair share (its largest slot always stays). The others, slots of
+    dropped shards and slots unknown to the old map are placed on the least
+    loaded shards.
     """
-    mean = sizes.agg((F.sum("slot_bytes") / n_shards * (1 + tolerance)).alias("fair"))
+    mean = sizes.agg((F.sum("slot_bytes") / n_shards).alias("fair"))
     run = Window.partitionBy("shard").orderBy(F.col("slot_bytes").desc(), "virtual_slot")
     now = (sizes.join(old.select("virtual_slot", "shard"), "virtual_slot", "left")
            .withColumn("one", F.lit(1)).join(mean.withColumn("one", F.lit(1)), "one")
            .withColumn("total", F.sum("slot_bytes").over(run))
+           .withColumn("whole", F.sum("slot_bytes").over(Window.partitionBy("shard")))
            .withColumn("nth", F.row_number().over(run))
-           .withColumn("stays", F.coalesce(
-               (F.col("shard") < n_shards) & ((F.col("total") <= F.col("fair")) | (F.col("nth") == 1)),
-               F.lit(False))))
+           .withColumn("stays", F.coalesce((F.col("shard") < n_shards) & (
+               (F.col("whole") <= F.col("fair") * (1 + tolerance)) | (F.col("total") <= F.col("fair"))
+               | (F.col("nth") == 1)), F.lit(False))))
     kept = now.filter("stays").select("virtual_slot", "shard")
     loads = now.filter("stays").groupBy("shard").agg(F.sum("slot_bytes").alias("load"))
     moved = _placed(now.filter("NOT stays").select("virtual_slot", "slot_bytes"), loads, n_shards)
