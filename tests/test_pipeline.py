@@ -54,8 +54,9 @@ def test_pipeline_two_runs(spark):
     # Day 2: a second customer extract with re-evaluated tiers lands.
     day2 = binding.customers_day2(spark, SF)
     pipeline.write_landing(spark, SF, landing, ["customers"], {"customers": day2})
+    customers_only = {t: int(t == "customers") for t in binding.RAW_BINDERS}
     s2 = pipeline.run_pipeline(spark, landing, lake, "2024-02-01", suite_as_of="2004-01-01",
-                               pass_rate=E2E_PASS_RATE, realtime_bronze=rt_path)
+                               pass_rate=E2E_PASS_RATE, realtime_bronze=rt_path, landing_minimums=customers_only)
     assert s2.bronze_rows["transactions"] == s1.bronze_rows["transactions"]   # no re-read
     dim = pipeline.read_dim_customer(spark, lake)
     cur = scd2.current_rows(dim)
@@ -70,8 +71,8 @@ def test_pipeline_two_runs(spark):
 
     # Re-running day 2 changes nothing; history is appended, never rewritten.
     before = sorted(map(str, dim.collect()))
-    pipeline.run_pipeline(spark, landing, lake, "2024-02-01", suite_as_of="2004-01-01",
-                          pass_rate=E2E_PASS_RATE, realtime_bronze=rt_path)
+    pipeline.run_pipeline(spark, landing, lake, "2024-02-01", suite_as_of="2004-01-01", pass_rate=E2E_PASS_RATE,
+                          realtime_bronze=rt_path, landing_minimums=dict.fromkeys(customers_only, 0))
     assert sorted(map(str, pipeline.read_dim_customer(spark, lake).collect())) == before
 
     # Views publish the facts under their semantic names.
@@ -80,7 +81,7 @@ def test_pipeline_two_runs(spark):
     assert spark.sql("SELECT count(*) FROM fact_sales").first()[0] > 0
     assert pipeline.gold_views(spark, lake, "StoreOperations") == ["fact_store_performance", "dim_date"]
     assert pipeline.gold_views(spark, lake, "ExecutiveSummary") == ["fact_sales", "fact_loyalty_tier_value"]
-    first_day = files.read_table(spark, lake, "silver", "transactions").agg(F.min("transaction_date")).first()[0]
+    first_day = pipeline._silver_read(spark, lake, "transactions").agg(F.min("transaction_date")).first()[0]
     assert spark.sql("SELECT min(date) AS d FROM dim_date").first().d == first_day
 
 

@@ -14,6 +14,8 @@ class _Conf:
 
 
 class _Ctx:
+    master = "local[4]"
+
     def __init__(self):
         self.dir = None
 
@@ -43,3 +45,11 @@ def test_local_fallback_only_when_unset():
 def test_work_path_under_shared_dir():
     p = session.work_path(_Spark("hdfs://nn/ckpt/"), "streams", "x")
     assert p == "hdfs://nn/ckpt/streams/x"
+
+
+def test_no_private_folder_on_a_cluster():
+    import pytest
+    s = _Spark(None)
+    s.sparkContext.master = "spark://host:7077"
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.shared_dir(s)

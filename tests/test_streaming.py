@@ -42,16 +42,49 @@ def test_json_realtime_leg_filters_and_stamps(spark):
     assert [r.event_id for r in got] == ["E1"] and got[0]._eventstream_ingested_ts is not None
 
 
-def test_stream_alerts_equal_batch_on_closed_windows(spark):
+def test_stream_alerts_equal_batch(spark):
     import __spark_entry__ as E
-    stream = E.queries()["alert_stream"](spark, SF)
-    batch = oplog.alert_failed_runs(binding.pipeline_runs(spark, SF))
-    wm = binding.pipeline_runs(spark, SF).agg(F.max("TimeGenerated")).first()[0]
-    import datetime as dt
-    closed = batch.filter(F.col("window_end") <= F.lit(wm - dt.timedelta(minutes=10)))
-    key = lambda df: sorted((r.window_start, r.hits) for r in df.collect())
-    assert key(stream) == key(closed)
-    assert batch.count() >= stream.count()
+    key = lambda df: sorted((r.window_start, r.window_end, r.alert, r.severity, r.hits) for r in df.collect())
+    for stream, batch in (("alert_stream", oplog.alert_failed_runs(binding.pipeline_runs(spark, SF))),
+                          ("alert_gate_stream", oplog.alert_gate_failed(binding.activity_runs(spark, SF))),
+                          ("alert_runtime_stream", oplog.alert_runtime(binding.job_runs(spark, SF)))):
+        got = key(E.queries()[stream](spark, SF))
+        assert got == key(batch) and got
+
+
+def test_alert_windows_over_micro_batches_with_late_rows(spark):
+    """Each file is a micro-batch; the third brings a late row for the first window."""
+    root = tempfile.mkdtemp(prefix="tillroll-late-")
+    schema = "TimeGenerated timestamp, Status string"
+    times = [["2024-01-01 00:01", "2024-01-01 00:02"], ["2024-01-01 00:20"], ["2024-01-01 00:03", "2024-01-01 00:40"]]
+    for n, batch in enumerate(times):
+        spark.createDataFrame([(t, "Failed") for t in batch], "t string, Status string").select(
+            F.to_timestamp("t").alias("TimeGenerated"), "Status").coalesce(1).write.mode("append").json(f"{root}/in")
+    log = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    fired = realtime.window_alerts(log, F.col("Status") == "Failed", F.col("TimeGenerated"), "15 minutes",
+                                   "1 hour", "a", 1)
+    realtime.drain_updates(fired, f"{root}/out", f"{root}/_ckpt")
+    got = realtime.latest_updates(spark, f"{root}/out", fired.schema, ["window_start", "window_end"])
+    assert sorted((str(r.window_start)[11:16], r.hits) for r in got.collect()) == [("00:00", 3), ("00:15", 1), ("00:30", 1)]
+
+
+def test_late_events_reach_the_union(spark):
+    """Distinct events over several micro-batches, one far behind: all are kept, repeats once."""
+    root = tempfile.mkdtemp(prefix="tillroll-union-")
+    days = [("E1", "2024-01-09"), ("E2", "2024-01-10"), ("E3", "2024-01-10"), ("E4", "2023-06-01"), ("E2", "2024-01-10")]
+    for e, d in days:
+        spark.createDataFrame([(e, "C1", d, "earn", "3")], realtime.LOYALTY_JSON_SCHEMA).coalesce(1) \
+            .write.mode("append").json(f"{root}/in")
+    src = spark.readStream.schema(realtime.LOYALTY_JSON_SCHEMA).option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    realtime.run_to_sink(realtime.realtime_leg(src), f"{root}/out", f"{root}/_ckpt")
+    rt = silver.type_table(silver.drop_stamps(spark.read.parquet(f"{root}/out")), "loyalty_events")
+    assert sorted(r.event_id for r in silver.union_feeds(rt.limit(0), rt).collect()) == ["E1", "E2", "E3", "E4"]
+
+
+def test_json_text_is_parsed(spark):
+    raw = spark.createDataFrame([('{"event_id": "E1", "points": "7", "other": 1}',), ("not json",), (None,)], "value string")
+    got = [tuple(r) for r in realtime.parse_events(raw).select("event_id", "points").collect()]
+    assert got == [("E1", "7"), (None, None), (None, None)]
 
 
 def test_stream_union_equals_batch_union(spark):

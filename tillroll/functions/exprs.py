@@ -18,10 +18,11 @@ def _c(c: ColumnOrName) -> Column:
 def coerce_number(c: ColumnOrName, to: str = "int") -> Column:
     """Lenient numeric cast: junk becomes NULL instead of failing the job.
 
-    Text goes through DOUBLE first so that '2.0' and '2.7' become 2 like a
+    Whole numbers are cast directly, so every digit of a large one counts.
+    Other text goes through DOUBLE, so that '2.0' and '2.7' become 2 like a
     numeric coercion would, while 'abc' or an out-of-range value is NULL.
     """
-    return _c(c).try_cast("double").try_cast(to)
+    return F.coalesce(_c(c).try_cast(to), _c(c).try_cast("double").try_cast(to))
 
 
 def coerce_decimal(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:

@@ -236,9 +236,11 @@ def landing_row_counts(tables: dict[str, DataFrame], minimums: dict[str, int] |
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
-def enforce_landing(counts: DataFrame) -> DataFrame:
-    bad = counts.filter(F.col("status") == "FAIL").collect()
+def enforce_landing(counts: DataFrame) -> list:
+    """Raise when a table is below its minimum; returns the rows (one per table)."""
+    rows = counts.collect()
+    bad = [r for r in rows if r["status"] == "FAIL"]
     if bad:
         raise DQGateError("landing zone below minimum: " +
                           ", ".join(f"{r['table']}={r['rows']}<{r['minimum']}" for r in bad))
-    return counts
+    return rows

@@ -13,32 +13,52 @@ third of all sales), so nothing is collected into one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.exprs import as_money, gross_margin, month_key
 from tillroll.functions.joins import bounded_broadcast
 
 
-def enrich(txns: DataFrame, products: DataFrame, stores: DataFrame,
-           customers: DataFrame, row_bounds: dict | None = None) -> DataFrame:
+# Which dimension gives which column of the enriched fact.
+ENRICHED_FROM = {
+    "products": ("product_id", ["category", "cost_price_pct"]),
+    "stores": ("store_id", ["region", "store_format"]),
+    "customers": ("customer_id", ["loyalty_tier"]),
+}
+# Columns of the enriched fact that each aggregate reads beside the fact's own.
+SALES_NEEDS = ["region", "category", "gross_margin", "month"]
+STORE_NEEDS = ["region", "store_format", "gross_margin"]
+TIER_NEEDS = ["loyalty_tier"]
+
+
+def enrich(txns: DataFrame, products: DataFrame, stores: DataFrame, customers: DataFrame,
+           row_bounds: dict | None = None, need: list[str] | None = None) -> DataFrame:
     """J12 = J2 + J3 + J4 + P7 + P8.
 
     ``customers`` should be the current rows of the customer dimension.
     ``row_bounds`` may give a proven row bound per dimension ("products",
     "stores", "customers"); a dimension under the broadcast limit is then
-    broadcast, otherwise the planner's own size check decides.
+    broadcast, otherwise the planner's own size check decides. ``need`` names
+    the added columns that the caller reads (default: all): a dimension that
+    yields none of them is not joined. The planner cannot drop such a left
+    join itself, as it does not know that the dimension's key is unique.
     """
     rb = row_bounds or {}
-    p = bounded_broadcast(products.select("product_id", "category", "cost_price_pct"), rb.get("products"))
-    s = bounded_broadcast(stores.select("store_id", "region", "store_format"), rb.get("stores"))
-    c = bounded_broadcast(customers.select("customer_id", "loyalty_tier"), rb.get("customers"))
-    return (txns
-            .join(p, "product_id", "left")
-            .join(s, "store_id", "left")
-            .join(c, "customer_id", "left")
-            .withColumn("gross_margin", gross_margin("amount", "cost_price_pct"))
-            .withColumn("month", month_key("transaction_date")))
+    want = set(need) if need is not None else {"gross_margin", "month",
+                                               *(c for _, cols in ENRICHED_FROM.values() for c in cols)}
+    read = want | ({"cost_price_pct"} if "gross_margin" in want else set())
+    out = txns
+    for name, dim in (("products", products), ("stores", stores), ("customers", customers)):
+        key, given = ENRICHED_FROM[name]
+        cols = [c for c in given if c in read]
+        if cols:
+            out = out.join(bounded_broadcast(dim.select(key, *cols), rb.get(name)), key, "left")
+    if "gross_margin" in want:
+        out = out.withColumn("gross_margin", gross_margin("amount", "cost_price_pct"))
+    if "month" in want:
+        out = out.withColumn("month", month_key("transaction_date"))
+    return out
 
 
 def sales_by_region_category_month(enriched: DataFrame) -> DataFrame:
@@ -164,6 +184,12 @@ def leaderboard(store_perf: DataFrame) -> DataFrame:
     return store_perf.orderBy(F.desc("revenue"), F.asc("store_id"))
 
 
+def ranked_stores(store_perf: DataFrame) -> DataFrame:
+    """O1 with the place as a column: one row per store, after aggregation."""
+    place = F.row_number().over(Window.orderBy(F.desc("revenue"), F.asc("store_id")))
+    return store_perf.select(place.cast("bigint").alias("place"), *store_perf.columns)
+
+
 def top_stores(store_perf: DataFrame, n: int = 5) -> DataFrame:
     """O2: top-n stores by revenue (a TakeOrderedAndProject, no full sort)."""
     return leaderboard(store_perf).limit(n).select("store_id", "region", "revenue")

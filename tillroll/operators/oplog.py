@@ -33,8 +33,8 @@ def _ts(v) -> Column:
 
 
 def _since(col: str, as_of, days: int) -> Column:
-    """``col > as_of - days``: the log service's ``ago(days)``."""
-    return F.col(col) > _ts(as_of) - F.make_dt_interval(days=F.lit(days))
+    """``as_of - days < col <= as_of``: the log service's ``ago(days)`` asked at ``as_of``."""
+    return (F.col(col) > _ts(as_of) - F.make_dt_interval(days=F.lit(days))) & (F.col(col) <= _ts(as_of))
 
 
 def _day(col: str) -> Column:
@@ -42,7 +42,8 @@ def _day(col: str) -> Column:
 
 
 def _exact(col: str) -> Column:
-    return F.col(col).cast("decimal(18,2)")
+    """Twelve decimals and 26 digits before the point: nothing measured is cut."""
+    return F.col(col).cast("decimal(38,12)")
 
 
 def _mean(col: str) -> Column:

@@ -14,7 +14,7 @@ from tillroll.functions.exprs import (
     coerce_bool, coerce_date, coerce_decimal, coerce_number, positive, present,
 )
 from tillroll.functions.joins import bounded_broadcast
-from tillroll.schemas import INGEST_STAMPS, SILVER_TYPES
+from tillroll.schemas import CORRUPT, INGEST_STAMPS, SILVER_TYPES
 
 ACCEPTED_EVENT_TYPES = ["earn", "redeem", "expire"]
 
@@ -102,7 +102,7 @@ TXN_ORDER = ["transaction_date", "customer_id", "product_id", "store_id",
 
 def cleanse_transactions(bronze: DataFrame, stamp: bool = True) -> DataFrame:
     """Type -> quantity > 0 -> present customer -> dedupe -> stamp."""
-    typed = type_table(bronze, "transactions")
+    typed = type_table(well_formed(bronze), "transactions")
     order = [F.col(c).asc_nulls_last() for c in TXN_ORDER if c in typed.columns]
     if "_ingested_ts" in typed.columns:
         order = [F.col("_ingested_ts").asc_nulls_last(), *order]
@@ -152,20 +152,52 @@ def reject_counts(bronze: DataFrame, clean_rows: int) -> dict:
     q = coerce_number("quantity", "int")
     qty_ok = F.coalesce(q > 0, F.lit(False))
     cust_ok = present("customer_id")
+    bad = malformed() if CORRUPT in bronze.columns else F.lit(False)
+    qty_ok, cust_ok = ~bad & qty_ok, ~bad & cust_ok
     r = bronze.agg(F.count(F.lit(1)).alias("total"),
-                   F.count_if(~qty_ok).alias("bad_quantity"),
+                   F.count_if(bad).alias("malformed"),
+                   F.count_if(~bad & ~qty_ok).alias("bad_quantity"),
                    F.count_if(qty_ok & ~cust_ok).alias("missing_customer"),
                    F.count_if(qty_ok & cust_ok).alias("passing")).first()
     total = r["total"]
     return {"total": total, "clean": clean_rows, "rejected": total - clean_rows,
-            "bad_quantity": r["bad_quantity"], "missing_customer": r["missing_customer"],
-            "duplicates": r["passing"] - clean_rows,
+            "malformed": r["malformed"], "bad_quantity": r["bad_quantity"],
+            "missing_customer": r["missing_customer"], "duplicates": r["passing"] - clean_rows,
             "pass_rate": clean_rows / total if total else 0.0}
 
 
 def conform(bronze: DataFrame, table: str) -> DataFrame:
-    """Typed passthrough, newest row per key."""
-    return latest_per_key(type_table(bronze, table), KEYS[table])
+    """Typed passthrough, newest row per key.
+
+    Rows whose business key is NULL or empty are rejected: they match no row
+    of an earlier run, so every re-run would add them again. ``rejected_rows``
+    counts them.
+    """
+    usable = all_keys_present(table)
+    return latest_per_key(type_table(well_formed(bronze).filter(usable), table), KEYS[table])
+
+
+def all_keys_present(table: str) -> Column:
+    cond = F.lit(True)
+    for k in KEYS[table]:
+        cond = cond & F.coalesce(present(k), F.lit(False))
+    return cond
+
+
+def malformed() -> Column:
+    return F.col(CORRUPT).isNotNull()
+
+
+def well_formed(bronze: DataFrame) -> DataFrame:
+    """Drop lines that did not fit the table's columns, and the column that keeps them."""
+    return bronze.filter(~malformed()).drop(CORRUPT) if CORRUPT in bronze.columns else bronze
+
+
+def rejected_rows(bronze: DataFrame, table: str) -> dict:
+    """Malformed lines and rows without a business key, in one aggregate."""
+    bad = malformed() if CORRUPT in bronze.columns else F.lit(False)
+    return bronze.agg(F.count_if(bad).alias("malformed"),
+                      F.count_if(~bad & ~all_keys_present(table)).alias("keyless")).first().asDict()
 
 
 def integrity_filter(df: DataFrame, valid_keys: DataFrame, col: str = "customer_id",
@@ -200,9 +232,9 @@ def union_feeds(batch: DataFrame, realtime: DataFrame, key: str = "event_id") ->
 def silver_loyalty(batch_bronze: DataFrame, realtime_bronze: DataFrame | None,
                    valid_customers: DataFrame, customer_rows: int | None = None) -> DataFrame:
     """Typed, accepted-type, de-duplicated loyalty events of known customers."""
-    batch = event_type_in(type_table(batch_bronze, "loyalty_events"))
+    batch = event_type_in(type_table(well_formed(batch_bronze), "loyalty_events"))
     if realtime_bronze is not None:
-        rt = event_type_in(type_table(realtime_bronze, "loyalty_events"))
+        rt = event_type_in(type_table(well_formed(realtime_bronze), "loyalty_events"))
         events = union_feeds(batch, rt)
     else:
         events = dedupe(batch, ["event_id"])

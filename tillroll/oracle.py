@@ -2,8 +2,10 @@
 
 Used as the correctness oracle: each query key in ``__spark_entry__`` has a
 SQL twin written against the pre-registered views (region, nation, customer,
-supplier, part, orders, lineitem, events, pages). The CTEs below mirror
-``tillroll.sources.binding`` and the Silver rules independently, in SQL.
+supplier, part, orders, lineitem, events, pages). The CTEs below state
+``tillroll.sources.binding`` and the Silver rules again in SQL. Decisions that
+both sides share cannot be caught here; ``tests/test_invariants.py`` holds
+what must be true whatever was decided.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ RAW_TXN = """raw_txn AS (
          CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
          CASE WHEN l_orderkey % 20 < 11 THEN 'Card' WHEN l_orderkey % 20 < 15 THEN 'Cash'
               WHEN l_orderkey % 20 < 17 THEN 'Loyalty Points' ELSE 'Mobile Wallet' END AS payment_method
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+  FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey)"""
 
 TXN_ORDER = "transaction_date, customer_id, product_id, store_id, quantity, amount, payment_method"
 
@@ -83,7 +85,7 @@ LOYALTY_RAW = """{name} AS (
 LOYALTY = (LOYALTY_RAW.format(name="loy_batch", feed=0, where="ts < TIMESTAMP '2024-01-20 00:00:00'")
            + ",\n" + LOYALTY_RAW.format(name="loy_rt", feed=1,
                                         where="ts >= TIMESTAMP '2024-01-15 00:00:00'")
-           + """,
+           + ",\n" + LOYALTY_RAW.format(name="loy_all", feed=0, where="TRUE") + """,
 loyalty_union AS (
   SELECT event_id, customer_id, event_date, event_type, points FROM (
     SELECT * FROM loy_batch UNION ALL SELECT * FROM loy_rt)

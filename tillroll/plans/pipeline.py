@@ -19,7 +19,7 @@ from tillroll.operators import dq, gold, scd2, silver
 from tillroll.plans import semantic
 from tillroll.schemas import INGEST_STAMPS, TABLES
 from tillroll.sources import binding, files
-from tillroll.streaming import file_ingest
+from tillroll.streaming import file_ingest, realtime
 
 
 @dataclass
@@ -27,6 +27,7 @@ class RunSummary:
     landing_rows: dict = field(default_factory=dict)
     bronze_rows: dict = field(default_factory=dict)
     accounting: dict = field(default_factory=dict)
+    rejected: dict = field(default_factory=dict)
     silver_versions: dict = field(default_factory=dict)
     gold_versions: dict = field(default_factory=dict)
     dq_failed: int = 0
@@ -48,14 +49,25 @@ def write_landing(spark: SparkSession, sf_dir: str, landing: str,
 
 
 def _silver_read(spark, lake, t):
+    """Current rows of a Silver table. Transactions are appended run by run,
+    the customer dimension keeps its current rows in a partition of their own."""
+    if t == "transactions":
+        return files.read_all_versions(spark, lake, "silver", t).drop("v")
+    if t == "dim_customer":
+        version = files.current_version(spark, lake, "silver", t)
+        if version is None:
+            raise FileNotFoundError(f"silver.{t} has no version under {lake}")
+        return (spark.read.parquet(f"{lake.rstrip('/')}/silver/{t}/v={version}")
+                .withColumn("is_current", F.col("is_current").cast("boolean")).filter("is_current"))
     return files.read_table(spark, lake, "silver", t)
 
 
 def read_dim_customer(spark: SparkSession, lake: str) -> DataFrame:
-    """The whole type 2 dimension: current rows plus published history."""
-    cur = files.read_table(spark, lake, "silver", "dim_customer")
-    hist = files.read_history(spark, lake, "silver", "dim_customer")
-    return cur if hist is None else cur.unionByName(hist.select(*cur.columns))
+    """The whole type 2 dimension: current rows plus the rows each published run closed."""
+    cur = _silver_read(spark, lake, "dim_customer")
+    closed = (files.read_all_versions(spark, lake, "silver", "dim_customer")
+              .withColumn("is_current", F.col("is_current").cast("boolean")).filter("NOT is_current"))
+    return cur.unionByName(closed.select(*cur.columns))
 
 
 def _dim_bounds(spark: SparkSession, lake: str) -> dict[str, int]:
@@ -71,48 +83,95 @@ def run_bronze(spark: SparkSession, landing: str, lake: str,
                max_files_per_trigger: int | None = None) -> dict:
     """Task 1: landing gate (S8, D20), then drain landing files into Bronze.
 
+    The gate counts the files that are not in Bronze yet, in one scan, so an
+    empty second delivery fails however much was delivered before.
     ``max_files_per_trigger`` drains a large backlog in bounded micro-batches.
     """
     lake = lake.rstrip("/")
-    landing_tables = {t: files.read_landing_csv(spark, f"{landing.rstrip('/')}/{t}", t)
-                      for t in TABLES}
-    counts = dq.enforce_landing(dq.landing_row_counts(landing_tables, landing_minimums))
-    return {"landing_rows": {r["table"]: r["rows"] for r in counts.collect()},
+    fresh = {t: files.read_new_landing(spark, landing, t, f"{lake}/bronze/{t}") for t in TABLES}
+    rows = dq.enforce_landing(dq.landing_row_counts(fresh, landing_minimums))
+    return {"landing_rows": {r["table"]: r["rows"] for r in rows},
             "bronze_rows": file_ingest.ingest_all(spark, landing, lake,
                                                   max_files_per_trigger=max_files_per_trigger)}
 
 
-def run_silver(spark: SparkSession, lake: str, as_of: str, *, realtime_bronze: str | None = None,
-               pass_rate: float = 0.95, null_safe_scd: bool = False) -> dict:
-    """Task 2: Bronze -> Silver. Returns the reject accounting and versions."""
+def run_realtime(spark: SparkSession, events: DataFrame, lake: str, continuous_every: str | None = None):
+    """Realtime task: a stream of JSON events -> accepted types -> Bronze.
+
+    ``events`` comes from ``realtime.json_source`` or ``realtime.kafka_source``;
+    the Silver task takes the folder as ``realtime_bronze``.
+    """
     lake = lake.rstrip("/")
-    bronze = {t: spark.read.parquet(f"{lake}/bronze/{t}") for t in TABLES}
-    v = {}
+    return realtime.run_to_sink(realtime.realtime_leg(events), f"{lake}/bronze/loyalty_realtime",
+                                f"{lake}/_checkpoints/loyalty_realtime", continuous_every=continuous_every)
 
-    # Transactions: staged, counted from its footers, and published only when
-    # the pass rate holds (Q9) - a failing cleanse is never visible.
-    version, path = files.stage_version(silver.cleanse_transactions(bronze["transactions"]),
-                                        lake, "silver", "transactions")
-    acc = silver.reject_counts(bronze["transactions"], spark.read.parquet(path).count())
+
+_COUNTS = ["total", "malformed", "bad_quantity", "missing_customer", "duplicates", "clean"]
+
+
+def _append_transactions(spark: SparkSession, lake: str, bronze: DataFrame, pass_rate: float) -> tuple[dict, str | None]:
+    """Cleanse the Bronze rows that no published run has seen, and append them.
+
+    The survivor of an id is its first ingested good row, so a published row
+    never loses: new rows only have to be set against the published ids. The
+    counts of all runs add up to those of one cleanse over all of Bronze, and
+    the pass rate is taken over them.
+    """
+    book = f"{lake}/_accounting/transactions"
+    seen, high = dict.fromkeys(_COUNTS, 0), None
+    known = files.table_exists(spark, lake, "silver", "transactions")
+    if known:
+        done = files.published(spark, lake, "silver", "transactions")
+        past = spark.read.parquet(book).withColumn("v", F.col("v").cast("bigint")).join(done, "v", "left_semi")
+        row = past.agg(*[F.sum(c).alias(c) for c in _COUNTS], F.max("high").alias("high")).first()
+        seen, high = {c: row[c] for c in _COUNTS}, row["high"]
+    new = bronze.filter(F.col("_ingested_ts") > F.lit(high)) if high is not None else bronze
+    clean = silver.cleanse_transactions(new)
+    if known:
+        clean = clean.join(_silver_read(spark, lake, "transactions").select("transaction_id"),
+                           "transaction_id", "left_anti").select(*clean.columns)
+    version, path = files.stage_version(clean, lake, "silver", "transactions")
+    own = silver.reject_counts(new, spark.read.parquet(path).count())
+    acc = {c: seen[c] + own[c] for c in _COUNTS}
+    acc["rejected"] = acc["total"] - acc["clean"]
+    acc["pass_rate"] = acc["clean"] / acc["total"] if acc["total"] else 0.0
     if acc["pass_rate"] < pass_rate:
         raise dq.DQGateError(f"transactions pass rate {acc['pass_rate']:.2%} below {pass_rate:.0%}")
+    (new.agg(F.max("_ingested_ts").alias("high")).select(
+        *[F.lit(own[c]).cast("bigint").alias(c) for c in _COUNTS], F.coalesce("high", F.lit(high)).alias("high"))
+     .write.parquet(f"{book}/v={version}"))
     files.publish_version(spark, lake, "silver", "transactions", version)
-    v["transactions"] = version
+    return acc, version
+
+
+def run_silver(spark: SparkSession, lake: str, as_of: str, *, realtime_bronze: str | None = None,
+               pass_rate: float = 0.95, null_safe_scd: bool = False, keep_versions: int = 0) -> dict:
+    """Task 2: Bronze -> Silver. Returns the reject accounting and versions.
+
+    Transactions are appended, never rewritten. ``keep_versions`` (0: all) is
+    how many versions stay of the tables that are rewritten on every run.
+    """
+    lake = lake.rstrip("/")
+    bronze = {t: spark.read.parquet(f"{lake}/bronze/{t}") for t in TABLES}
+    v = {}
+
+    # Transactions: staged, counted, and published only when the pass rate
+    # holds (Q9) - a failing cleanse is never visible.
+    acc, v["transactions"] = _append_transactions(spark, lake, bronze["transactions"], pass_rate)
+    rejected = {t: silver.rejected_rows(bronze[t], t) for t in ("customers", "products", "stores")}
     for t in ("products", "stores"):
         v[t] = files.write_version(spark, silver.conform(bronze[t], t), lake, "silver", t)
 
-    # Customer dimension: first load or type 2 merge (C1-C3). Only the current
-    # rows are rewritten (a new version folder, so the merge may read the old
-    # one); rows the merge closes are appended to the history, which is never
-    # rewritten. The run's history becomes visible with its version.
+    # Customer dimension: first load or type 2 merge (C1-C3), written once.
+    # The version holds the current rows and, in a partition of its own, the
+    # rows this run closes; earlier closed rows stay in their versions.
     staged = silver.conform(bronze["customers"], "customers").drop(*INGEST_STAMPS)
     if files.table_exists(spark, lake, "silver", "dim_customer"):
-        old = files.read_table(spark, lake, "silver", "dim_customer")
+        old = _silver_read(spark, lake, "dim_customer")
         dim = scd2.scd2_merge(old, staged, ["customer_id"], ["loyalty_tier"], as_of, null_safe_scd)
     else:
         dim = scd2.scd2_initial(staged, as_of)
-    version, _ = files.stage_version(scd2.current_rows(dim), lake, "silver", "dim_customer")
-    files.stage_history(dim.filter(~F.col("is_current")), lake, "silver", "dim_customer", version)
+    version, _ = files.stage_version(dim, lake, "silver", "dim_customer", ["is_current"])
     files.publish_version(spark, lake, "silver", "dim_customer", version)
     v["dim_customer"] = version
 
@@ -123,7 +182,10 @@ def run_silver(spark: SparkSession, lake: str, as_of: str, *, realtime_bronze: s
                                     silver.drop_stamps(rt) if rt is not None else None,
                                     current.select("customer_id"), current.count())
     v["loyalty_events"] = files.write_version(spark, loyalty, lake, "silver", "loyalty_events")
-    return {"accounting": acc, "versions": v}
+    if keep_versions:
+        for t in ("products", "stores", "loyalty_events"):
+            files.expire_versions(spark, lake, "silver", t, keep_versions)
+    return {"accounting": acc, "rejected": rejected, "versions": v}
 
 
 def run_quality_gate(spark: SparkSession, lake: str, as_of: str, *, suite_as_of: str | None = None,
@@ -172,15 +234,16 @@ def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
                  suite_as_of: str | None = None, realtime_bronze: str | None = None,
                  freshness_days: int = 3650, pass_rate: float = 0.95,
                  landing_minimums: dict | None = None, export_csv: bool = False,
-                 null_safe_scd: bool = False) -> RunSummary:
+                 null_safe_scd: bool = False, keep_versions: int = 0) -> RunSummary:
     """Run the whole job once: the four tasks in order. ``as_of`` is the run
     date (SCD2 validity); ``suite_as_of`` the freshness reference date."""
     summary = RunSummary()
     b = run_bronze(spark, landing, lake, landing_minimums)
     summary.landing_rows, summary.bronze_rows = b["landing_rows"], b["bronze_rows"]
     s = run_silver(spark, lake, as_of, realtime_bronze=realtime_bronze, pass_rate=pass_rate,
-                   null_safe_scd=null_safe_scd)
-    summary.accounting, summary.silver_versions = s["accounting"], s["versions"]
+                   null_safe_scd=null_safe_scd, keep_versions=keep_versions)
+    summary.accounting, summary.rejected = s["accounting"], s["rejected"]
+    summary.silver_versions = s["versions"]
     try:
         run_quality_gate(spark, lake, as_of, suite_as_of=suite_as_of, freshness_days=freshness_days)
     except dq.DQGateError:

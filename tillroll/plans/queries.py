@@ -68,9 +68,9 @@ def q_present_key(spark, sf):
 
 
 @register("event_type_in", W("""SELECT event_id, customer_id, event_date, event_type, points
-FROM loy_rt WHERE event_type IN ('earn', 'redeem', 'expire')"""))
+FROM loy_all WHERE event_type IN ('earn', 'redeem', 'expire')"""))
 def q_event_type_in(spark, sf):
-    return retail.typed_realtime(spark, sf)
+    return retail.typed_events(spark, sf)
 
 
 @register("dedupe_transactions", W(f"""SELECT {TXN_COLS} FROM raw_txn
@@ -102,13 +102,13 @@ def q_reject_accounting(spark, sf):
        CAST(cost_price_pct AS DOUBLE) AS cost_price_pct, CAST(gross_margin AS DOUBLE) AS gross_margin
 FROM enriched"""))
 def q_gross_margin(spark, sf):
-    return out(retail.enriched(spark, sf).select("transaction_id", "amount", "cost_price_pct",
-                                                 "gross_margin"))
+    return out(retail.enriched(spark, sf, ["cost_price_pct", "gross_margin"])
+               .select("transaction_id", "amount", "cost_price_pct", "gross_margin"))
 
 
 @register("month_key", W("SELECT transaction_id, transaction_date, month FROM enriched"))
 def q_month_key(spark, sf):
-    return retail.enriched(spark, sf).select("transaction_id", "transaction_date", "month")
+    return retail.enriched(spark, sf, ["month"]).select("transaction_id", "transaction_date", "month")
 
 
 # ---------------------------------------------------------------------------
@@ -145,9 +145,10 @@ def q_new_or_changed(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-@register("scd2_initial", W("SELECT * FROM day1"))
+@register("scd2_initial", W("SELECT * FROM dim_customer"))
 def q_scd2_initial(spark, sf):
-    return retail.scd2_snapshots(spark, sf)[0]
+    """C1 over every customer."""
+    return retail.silver_tables(spark, sf).dim_customer
 
 
 @register("scd2_merge", W("SELECT * FROM scd_merged"))
@@ -168,17 +169,17 @@ def q_scd2_current(spark, sf):
 
 @register("sales_by_region_category_month", W("SELECT * FROM fact_sales"))
 def q_sales(spark: SparkSession, sf: str) -> DataFrame:
-    return gold.sales_by_region_category_month(retail.enriched(spark, sf))
+    return retail.fact_sales(spark, sf)
 
 
 @register("loyalty_tier_value", W("SELECT * FROM fact_tier"))
 def q_tier_value(spark, sf):
-    return gold.loyalty_tier_value(retail.enriched(spark, sf))
+    return retail.fact_tier(spark, sf)
 
 
 @register("store_performance", W("SELECT * FROM fact_store"))
 def q_store_performance(spark, sf):
-    return gold.store_performance(retail.enriched(spark, sf))
+    return retail.fact_store(spark, sf)
 
 
 @register("points_liability", W("""SELECT event_type, CAST(SUM(points) AS BIGINT) AS points
@@ -197,7 +198,14 @@ def q_points_net(spark, sf):
 @register("top_stores", W("""SELECT store_id, region, revenue FROM fact_store
 ORDER BY revenue DESC, store_id LIMIT 5"""))
 def q_top_stores(spark, sf):
-    return gold.top_stores(gold.store_performance(retail.enriched(spark, sf)), 5)
+    return gold.top_stores(retail.fact_store(spark, sf), 5)
+
+
+@register("store_leaderboard", W("""SELECT row_number() OVER (ORDER BY revenue DESC, store_id) AS place,
+       store_id, store_format, region, revenue, gross_margin, transactions FROM fact_store"""))
+def q_store_leaderboard(spark, sf):
+    """O1: every store with its place by revenue."""
+    return gold.ranked_stores(retail.fact_store(spark, sf))
 
 
 # ---------------------------------------------------------------------------
@@ -208,12 +216,13 @@ _LANDING_SQL = " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", count(*) AS rows, CAST(1 AS BIGINT) AS minimum, "
     f"CASE WHEN count(*) >= 1 THEN 'PASS' ELSE 'FAIL' END AS status FROM {src}"
     for t, src in [("customers", "customers"), ("products", "products"), ("stores", "stores"),
-                   ("transactions", "raw_txn"), ("loyalty_events", "loy_batch")])
+                   ("transactions", "raw_txn"), ("loyalty_events", "loy_all")])
 
 
 @register("landing_row_counts", W(_LANDING_SQL))
 def q_landing(spark, sf):
-    return dq.landing_row_counts(retail.bronze(spark, sf), LANDING_MINIMUMS)
+    tables = retail.bronze(spark, sf) | {"loyalty_events": binding.all_loyalty_events(spark, sf)}
+    return dq.landing_row_counts(tables, LANDING_MINIMUMS)
 
 
 def _no_ts(df: DataFrame) -> DataFrame:
@@ -288,6 +297,16 @@ def q_dq_suite(spark, sf):
                                   customer_rows=retail.dim_bounds(spark, sf)["customers"]))
 
 
+@register("dq_failed", W("SELECT * FROM (" + "\nUNION ALL\n".join([
+    _SQL_COMPLETENESS, _SQL_TXN_UNIQUE, _SQL_TXN_RI, _SQL_TXN_FRESH, _SQL_CUST_UNIQUE, _SQL_LOY_RI,
+    O.ratio_check("uniqueness", "bronze_transactions", "count(DISTINCT transaction_id)", "count(*)", 0.999,
+                  " unique values for transaction_id", "raw_txn")]) + ") WHERE status = 'FAIL'"))
+def q_dq_failed(spark, sf):
+    """Q6/Q8: the failed split of the suite with the raw feed's uniqueness, which the gate would raise on."""
+    raw = dq.check_uniqueness(binding.raw_transactions(spark, sf), "bronze_transactions", "transaction_id", 0.999)
+    return dq.run_suite([q_dq_suite(spark, sf), _no_ts(raw)])[1]
+
+
 @register("dq_pass_rate", W("""SELECT 'pass_rate' AS check_name, 'transactions' AS "table",
        CASE WHEN score >= 0.95 THEN 'PASS' ELSE 'FAIL' END AS status, round(score, 4) AS metric_value,
        CAST(0.95 AS DOUBLE) AS threshold,
@@ -304,16 +323,6 @@ def q_dq_pass_rate(spark, sf):
 # ---------------------------------------------------------------------------
 
 
-def _gold(spark, sf):
-    return retail.gold_snapshot(spark, sf)
-
-
-def _facts(spark, sf):
-    """Lazy Gold facts: a single-fact measure runs one pipeline."""
-    g = retail.gold_tables(spark, sf)
-    return g["sales_by_region_category_month"], g["store_performance"], g["loyalty_tier_value"]
-
-
 MONEY_SUM = "CAST(SUM(CAST({c} AS DECIMAL(38,2))) AS DOUBLE)"
 REV = MONEY_SUM.format(c="revenue")
 GM = MONEY_SUM.format(c="gross_margin")
@@ -321,20 +330,20 @@ GM = MONEY_SUM.format(c="gross_margin")
 
 @register("total_revenue", W(f"SELECT region, {REV} AS total_revenue FROM fact_sales GROUP BY region"))
 def q_total_revenue(spark, sf):
-    return semantic.total_revenue(_facts(spark, sf)[0], ["region"])
+    return semantic.total_revenue(retail.fact_sales(spark, sf), ["region"])
 
 
 @register("gross_margin_pct", W(f"""SELECT category, {GM} / NULLIF({REV}, 0) AS gross_margin_pct
 FROM fact_sales GROUP BY category"""))
 def q_gm_pct(spark, sf):
-    return semantic.gross_margin_pct(_facts(spark, sf)[0], ["category"])
+    return semantic.gross_margin_pct(retail.fact_sales(spark, sf), ["category"])
 
 
 @register("revenue_per_transaction", W(f"""SELECT month,
        {REV} / NULLIF(CAST(CAST(SUM(transactions) AS BIGINT) AS DOUBLE), 0) AS revenue_per_transaction
 FROM fact_sales GROUP BY month"""))
 def q_rev_per_tx(spark, sf):
-    return semantic.revenue_per_transaction(_facts(spark, sf)[0], ["month"])
+    return semantic.revenue_per_transaction(retail.fact_sales(spark, sf), ["month"])
 
 
 @register("yoy_revenue_growth", W("""SELECT month, region, revenue, prior_year_revenue,
@@ -350,22 +359,22 @@ FROM (
   ON c.month = p.month AND c.region IS NOT DISTINCT FROM p.region)
 WHERE month IN (SELECT month FROM month_dim)"""))
 def q_yoy(spark, sf):
-    g = _gold(spark, sf)
-    return semantic.yoy_revenue_growth(g["fact_sales"], g["dim_date"], ["region"])
+    fact = retail.sales_at(spark, sf, ["month", "region"])
+    return semantic.yoy_revenue_growth(fact, semantic.dim_date_of_months(fact), ["region"])
 
 
 @register("avg_revenue_per_store", W(f"""SELECT store_format,
        {REV} / NULLIF(CAST(count(revenue) AS DOUBLE), 0) AS avg_revenue_per_store
 FROM fact_store GROUP BY store_format"""))
 def q_avg_rev_store(spark, sf):
-    return semantic.avg_revenue_per_store(_facts(spark, sf)[1], ["store_format"])
+    return semantic.avg_revenue_per_store(retail.fact_store(spark, sf), ["store_format"])
 
 
 @register("revenue_per_customer", W(f"""SELECT loyalty_tier,
        {REV} / NULLIF(CAST(CAST(SUM(customers) AS BIGINT) AS DOUBLE), 0) AS revenue_per_customer
 FROM fact_tier GROUP BY loyalty_tier"""))
 def q_rev_per_cust(spark, sf):
-    return semantic.revenue_per_customer(_facts(spark, sf)[2], ["loyalty_tier"])
+    return semantic.revenue_per_customer(retail.fact_tier(spark, sf), ["loyalty_tier"])
 
 
 @register("dim_date", W("SELECT * FROM dim_date"))
@@ -375,10 +384,10 @@ def q_dim_date(spark, sf):
 
 @register("calendar_rollup", W(f"""SELECT year, quarter, month, {REV} AS revenue,
        CAST(GROUPING(year, quarter, month) AS BIGINT) AS level
-FROM fact_sales JOIN month_dim USING (month) GROUP BY ROLLUP (year, quarter, month)"""))
+FROM fact_sales LEFT JOIN month_dim USING (month) GROUP BY ROLLUP (year, quarter, month)"""))
 def q_calendar_rollup(spark, sf):
-    g = _gold(spark, sf)
-    return semantic.calendar_rollup(g["fact_sales"], g["dim_date"])
+    fact = retail.sales_at(spark, sf, ["month"])
+    return semantic.calendar_rollup(fact, semantic.dim_date_of_months(fact))
 
 
 @register("executive_summary", W(f"""
@@ -389,8 +398,7 @@ UNION ALL SELECT 'Revenue per Transaction',
 UNION ALL SELECT 'Revenue per Loyalty Customer',
        {REV} / NULLIF(CAST(CAST(SUM(customers) AS BIGINT) AS DOUBLE), 0) FROM fact_tier"""))
 def q_exec_summary(spark, sf):
-    g = _gold(spark, sf)
-    return semantic.executive_summary(g["fact_sales"], g["fact_loyalty_tier_value"])
+    return semantic.executive_summary(retail.sales_total(spark, sf), retail.fact_tier(spark, sf))
 
 
 @register("store_operations", W(f"""SELECT region, store_format, count(*) AS stores, {REV} AS revenue,
@@ -398,14 +406,15 @@ def q_exec_summary(spark, sf):
        {GM} / NULLIF({REV}, 0) AS gross_margin_pct
 FROM fact_store GROUP BY region, store_format"""))
 def q_store_ops(spark, sf):
-    return semantic.store_operations(_facts(spark, sf)[1])
+    return semantic.store_operations(retail.fact_store(spark, sf))
 
 
 # ---------------------------------------------------------------------------
 # Operations logs, alerts, storage
 # ---------------------------------------------------------------------------
 
-SINCE = "TimeGenerated > TIMESTAMP '" + LOG_AS_OF + "' - INTERVAL {d} DAY"
+SINCE = ("TimeGenerated > TIMESTAMP '" + LOG_AS_OF + "' - INTERVAL {d} DAY"
+         " AND TimeGenerated <= TIMESTAMP '" + LOG_AS_OF + "'")
 
 
 @register("run_history", L(f"""SELECT TimeGenerated, Status, Start, "End",
@@ -423,7 +432,7 @@ def q_failures(spark, sf):
 
 
 @register("duration_trend", L(f"""SELECT CAST(CAST(TimeGenerated AS DATE) AS TIMESTAMP) AS TimeGenerated,
-       CAST(SUM(CAST(DurationMinutes AS DECIMAL(18,2))) AS DOUBLE) / count(DurationMinutes) AS AvgDurationMin,
+       CAST(SUM(CAST(DurationMinutes AS DECIMAL(38,12))) AS DOUBLE) / count(DurationMinutes) AS AvgDurationMin,
        max(DurationMinutes) AS MaxDurationMin
 FROM jobs WHERE {SINCE.format(d=30)} AND JobName = 'medallion_daily_refresh'
 GROUP BY 1"""))
@@ -439,7 +448,7 @@ def q_volume(spark, sf):
 
 
 @register("daily_usage", L(f"""SELECT CAST(CAST(TimeGenerated AS DATE) AS TIMESTAMP) AS TimeGenerated,
-       CAST(SUM(CAST(Total AS DECIMAL(18,2))) AS DOUBLE) AS DailyDBUs
+       CAST(SUM(CAST(Total AS DECIMAL(38,12))) AS DOUBLE) AS DailyDBUs
 FROM metrics WHERE {SINCE.format(d=30)} AND ResourceProvider = 'MICROSOFT.DATABRICKS'
   AND MetricName = 'DBUUsage' GROUP BY 1"""))
 def q_daily_usage(spark, sf):
@@ -532,51 +541,65 @@ def q_bronze_stream(spark, sf):
     """
     root = work_path(spark, "landing_run", fresh=True)
     landing = f"{root}/landing"
-    files.export_csv(binding.raw_transactions(spark, sf), f"{landing}/transactions")
+    # part of the files lie below the landing folder's top level, as a daily drop may
+    files.export_csv(binding.raw_transactions(spark, sf), f"{landing}/transactions/daily")
     file_ingest.ingest_table(spark, landing, "transactions", f"{root}/bronze/transactions",
                              f"{root}/_checkpoints/transactions")
-    return silver.drop_stamps(spark.read.parquet(f"{root}/bronze/transactions"))
+    return silver.well_formed(silver.drop_stamps(spark.read.parquet(f"{root}/bronze/transactions")))
 
 
 _RT_SQL = W("""SELECT event_id, customer_id, CAST(event_date AS VARCHAR) AS event_date, event_type,
        CAST(points AS VARCHAR) AS points
-FROM loy_rt WHERE event_type IN ('earn', 'redeem', 'expire')""")
+FROM loy_all WHERE event_type IN ('earn', 'redeem', 'expire')""")
+
+
+def _realtime_bronze(spark: SparkSession, events: DataFrame, name: str) -> DataFrame:
+    """Drop loyalty events as JSON files and drain them through the realtime leg."""
+    drop = work_path(spark, "json_events", name, fresh=True)
+    events.write.json(drop)
+    leg = realtime.realtime_leg(realtime.json_source(spark, drop))
+    return silver.drop_stamps(_drain(spark, leg, name))
 
 
 @register("realtime_leg", _RT_SQL)
 def q_realtime_leg(spark, sf):
-    """Events stream -> loyalty records -> accepted types -> stamp -> append."""
-    leg = realtime.realtime_leg(binding.loyalty_realtime_source(_events_stream(spark, sf)))
-    return silver.drop_stamps(_drain(spark, leg, "realtime_leg"))
+    """JSON events stream -> accepted types -> stamp -> append, over all events."""
+    return _realtime_bronze(spark, binding.all_loyalty_events(spark, sf), "realtime_leg")
 
 
 @register("stream_batch_union", W("SELECT * FROM loyalty_union"))
 def q_stream_batch_union(spark, sf):
-    """Realtime leg de-duplicated in-stream, unioned with the batch feed."""
-    ev = (_events_stream(spark, sf).withColumn("_event_time", F.col("ts").cast("timestamp"))
-          .withWatermark("_event_time", STREAM_DELAY))
-    mapped = binding.loyalty_realtime_source(ev, keep=("_event_time",))
-    typed = silver.event_type_in(silver.type_table(mapped, "loyalty_events"))
-    deduped = typed.dropDuplicatesWithinWatermark(["event_id"]).drop("_event_time")
-    rt = _drain(spark, realtime.realtime_leg(deduped), "stream_batch_union")
+    """Realtime Bronze from the JSON stream, unioned with the batch feed, once per event."""
+    rt = _realtime_bronze(spark, binding.raw_loyalty_realtime(spark, sf), "stream_batch_union")
     batch = silver.event_type_in(silver.type_table(binding.raw_loyalty_events(spark, sf), "loyalty_events"))
-    return silver.union_feeds(batch, silver.drop_stamps(rt))
+    return silver.union_feeds(batch, silver.type_table(rt, "loyalty_events"))
+
 
+def _alerts(spark: SparkSession, log: DataFrame, predicate, window: str, alert: str, severity: int) -> DataFrame:
+    """T4: drain an alert stream; every window that fires comes out."""
+    root = work_path(spark, "streams", alert, fresh=True)
+    fired = realtime.window_alerts(log, predicate, F.col("TimeGenerated").cast("timestamp"), window,
+                                   STREAM_DELAY, alert, severity)
+    realtime.drain_updates(fired, f"{root}/out", f"{root}/_checkpoint")
+    return realtime.latest_updates(spark, f"{root}/out", fired.schema, ["window_start", "window_end"])
 
-@register("alert_stream", L(f"""SELECT time_bucket(INTERVAL 15 MINUTE, TimeGenerated) AS window_start,
-       time_bucket(INTERVAL 15 MINUTE, TimeGenerated) + INTERVAL 15 MINUTE AS window_end,
-       'pipeline_failure' AS alert, 1 AS severity, count(*) AS hits
-FROM runs WHERE Status = 'Failed' AND PipelineName = 'pl_medallion_refresh'
-GROUP BY 1, 2
-HAVING time_bucket(INTERVAL 15 MINUTE, TimeGenerated) + INTERVAL 15 MINUTE
-       <= (SELECT max(TimeGenerated) FROM runs) - INTERVAL {STREAM_DELAY.split()[0]} MINUTE"""))
+
+@register("alert_stream", _alert_sql(
+    "runs", "Status = 'Failed' AND PipelineName = 'pl_medallion_refresh'", 15, "pipeline_failure", 1))
 def q_alert_stream(spark, sf):
-    """T4: L6 as a stream with a watermark; windows closed by the watermark."""
-    runs = binding.runs_from_events(_events_stream(spark, sf))
-    alerts = realtime.window_alerts(
-        runs, (F.col("Status") == "Failed") & (F.col("PipelineName") == oplog.PIPELINE),
-        F.col("TimeGenerated").cast("timestamp"), "15 minutes", STREAM_DELAY, "pipeline_failure", 1)
-    return _drain(spark, alerts, "alert_stream")
+    """T4 for L6, against the batch alert."""
+    return _alerts(spark, binding.runs_from_events(_events_stream(spark, sf)),
+                   (F.col("Status") == "Failed") & (F.col("PipelineName") == oplog.PIPELINE),
+                   "15 minutes", "pipeline_failure", 1)
+
+
+@register("alert_gate_stream", _alert_sql(
+    "activities", "ActivityName = 'run_dq_suite_gate' AND Status = 'Failed'", 15, "dq_gate_failure", 2))
+def q_alert_gate_stream(spark, sf):
+    """T4 for L7, against the batch alert."""
+    return _alerts(spark, binding.activities_from_events(_events_stream(spark, sf)),
+                   (F.col("ActivityName") == oplog.GATE_ACTIVITY) & (F.col("Status") == "Failed"),
+                   "15 minutes", "dq_gate_failure", 2)
 
 
 # ---------------------------------------------------------------------------
@@ -591,7 +614,23 @@ def q_alert_stream(spark, sf):
 FROM fact_sales GROUP BY region"""))
 def q_default_summary(spark, sf):
     """Every sum-by-default column of fact_sales, under region."""
-    return semantic.default_summary(_facts(spark, sf)[0], "fact_sales", ["region"])
+    return semantic.default_summary(retail.fact_sales(spark, sf), "fact_sales", ["region"])
+
+
+@register("store_default_summary", W("""SELECT region, CAST(SUM(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS revenue,
+       CAST(SUM(CAST(gross_margin AS DECIMAL(38,2))) AS DOUBLE) AS gross_margin
+FROM fact_store GROUP BY region"""))
+def q_store_default_summary(spark, sf):
+    """Sum-by-default columns of fact_store_performance, under region."""
+    return semantic.default_summary(retail.fact_store(spark, sf), "fact_store_performance", ["region"])
+
+
+@register("tier_default_summary", W("""SELECT loyalty_tier, CAST(SUM(customers) AS BIGINT) AS customers,
+       CAST(SUM(CAST(revenue AS DECIMAL(38,2))) AS DOUBLE) AS revenue
+FROM fact_tier GROUP BY loyalty_tier"""))
+def q_tier_default_summary(spark, sf):
+    """Sum-by-default columns of fact_loyalty_tier_value, under the tier."""
+    return semantic.default_summary(retail.fact_tier(spark, sf), "fact_loyalty_tier_value", ["loyalty_tier"])
 
 
 @register("storage_saving", "WITH " + O.LOGS + ",\n" + _TIER_SQL + """,
@@ -608,17 +647,10 @@ def q_storage_saving(spark, sf):
     return oplog.storage_saving(q_storage_cost(spark, sf))
 
 
-@register("alert_runtime_stream", L(f"""SELECT time_bucket(INTERVAL 30 MINUTE, TimeGenerated) AS window_start,
-       time_bucket(INTERVAL 30 MINUTE, TimeGenerated) + INTERVAL 30 MINUTE AS window_end,
-       'runtime_exceeded' AS alert, 3 AS severity, count(*) AS hits
-FROM jobs WHERE JobName = 'medallion_daily_refresh' AND DurationMinutes > 90
-GROUP BY 1, 2
-HAVING time_bucket(INTERVAL 30 MINUTE, TimeGenerated) + INTERVAL 30 MINUTE
-       <= (SELECT max(TimeGenerated) FROM jobs) - INTERVAL {STREAM_DELAY.split()[0]} MINUTE"""))
+@register("alert_runtime_stream", _alert_sql(
+    "jobs", "JobName = 'medallion_daily_refresh' AND DurationMinutes > 90", 30, "runtime_exceeded", 3))
 def q_alert_runtime_stream(spark, sf):
     """T4 for L8: job runs over 90 minutes, 30-minute windows, as a stream."""
-    jobs = binding.jobs_from_events(_events_stream(spark, sf))
-    alerts = realtime.window_alerts(
-        jobs, (F.col("JobName") == oplog.JOB) & (F.col("DurationMinutes") > oplog.RUNTIME_LIMIT_MIN),
-        F.col("TimeGenerated").cast("timestamp"), "30 minutes", STREAM_DELAY, "runtime_exceeded", 3)
-    return _drain(spark, alerts, "alert_runtime_stream")
+    return _alerts(spark, binding.jobs_from_events(_events_stream(spark, sf)),
+                   (F.col("JobName") == oplog.JOB) & (F.col("DurationMinutes") > oplog.RUNTIME_LIMIT_MIN),
+                   "30 minutes", "runtime_exceeded", 3)

@@ -11,6 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.functions.exprs import as_money
 from tillroll.operators import gold, scd2, silver
 from tillroll.sources import binding
 
@@ -71,33 +72,48 @@ def silver_tables(spark: SparkSession, sf_dir: str, as_of: str = DAY1) -> Silver
 def dim_bounds(spark: SparkSession, sf_dir: str) -> dict[str, int]:
     """Proven row bounds of the dimensions: their source tables' row counts."""
     from tillroll.functions.joins import source_rows_many
-    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
-    if key not in _BOUNDS:  # the driver tables are read-only
-        _BOUNDS[key] = source_rows_many(spark, {"products": binding.path(sf_dir, "part"),
-                                                "stores": binding.path(sf_dir, "supplier"),
-                                                "customers": binding.path(sf_dir, "customer")})
-    return _BOUNDS[key]
+    return source_rows_many(spark, {"products": binding.path(sf_dir, "part"),
+                                    "stores": binding.path(sf_dir, "supplier"),
+                                    "customers": binding.path(sf_dir, "customer")})
 
 
-_BOUNDS: dict = {}
+def enriched(spark: SparkSession, sf_dir: str, need: list[str] | None = None) -> DataFrame:
+    """The enriched fact with the added columns in ``need`` (default: all)."""
+    s = silver_tables(spark, sf_dir)
+    bounds = dim_bounds(spark, sf_dir) if need is None or set(need) - {"month"} else None
+    return gold.enrich(s.transactions, s.products, s.stores, s.current_customers, bounds, need)
 
 
-def enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = silver_tables(spark, sf_dir)
-    return gold.enrich(s.transactions, s.products, s.stores, s.current_customers,
-                       dim_bounds(spark, sf_dir))
+def fact_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.sales_by_region_category_month(enriched(spark, sf_dir, gold.SALES_NEEDS))
+
+
+def fact_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.store_performance(enriched(spark, sf_dir, gold.STORE_NEEDS))
+
+
+def fact_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gold.loyalty_tier_value(enriched(spark, sf_dir, gold.TIER_NEEDS))
 
 
 def gold_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    s = silver_tables(spark, sf_dir)
-    e = gold.enrich(s.transactions, s.products, s.stores, s.current_customers,
-                    dim_bounds(spark, sf_dir))
-    return {
-        "sales_by_region_category_month": gold.sales_by_region_category_month(e),
-        "loyalty_tier_value": gold.loyalty_tier_value(e),
-        "store_performance": gold.store_performance(e),
-        "loyalty_points_liability": gold.points_liability(s.loyalty),
-    }
+    """The Gold tables, each from the dimensions it reads."""
+    return {"sales_by_region_category_month": fact_sales(spark, sf_dir),
+            "loyalty_tier_value": fact_tier(spark, sf_dir),
+            "store_performance": fact_store(spark, sf_dir),
+            "loyalty_points_liability": gold.points_liability(silver_tables(spark, sf_dir).loyalty)}
+
+
+def sales_at(spark: SparkSession, sf_dir: str, by: list[str]) -> DataFrame:
+    """Sales at a coarser grain: only the dimensions that ``by`` needs are joined."""
+    return enriched(spark, sf_dir, by).groupBy(*by).agg(as_money(F.sum("amount")).alias("revenue"))
+
+
+def sales_total(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sales without a grain: the one row that headline measures divide."""
+    return enriched(spark, sf_dir, ["gross_margin"]).agg(
+        as_money(F.sum("amount")).alias("revenue"), as_money(F.sum("gross_margin")).alias("gross_margin"),
+        F.count("transaction_id").alias("transactions"))
 
 
 def scd2_snapshots(spark: SparkSession, sf_dir: str):
@@ -112,28 +128,6 @@ def typed_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.event_type_in(silver.type_table(rt, "loyalty_events"))
 
 
-
-
-def gold_snapshot(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Gold facts and dim_date written once, as the semantic model reads them.
-
-    All Gold aggregates come from one pass over the enriched fact
-    (``gold.gold_one_pass``); that small result is written once to a fresh
-    folder under the shared checkpoint directory (cutting lineage), and the
-    facts and the date dimension are derived from it. Measures therefore
-    never recompute Silver, and the fact is never cached.
-    """
-    from tillroll.plans import semantic
-    from tillroll.session import work_path
-
-    root = work_path(spark, "gold_snapshot", fresh=True)
-    gold.gold_one_pass(enriched(spark, sf_dir)).write.mode("overwrite").parquet(f"{root}/one_pass")
-    agg = spark.read.parquet(f"{root}/one_pass")
-    bounds = gold.from_one_pass(agg, "date_range").select(F.col("first_date").alias("lo"),
-                                                          F.col("last_date").alias("hi"))
-    return {
-        "fact_sales": gold.from_one_pass(agg, "sales_by_region_category_month"),
-        "fact_store_performance": gold.from_one_pass(agg, "store_performance"),
-        "fact_loyalty_tier_value": gold.from_one_pass(agg, "loyalty_tier_value"),
-        "dim_date": semantic.dim_date_between(bounds),
-    }
+def typed_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All loyalty events of both feeds' periods, typed, accepted types only."""
+    return silver.event_type_in(silver.type_table(binding.all_loyalty_events(spark, sf_dir), "loyalty_events"))

@@ -108,28 +108,31 @@ def month_grain(dates: DataFrame) -> DataFrame:
     return dates.select("month", "year", "quarter", "month_name").distinct()
 
 
+def dim_date_of_months(fact: DataFrame) -> DataFrame:
+    """H7 from a fact's own months: whole months from its first to its last."""
+    first = month_start("month")
+    return dim_date_between(fact.agg(F.min(first).alias("lo"), F.last_day(F.max(first)).alias("hi")))
+
+
 def yoy_revenue_growth(fact: DataFrame, dates: DataFrame, by: list[str] | None = None) -> DataFrame:
     """H4: (current - same period last year) / same period last year, per month.
 
-    The prior year is a self join on the month shifted by 12 months (not a
-    lag, which breaks on gaps). A full outer join keeps months that only
-    have prior revenue (growth -1) and months without a prior (NULL);
-    months outside the date dimension are dropped.
+    Every month's revenue counts for its own month and, as the prior year's,
+    for the month twelve months on (not a lag, which breaks on gaps); one
+    aggregate brings the two together. Months that only have prior revenue
+    (growth -1) and months without a prior (NULL) stay; months outside the
+    date dimension are dropped.
     """
     by = list(by or [])
-    cur = fact.groupBy("month", *by).agg(F.sum(F.col("revenue").cast("decimal(38,2)")).alias("cur"))
-    prior = (fact.groupBy("month", *by).agg(F.sum(F.col("revenue").cast("decimal(38,2)")).alias("prior"))
-                 .withColumn("month", F.date_format(F.add_months(month_start("month"), 12), "yyyy-MM")))
-    keys = ["month", *by]
-    c_, p_ = cur.alias("c"), prior.alias("p")
-    cond = None
-    for k in keys:
-        e = F.col(f"c.{k}").eqNullSafe(F.col(f"p.{k}"))
-        cond = e if cond is None else cond & e
-    j = c_.join(p_, cond, "full_outer").select(
-        *[F.coalesce(F.col(f"c.{k}"), F.col(f"p.{k}")).alias(k) for k in keys], "cur", "prior")
-    months = month_grain(dates).select("month")
-    j = j.join(months, "month", "left_semi")
+    kind = "decimal(38,2)"
+    none = F.lit(None).cast(kind)
+    later = F.date_format(F.add_months(month_start("month"), 12), "yyyy-MM")
+    sides = F.array(F.struct(F.col("month").alias("month"), F.col("rev").alias("cur"), none.alias("prior")),
+                    F.struct(later.alias("month"), none.alias("cur"), F.col("rev").alias("prior")))
+    both = (fact.select("month", *by, F.col("revenue").cast(kind).alias("rev"))
+            .select(*by, F.explode(sides).alias("side")).select("side.*", *by)
+            .groupBy("month", *by).agg(F.sum("cur").alias("cur"), F.sum("prior").alias("prior")))
+    j = both.join(month_grain(dates).select("month"), "month", "left_semi")
     c = F.coalesce(F.col("cur"), F.lit(0)).cast("double")
     p = F.col("prior").cast("double")
     return j.select("month", *by,
@@ -141,9 +144,10 @@ def calendar_rollup(fact: DataFrame, dates: DataFrame) -> DataFrame:
     """H8: revenue down the Year > Quarter > Month drill path.
 
     ``level`` is the grouping id: 0 month rows, 1 quarter subtotals,
-    3 year subtotals, 7 the grand total.
+    3 year subtotals, 7 the grand total. Revenue without a month in the date
+    dimension stays under the NULL calendar member, so totals reconcile.
     """
-    j = fact.join(month_grain(dates), "month")
+    j = fact.join(month_grain(dates), "month", "left")
     return (j.rollup("year", "quarter", "month")
              .agg(F.sum(F.col("revenue").cast("decimal(38,2)")).cast("double").alias("revenue"),
                   F.grouping_id().cast("bigint").alias("level")))
@@ -154,18 +158,17 @@ def executive_summary(sales: DataFrame, tiers: DataFrame) -> DataFrame:
     s = sales.agg(_sum("revenue").alias("rev"), _sum("gross_margin").alias("gm"),
                   _sum("transactions").alias("tx"))
     t = tiers.agg(_sum("revenue").alias("rev"), _sum("customers").alias("cust"))
-    rows = [
-        s.select(F.lit("Total Revenue").alias("measure"), F.col("rev").alias("value")),
-        s.select(F.lit("Gross Margin %").alias("measure"), safe_divide("gm", "rev").alias("value")),
-        s.select(F.lit("Revenue per Transaction").alias("measure"),
-                 safe_divide(F.col("rev"), F.col("tx").cast("double")).alias("value")),
-        t.select(F.lit("Revenue per Loyalty Customer").alias("measure"),
-                 safe_divide(F.col("rev"), F.col("cust").cast("double")).alias("value")),
-    ]
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out
+
+    def measure(name: str, value: Column) -> Column:
+        return F.struct(F.lit(name).alias("measure"), value.alias("value"))
+
+    # one aggregate per fact, each giving its measures as rows
+    of_sales = F.array(measure("Total Revenue", F.col("rev")), measure("Gross Margin %", safe_divide("gm", "rev")),
+                       measure("Revenue per Transaction", safe_divide(F.col("rev"), F.col("tx").cast("double"))))
+    of_tiers = F.array(measure("Revenue per Loyalty Customer",
+                               safe_divide(F.col("rev"), F.col("cust").cast("double"))))
+    return s.select(F.explode(of_sales).alias("m")).select("m.*") \
+        .unionByName(t.select(F.explode(of_tiers).alias("m")).select("m.*"))
 
 
 def store_operations(store_perf: DataFrame) -> DataFrame:

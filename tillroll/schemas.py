@@ -36,6 +36,9 @@ RAW_SCHEMAS = {name: _strings(*cols) for name, cols in RAW_COLUMNS.items()}
 
 INGEST_STAMPS = ["_ingested_ts", "_source_file"]
 
+# Lines of a landing file that do not fit its columns are kept here, whole.
+CORRUPT = "_corrupt_record"
+
 SILVER_TYPES = {
     "customers": {
         "customer_id": "string", "region": "string", "loyalty_tier": "string",

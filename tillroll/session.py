@@ -77,6 +77,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         local = tempfile.mkdtemp(prefix="tillroll-ckpt-")
         spark.sparkContext.setCheckpointDir(local)
         path = spark.sparkContext.getCheckpointDir() or local

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.functions.joins import source_rows, spread
+from tillroll.functions.joins import bounded_broadcast, source_rows, source_rows_many, spread
 
 # Fixed values of the retail domain (must stay as written).
 LOYALTY_TIERS = ["Bronze", "Silver", "Gold", "Platinum"]
@@ -57,17 +57,9 @@ def path(sf_dir: str, name: str) -> str:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan of a driver table. The tables are read-only, so the scan frame
-    (file listing and footer schema) is built once per session and path."""
-    p = path(sf_dir, name)
-    key = (spark.sparkContext.applicationId, id(spark), p)
-    if key not in _SCANS:
-        df = spark.read.parquet(p)
-        _SCANS[key] = df if name in FIXED_SIZE else spread(df, spark, key=p)
-    return _SCANS[key]
-
-
-_SCANS: dict = {}
+    """Scan of a driver table."""
+    df = spark.read.parquet(path(sf_dir, name))
+    return df if name in FIXED_SIZE else spread(df, spark)
 
 
 def row_bound(spark: SparkSession, sf_dir: str, name: str) -> int:
@@ -87,12 +79,13 @@ def _s(c: Column) -> Column:
 
 
 def _geo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation -> region name; 25 rows, broadcast by size by the planner."""
+    """nation -> region name; broadcast behind the tables' row counts."""
+    rows = source_rows_many(spark, {n: path(sf_dir, n) for n in sorted(FIXED_SIZE)})
     nation = read(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     region = read(spark, sf_dir, "region").select("r_regionkey", "r_name")
-    geo = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey).select(
-        "n_nationkey", "r_name")
-    return F.broadcast(geo)  # fixed size at every scale
+    region = bounded_broadcast(region, rows["region"])
+    geo = nation.join(region, nation.n_regionkey == region.r_regionkey).select("n_nationkey", "r_name")
+    return bounded_broadcast(geo, rows["nation"])
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -101,7 +94,7 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
     orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    j = li.join(orders, li.l_orderkey == orders.o_orderkey)
+    j = li.join(orders, li.l_orderkey == orders.o_orderkey, "left")
     dirt = F.col("l_partkey") % DIRT_MODULUS
     return j.select(
         F.concat_ws("-", _s(F.col("l_orderkey")), _s(F.col("l_linenumber"))).alias("transaction_id"),
@@ -205,6 +198,11 @@ def loyalty_realtime_source(df: DataFrame, keep: tuple = ()) -> DataFrame:
     return _loyalty(df.filter(F.col("ts") >= F.lit(REALTIME_START).cast("timestamp_ntz")), keep)
 
 
+def all_loyalty_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loyalty records of every event, whichever feed delivers it."""
+    return _loyalty(read(spark, sf_dir, "events"))
+
+
 def raw_loyalty_realtime(spark: SparkSession, sf_dir: str) -> DataFrame:
     return loyalty_realtime_source(read(spark, sf_dir, "events"))
 
@@ -257,7 +255,11 @@ def runs_from_events(ev: DataFrame) -> DataFrame:
 
 def activity_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ADFActivityRun: the activity comes from the event's props 'k'."""
-    ev = read(spark, sf_dir, "events")
+    return activities_from_events(read(spark, sf_dir, "events"))
+
+
+def activities_from_events(ev: DataFrame) -> DataFrame:
+    """Map an events frame (batch or streaming) to ADFActivityRun rows."""
     k = F.get_json_object("props", "$.k").cast("int")
     acts = F.array(*[F.lit(a) for a in PIPELINE_ACTIVITIES])
     return ev.select(

@@ -3,6 +3,7 @@
 Storage layout under a lake root (any Hadoop path):
   <lake>/bronze/<table>        parquet, appended by the ingest streams
   <lake>/silver/<table>/v=<id> parquet, one directory per written version
+                               (transactions: one per run, read together)
   <lake>/gold/<table>/v=<id>
   <lake>/_current/<layer>/<table>  append-only log of published versions
 A new version is written completely before the pointer moves, so a reader
@@ -13,24 +14,77 @@ never sees a half-written table and a table can be rebuilt from itself
 from __future__ import annotations
 
 import time
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tillroll.schemas import RAW_SCHEMAS
+from tillroll.schemas import CORRUPT, RAW_SCHEMAS
 
 
-def read_landing_csv(spark: SparkSession, path: str, table: str, glob: str = "*.csv",
+class TableStateError(RuntimeError):
+    """A table's stored state is damaged; nothing may be assumed about it."""
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Only "there is no such path" is False; any other trouble raises."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def landing_schema(table: str) -> T.StructType:
+    """The registry's text columns, and a place for lines that do not fit them."""
+    return T.StructType([*RAW_SCHEMAS[table].fields, T.StructField(CORRUPT, T.StringType(), True)])
+
+
+def landing_options(glob: str = "*.csv", recursive: bool = True) -> dict:
+    """S1 + S4 for batch and stream alike.
+
+    The header is checked against the registry (a reordered or renamed column
+    stops the read instead of landing in the wrong field), a line with too few
+    or too many fields is kept whole in the corrupt-record column, and files
+    are picked up below the folder as well.
+    """
+    return {"header": "true", "enforceSchema": "false", "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": CORRUPT, "pathGlobFilter": glob,
+            "recursiveFileLookup": str(recursive).lower()}
+
+
+def read_landing_csv(spark: SparkSession, path: str | list[str], table: str, glob: str = "*.csv",
                      recursive: bool = True) -> DataFrame:
     """S1 + S4: header row, comma, every column text; recursive wildcard pick-up.
 
     The schema comes from the registry (S3), never from inference.
     """
-    reader = (spark.read.schema(RAW_SCHEMAS[table]).option("header", True)
-              .option("pathGlobFilter", glob))
-    if recursive:
-        reader = reader.option("recursiveFileLookup", True)
-    return reader.csv(path)
+    return spark.read.schema(landing_schema(table)).options(**landing_options(glob, recursive)).csv(path)
+
+
+def landing_files(spark: SparkSession, path: str, glob: str = "*.csv", recursive: bool = True) -> DataFrame:
+    """(file) under a landing folder, from the listing alone: no content is read."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], "file string")
+    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+            .option("recursiveFileLookup", str(recursive).lower()).load(path)
+            .select(F.col("_metadata.file_path").alias("file")))
+
+
+def new_landing_files(spark: SparkSession, path: str, bronze_path: str) -> list[str]:
+    """Landing files of which Bronze holds no row yet (one delivery's file names)."""
+    found = landing_files(spark, path)
+    if path_exists(spark, bronze_path):
+        done = spark.read.schema("_source_file string").parquet(bronze_path) \
+            .select(F.col("_source_file").alias("file")).distinct()
+        found = found.join(done, "file", "left_anti")
+    return sorted(unquote(r["file"]) for r in found.collect())
+
+
+def read_new_landing(spark: SparkSession, landing: str, table: str, bronze_path: str) -> DataFrame:
+    """The rows that the next ingest of a table will add."""
+    files = new_landing_files(spark, f"{landing.rstrip('/')}/{table}", bronze_path)
+    if not files:
+        return spark.createDataFrame([], landing_schema(table))
+    return read_landing_csv(spark, files, table)
 
 
 def ingest_stamps() -> list[Column]:
@@ -62,13 +116,28 @@ def _pointer(lake: str, layer: str, table: str) -> str:
     return f"{lake.rstrip('/')}/_current/{layer}/{table}"
 
 
+def _published(spark: SparkSession, lake: str, layer: str, table: str) -> DataFrame:
+    """The pointer log: one (version) row per publication."""
+    return spark.read.schema("version string").json(_pointer(lake, layer, table))
+
+
+def published(spark: SparkSession, lake: str, layer: str, table: str) -> DataFrame:
+    """(v) as numbers: the versions that readers may see, to join version folders with."""
+    return _published(spark, lake, layer, table).select(F.col("version").cast("bigint").alias("v")).distinct()
+
+
 def current_version(spark: SparkSession, lake: str, layer: str, table: str) -> str | None:
-    """The current version id of a table, or None when it was never written."""
-    try:
-        rows = spark.read.json(_pointer(lake, layer, table)).select("version").collect()
-    except Exception:  # noqa: BLE001 - a missing pointer means no table yet
+    """The current version id of a table, or None when it was never written.
+
+    Only a missing pointer means "never written"; a damaged one raises.
+    """
+    if not path_exists(spark, _pointer(lake, layer, table)):
         return None
-    return max(r["version"] for r in rows) if rows else None
+    row = _published(spark, lake, layer, table).agg(
+        F.max("version").alias("version"), F.count(F.lit(1)).alias("n"), F.count("version").alias("good")).first()
+    if not row["n"] or row["n"] != row["good"]:
+        raise TableStateError(f"damaged pointer of {layer}.{table} under {lake}")
+    return row["version"]
 
 
 def table_exists(spark: SparkSession, lake: str, layer: str, table: str) -> bool:
@@ -84,11 +153,12 @@ def read_table(spark: SparkSession, lake: str, layer: str, table: str) -> DataFr
     return spark.read.parquet(f"{lake.rstrip('/')}/{layer}/{table}/v={v}")
 
 
-def stage_version(df: DataFrame, lake: str, layer: str, table: str) -> tuple[str, str]:
+def stage_version(df: DataFrame, lake: str, layer: str, table: str,
+                  partition_by: list[str] | None = None) -> tuple[str, str]:
     """Write a new version folder without publishing it; returns (version, path)."""
     version = f"{int(time.time() * 1000):015d}"
     path = f"{lake.rstrip('/')}/{layer}/{table}/v={version}"
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").partitionBy(*(partition_by or [])).parquet(path)
     return version, path
 
 
@@ -110,39 +180,55 @@ def write_version(spark: SparkSession, df: DataFrame, lake: str, layer: str, tab
     return version
 
 
-def published_versions(spark: SparkSession, lake: str, layer: str, table: str) -> list[str]:
-    """All published versions of a table (one pointer entry per run)."""
-    try:
-        return [r["version"] for r in
-                spark.read.json(_pointer(lake, layer, table)).select("version").collect()]
-    except Exception:  # noqa: BLE001 - never published
-        return []
+def read_all_versions(spark: SparkSession, lake: str, layer: str, table: str) -> DataFrame:
+    """Rows of every published version, with the version id in ``v``.
+
+    For tables whose versions add up (appended facts, closed dimension rows).
+    Versions that were staged but never published do not show.
+    """
+    if current_version(spark, lake, layer, table) is None:
+        raise FileNotFoundError(f"{layer}.{table} has no version under {lake}")
+    done = published(spark, lake, layer, table)
+    rows = spark.read.parquet(f"{lake.rstrip('/')}/{layer}/{table}")
+    return rows.withColumn("v", F.col("v").cast("bigint")).join(done, "v", "left_semi")
 
 
-def stage_history(df: DataFrame, lake: str, layer: str, table: str, version: str) -> None:
-    """Append-only history: each run writes its rows to its own folder.
+def expire_versions(spark: SparkSession, lake: str, layer: str, table: str, keep: int) -> list[str]:
+    """Delete the folders of all but the newest ``keep`` published versions.
 
-    Rows become visible only once ``version`` is published on the table's
-    pointer (see ``read_history``), so a failed run's rows never show.
+    Only for tables that are rewritten whole; one listing row per version.
     """
-    df.write.mode("overwrite").parquet(f"{lake.rstrip('/')}/{layer}/{table}/history/run={version}")
+    old = [r["version"] for r in _published(spark, lake, layer, table).distinct()
+           .orderBy(F.desc("version")).offset(max(1, keep)).collect()]
+    gone = []
+    for v in old:
+        folder = f"{lake.rstrip('/')}/{layer}/{table}/v={v}"
+        if path_exists(spark, folder):
+            p = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            gone.append(v)
+    return gone
+
+
+def create_layers(spark: SparkSession, layers=("bronze", "silver", "gold"), catalog: str | None = None) -> None:
+    """One database per layer, in the session catalog or a named one."""
+    for layer in layers:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_qualified(catalog, layer)}")
 
 
-def read_history(spark: SparkSession, lake: str, layer: str, table: str,
-                 schema=None) -> DataFrame | None:
-    """History rows of all published runs (partition-pruned by run)."""
-    runs = published_versions(spark, lake, layer, table)
-    path = f"{lake.rstrip('/')}/{layer}/{table}/history"
-    try:
-        h = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - no history yet
-        return None
-    # run folders are numeric version ids; partition inference reads them as numbers
-    return h.filter(F.col("run").cast("bigint").isin([int(r) for r in runs])).drop("run") \
-        if runs else None
+def _qualified(catalog: str | None, *parts: str) -> str:
+    return ".".join(f"`{p}`" for p in ((catalog,) if catalog else ()) + parts)
 
 
-def create_layers(spark: SparkSession, layers=("bronze", "silver", "gold")) -> None:
-    """One database per layer in the session catalog."""
-    for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+def save_catalog_table(df: DataFrame, layer: str, table: str, catalog: str | None = None) -> None:
+    """S11 for catalog tables."""
+    df.write.mode("overwrite").saveAsTable(_qualified(catalog, layer, table))
+
+
+def read_catalog_table(spark: SparkSession, layer: str, table: str, catalog: str | None = None) -> DataFrame:
+    """S9 for catalog tables; ``catalog_table_exists`` tells whether there is one."""
+    return spark.table(_qualified(catalog, layer, table))
+
+
+def catalog_table_exists(spark: SparkSession, layer: str, table: str, catalog: str | None = None) -> bool:
+    return spark.catalog.tableExists(_qualified(catalog, layer, table))

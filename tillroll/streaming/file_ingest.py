@@ -9,22 +9,21 @@ live on shared storage so a restarted driver resumes where it stopped.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillroll.schemas import RAW_SCHEMAS, TABLES
-from tillroll.sources.files import stamp_ingest
+from tillroll.schemas import TABLES
+from tillroll.sources.files import landing_options, landing_schema, path_exists, stamp_ingest
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, table: str, glob: str = "*.csv",
                    max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming CSV source for one landing table (explicit schema, S3).
 
-    ``max_files_per_trigger`` splits a large backlog into several
+    The options are those of the batch read, so stream and landing gate see
+    the same files and reject the same headers. ``max_files_per_trigger`` splits a large backlog into several
     micro-batches (availableNow honours it), bounding each batch's size.
     """
-    reader = (spark.readStream.schema(RAW_SCHEMAS[table]).option("header", True)
-              .option("pathGlobFilter", glob))
+    reader = spark.readStream.schema(landing_schema(table)).options(**landing_options(glob))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.csv(f"{landing_dir.rstrip('/')}/{table}")
@@ -41,16 +40,22 @@ def start_ingest(spark: SparkSession, landing_dir: str, table: str, bronze_path:
             .start(bronze_path))
 
 
-def _rows_added(query: StreamingQuery) -> int:
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
+def _rows(spark: SparkSession, path: str) -> int:
+    """Rows of a written table (footers only); 0 before its first write."""
+    return spark.read.schema("_source_file string").parquet(path).count() if path_exists(spark, path) else 0
 
 
 def ingest_table(spark: SparkSession, landing_dir: str, table: str, bronze_path: str,
                  checkpoint: str, max_files_per_trigger: int | None = None) -> int:
-    """Drain new landing files of one table into Bronze; returns rows added."""
+    """Drain new landing files of one table into Bronze; returns rows added.
+
+    The number comes from the table: the query's progress log forgets all but
+    its last updates.
+    """
+    before = _rows(spark, bronze_path)
     query = start_ingest(spark, landing_dir, table, bronze_path, checkpoint, max_files_per_trigger)
     query.awaitTermination()
-    return _rows_added(query)
+    return _rows(spark, bronze_path) - before
 
 
 def ingest_all(spark: SparkSession, landing_dir: str, lake: str,
@@ -69,8 +74,7 @@ def ingest_all(spark: SparkSession, landing_dir: str, lake: str,
                for t in tables}
     for q in queries.values():
         q.awaitTermination()
-    return {t: spark.read.parquet(f"{root}/bronze/{t}").agg(F.count(F.lit(1))).first()[0]
-            for t in tables}
+    return {t: _rows(spark, f"{root}/bronze/{t}") for t in tables}
 
 
 def stream_table(spark: SparkSession, dir_path: str, file_glob: str, schema) -> DataFrame:

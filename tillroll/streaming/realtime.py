@@ -3,19 +3,21 @@
 T2: broker (or file) JSON events -> accepted-type filter -> arrival stamp ->
 append to Bronze. Stateless, so it scales with the source's partitions.
 
-T3: the realtime feed is de-duplicated on ``event_id`` inside the stream
-with ``dropDuplicatesWithinWatermark`` (state bounded by the watermark),
-then unioned with the batch feed in Silver (``silver.union_feeds``).
-
-T4: tumbling alert windows over a stream with a watermark; in append mode a
-window is emitted once the watermark passes its end, so late rows within
-the delay still count and the state is dropped afterwards.
+T3: the realtime Bronze is unioned with the batch feed and de-duplicated on
+``event_id`` in Silver (``silver.union_feeds``), over all events: a watermark
+in the stream would silently drop late ones.
+
+T4: tumbling alert windows over a stream with a watermark. Windows are
+written in update mode, so an alert shows in the micro-batch that raises it
+and the last windows of a bounded drain come out too; the watermark only
+bounds the state. The newest row per window counts.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tillroll.operators.silver import ACCEPTED_EVENT_TYPES
@@ -29,13 +31,19 @@ def json_source(spark: SparkSession, path: str, schema: str = LOYALTY_JSON_SCHEM
     return spark.readStream.schema(schema).json(path)
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str,
-                 schema: str = LOYALTY_JSON_SCHEMA) -> DataFrame:
+def parse_events(raw: DataFrame, schema: str = LOYALTY_JSON_SCHEMA, col: str = "value") -> DataFrame:
+    """JSON text (or bytes) in a column -> event columns; other text gives NULLs."""
+    return raw.select(F.from_json(F.col(col).cast("string"), schema).alias("e")).select("e.*")
+
+
+def kafka_source(spark: SparkSession, servers: str, topic: str, schema: str = LOYALTY_JSON_SCHEMA,
+                 starting_offsets: str = "earliest") -> DataFrame:
     """The same events from a Kafka-compatible broker (needs the
-    spark-sql-kafka package on the cluster)."""
+    spark-sql-kafka package on the cluster). A first run starts at the oldest
+    event; later runs go on from the checkpoint."""
     raw = (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers)
-           .option("subscribe", topic).load())
-    return raw.select(F.from_json(F.col("value").cast("string"), schema).alias("e")).select("e.*")
+           .option("subscribe", topic).option("startingOffsets", starting_offsets).load())
+    return parse_events(raw, schema)
 
 
 def realtime_leg(events: DataFrame, accepted: list[str] | None = None) -> DataFrame:
@@ -44,14 +52,6 @@ def realtime_leg(events: DataFrame, accepted: list[str] | None = None) -> DataFr
                   .withColumn("_eventstream_ingested_ts", F.current_timestamp()))
 
 
-def dedupe_stream(events: DataFrame, key: str, event_time: Column, delay: str) -> DataFrame:
-    """Drop repeated keys within the watermark (bounded state)."""
-    return (events.withColumn("_event_time", event_time)
-                  .withWatermark("_event_time", delay)
-                  .dropDuplicatesWithinWatermark([key])
-                  .drop("_event_time"))
-
-
 def window_alerts(events: DataFrame, predicate: Column, ts: Column, window: str, delay: str,
                   alert: str, severity: int) -> DataFrame:
     """T4: tumbling-window counts of matching rows with a watermark.
@@ -59,8 +59,8 @@ def window_alerts(events: DataFrame, predicate: Column, ts: Column, window: str,
     ``ts`` must be a TIMESTAMP (watermarks do not accept TIMESTAMP_NTZ);
     the emitted window bounds are returned as TIMESTAMP_NTZ. Matches are
     counted inside the aggregate rather than filtered before it: a filter
-    would be pushed below the watermark, and windows would then close only
-    when the next *matching* row arrives instead of when the log moves on.
+    would be pushed below the watermark, and the state would then be kept
+    until the next *matching* row arrives instead of when the log moves on.
     """
     return (events.withColumn("_t", ts).withWatermark("_t", delay)
                   .groupBy(F.window("_t", window).alias("w"))
@@ -85,3 +85,24 @@ def run_to_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
     q = w.trigger(availableNow=True).start(path)
     q.awaitTermination()
     return q
+
+
+def drain_updates(df: DataFrame, path: str, checkpoint: str) -> None:
+    """Drain a windowed aggregate in update mode into one folder per micro-batch.
+
+    A batch that is tried again overwrites its own folder.
+    """
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    (df.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+       .trigger(availableNow=True).foreachBatch(save).start().awaitTermination())
+
+
+def latest_updates(spark: SparkSession, path: str, schema, keys: list[str]) -> DataFrame:
+    """The newest row per key of ``drain_updates`` folders."""
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("batch", T.LongType())])) \
+        .option("basePath", path).parquet(path)
+    rest = [c for c in schema.names if c not in keys]
+    return (rows.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("newest"))
+            .select(*[F.col(c) if c in keys else F.col(f"newest.{c}").alias(c) for c in schema.names]))
