@@ -6,6 +6,8 @@ the status compares the unrounded score with ``>=``; the stored metric is
 rounded to 4 places. Freshness counts whole days from the newest date to
 ``as_of`` and passes when that is ``<= max_age_days``.
 
+The texts of ``detail`` are fixed values: reports and alerts match on them.
+
 All checks on one table are evaluated by a single aggregate over it (one
 scan), plus one left join per referential-integrity check against the
 *distinct* parent keys, so a repeating parent key cannot fan rows out. The
