@@ -99,7 +99,7 @@ def test_defined_values(spark, docs):
     assert groups[9].component_id == 1 and {groups[i].component_id for i in (2, 3, 4)} == {2}
     assert groups[2].fingerprint == "0" * 16
     cut = {r.doc_id: r for r in ops["substring"](docs).collect()}
-    assert cut[9].n_removed == cut[9].n_words == 17 and cut[1].n_removed == 0 and cut[7].n_removed == 0
+    assert cut[9].n_removed == cut[9].n_words == 18 and cut[1].n_removed == 0 and cut[7].n_removed == 0
     mixed = {r.doc_id: r for r in ops["mixing"](docs).collect()}
     assert mixed[2].taken == 0 and mixed[2].size == 0
     hit = {r.doc_id: r for r in ops["decontaminate"](docs).collect()}

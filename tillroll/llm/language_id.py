@@ -36,6 +36,7 @@ WORD_LEAST = 3      # times a word must occur in the sample to be known
 GRAM_LEAST = 2
 SMOOTHING = 0.5
 MEMO_WORDS = 200_000
+TOTAL = ""
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -51,14 +52,17 @@ def grams(word: str, n: int) -> list[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (lang, n, gram, count) per batch; n = 0 are whole words."""
+    """Rows (lang, n, gram, count) per batch; n = 0 are whole words, TOTAL counts all of a length."""
     for batch in batches:
         found: Counter = Counter()
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
             for word, k in Counter(text_words(text)).items():
                 found[lang, 0, word] += k
+                found[lang, 0, TOTAL] += k
                 for n in range(1, LONGEST_GRAM + 1):
-                    for g in grams(word, n):
+                    parts = grams(word, n)
+                    found[lang, n, TOTAL] += k * len(parts)
+                    for g in parts:
                         found[lang, n, g] += k
         if found:
             lang, n, gram = map(list, zip(*found))
@@ -84,25 +88,26 @@ def fit(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
                .mapInArrow(_count, "lang string, n int, gram string, k bigint")
                .groupBy("n", "gram").agg(F.sum("k").alias("total"),
                                          F.collect_list(F.struct("lang", "k")).alias("by_lang"))
-               .filter(F.col("total") >= F.when(F.col("n") == 0, WORD_LEAST).otherwise(GRAM_LEAST)))
-    found = counted.select("n", "gram", "by_lang").toArrow()
-    langs = sorted({e["lang"] for row in found.column("by_lang").to_pylist() for e in row})
+               .filter((F.col("gram") == TOTAL) | (F.col("total") >= F.when(F.col("n") == 0, WORD_LEAST).otherwise(GRAM_LEAST))))
+    found = counted.select("n", "gram", F.explode("by_lang").alias("e")).select("n", "gram", "e.lang", "e.k").toArrow()
+    langs = sorted(found.column("lang").unique().to_pylist())
     place = {lang: i for i, lang in enumerate(langs)}
-    ns = np.array(found.column("n").to_pylist(), dtype=np.int64)
-    table = np.zeros((len(ns), len(langs)))
-    for i, row in enumerate(found.column("by_lang").to_pylist()):
-        for e in row:
-            table[i, place[e["lang"]]] += e["k"]
-    logs = np.zeros_like(table)
-    for n in range(LONGEST_GRAM + 1):
-        own = ns == n
-        if own.any():
-            totals = table[own].sum(0) + SMOOTHING * own.sum()
-            logs[own] = np.log((table[own] + SMOOTHING) / totals)
     rows: list[dict[str, int]] = [{} for _ in range(LONGEST_GRAM + 1)]
-    for i, (n, gram) in enumerate(zip(ns.tolist(), found.column("gram").to_pylist())):
-        rows[n][gram] = i
-    return {"langs": langs, "rows": rows, "logs": logs.astype(np.float32)}
+    size, at, lang_at = 0, [], []
+    for batch in found.to_batches(max_chunksize=1 << 16):  # flat columns, a slice at a time
+        for n, gram, lang in zip(*(batch.column(c).to_pylist() for c in ("n", "gram", "lang"))):
+            row = rows[n].setdefault(gram, size)
+            size += row == size
+            at.append(row)
+            lang_at.append(place[lang])
+    table = np.zeros((size, len(langs)), np.float32)
+    np.add.at(table, (np.array(at, np.int64), np.array(lang_at, np.int64)), found.column("k").to_numpy())
+    logs = np.zeros_like(table)
+    for known in rows:
+        totals = table[known.pop(TOTAL)] if TOTAL in known else np.zeros(len(langs))
+        own = np.fromiter(known.values(), np.int64, len(known))
+        logs[own] = np.log((table[own] + SMOOTHING) / (totals + SMOOTHING * max(1, len(own))))
+    return {"langs": langs, "rows": rows, "logs": logs}
 
 
 class Scorer:
