@@ -5,6 +5,7 @@ from __future__ import annotations
 import gc
 
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,6 +72,17 @@ def in_bit_set(bits: np.ndarray, values: np.ndarray) -> np.ndarray:
     return (bits[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
 
 
+def bit_filter(spark: SparkSession, values: DataFrame, col: str):
+    """A function of a column of ids: True for every id in ``values.col``, False for nearly all others."""
+    marks = spark.sparkContext.broadcast(bit_set(values.select(F.xxhash64(col).alias("h")), "h"))
+
+    @F.pandas_udf("boolean")
+    def hit(h: pd.Series) -> pd.Series:
+        return pd.Series(in_bit_set(marks.value, h.to_numpy(np.int64)))
+
+    return lambda ids: hit(F.xxhash64(ids))
+
+
 def release_shuffles(spark: SparkSession) -> None:
     """Let the context cleaner drop the shuffle files of finished steps.
 

@@ -8,8 +8,8 @@ the cache. A tokenizer version is the digest of the tokenizer file and the
 library version, so a changed file or library never reuses old counts.
 
 The encoder counts white-space separated pieces and keeps a bounded memo of
-piece counts per task: pieces are independent, since the tokenizer never joins
-symbols across white space.
+piece counts per worker process: pieces are independent, since the tokenizer
+never joins symbols across white space.
 
 Defined cases: NULL counts as the empty text (0 tokens); repeated rows and
 repeated texts share one encoding and give one result row each; a cache that
@@ -26,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SPACE_CHARS, SPACE_RUN, bounded_arrow_batches
+from tillroll.llm.common import SPACE_CHARS, SPACE_RUN, bit_filter, bounded_arrow_batches
+from tillroll.session import work_path
 
 LIMIT = 2048
-MEMO_PIECES = 200_000
+MEMO_PIECES = 800_000
+SPECIAL = b"<|"  # special strings are matched before lower-casing
 CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens bigint"
 
 
@@ -54,23 +56,28 @@ class PieceCounter:
         self.memo: dict[bytes, int] = {}
 
     def count(self, text: str) -> int:
-        pieces = text.encode().split()  # bytes.split() cuts at ASCII white space only
+        raw = text.encode()
+        if SPECIAL not in raw:
+            raw = raw.lower()  # ASCII only; the tokenizer lowers what is not a special string
+        pieces = raw.split()  # bytes.split() cuts at ASCII white space only
         memo = self.memo
         try:
             return sum(map(memo.__getitem__, pieces))
         except KeyError:
             new = [p for p in set(pieces) if p not in memo]
-        if len(memo) + len(new) > MEMO_PIECES:
-            memo.clear()
-            new = list(set(pieces))
         encoded = self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)
-        memo.update(zip(new, map(len, encoded)))
-        return sum(map(memo.__getitem__, pieces))
+        counts = dict(zip(new, map(len, encoded)))
+        if len(memo) + len(counts) <= MEMO_PIECES:  # a full memo keeps the early, frequent pieces
+            memo.update(counts)
+        return sum(counts[p] if p in counts else memo[p] for p in pieces)
 
 
-def _encode(definition) -> callable:
+def _encode(shared) -> callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = PieceCounter(definition.value)
+        own = shared.value  # one per worker process, so the memo outlives the task
+        if "counter" not in own:
+            own["counter"] = PieceCounter(own["definition"])
+        counter = own["counter"]
         for batch in batches:
             counts = [counter.count(t.as_py() or "") for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays([batch.column("content_digest"), pa.array(counts, pa.int64())],
@@ -92,29 +99,51 @@ def stored_counts(spark: SparkSession, cache_path: str, version: str) -> DataFra
 
 
 def fill_cache(spark: SparkSession, docs: DataFrame, tokenizer_path: str, cache_path: str,
-               text_col: str = "text") -> str:
+               id_col: str = "doc_id", text_col: str = "text") -> str:
     """Encode the distinct texts without a stored count; returns the version."""
     with open(tokenizer_path, encoding="utf-8") as f:  # a few MB, sent to the executors once
         definition = f.read()
     version = tokenizer_version(definition)
     bounded_arrow_batches(spark)
-    texts = docs.select(content_digest(F.col(text_col)).alias("content_digest"),
+    texts = docs.select(content_digest(F.col(text_col)).alias("content_digest"), F.col(id_col).alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    misses = texts.dropDuplicates(["content_digest"])
-    if _cache_exists(spark, cache_path):
-        known = stored_counts(spark, cache_path, version)
-        if texts.select("content_digest").join(known, "content_digest", "left_anti").isEmpty():
-            return version  # nothing new: no text is moved at all
-        misses = misses.join(known, "content_digest", "left_anti")
-    (misses.mapInArrow(_encode(spark.sparkContext.broadcast(definition)), "content_digest binary, n_tokens bigint")
+    (_sure_misses(spark, texts, cache_path, version)
+     .mapInArrow(_encode(spark.sparkContext.broadcast({"definition": definition})),
+                 "content_digest binary, n_tokens bigint")
      .withColumn("tokenizer_digest", F.lit(version)).write.mode("append").parquet(cache_path))
     return version
 
 
+def _sure_misses(spark: SparkSession, texts: DataFrame, cache_path: str, version: str) -> DataFrame:
+    """(content_digest, text): one text for every digest without a stored count.
+
+    A digest's text is that of its smallest id. Digests and ids alone are
+    shuffled to find those; two bit sets over ids, of the chosen and of all
+    others, then settle nearly every document where it is read. Only a
+    document that may be in both is joined, so hardly any text moves.
+    """
+    ids = texts.select("content_digest", "doc_id")
+    chosen = ids.groupBy("content_digest").agg(F.min("doc_id").alias("chosen_id"))
+    if _cache_exists(spark, cache_path):
+        chosen = chosen.join(stored_counts(spark, cache_path, version), "content_digest", "left_anti")
+    path = work_path(spark, "token-misses", fresh=True)
+    chosen.withColumn("miss", F.lit(True)).write.parquet(path)
+    chosen = spark.read.parquet(path)
+    others = ids.join(chosen, "content_digest", "left") \
+        .filter(F.col("miss").isNull() | ~F.col("doc_id").eqNullSafe(F.col("chosen_id")))
+    is_other = bit_filter(spark, others, "doc_id")("doc_id")
+    is_chosen = bit_filter(spark, chosen, "chosen_id")("doc_id")
+    unsure = texts.filter(is_other & is_chosen).alias("t").join(chosen.alias("c"), (
+        F.col("t.content_digest") == F.col("c.content_digest"))
+        & F.col("t.doc_id").eqNullSafe(F.col("c.chosen_id")), "left_semi")
+    return texts.filter(~is_other).select("content_digest", "text").unionByName(
+        unsure.select("content_digest", "text"))
+
+
 def count_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, cache_path: str,
                  id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row."""
-    version = fill_cache(spark, docs, tokenizer_path, cache_path, text_col)
+    version = fill_cache(spark, docs, tokenizer_path, cache_path, id_col, text_col)
     keyed = docs.select(F.col(id_col).alias("doc_id"),
                         F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("bigint").alias("n_bytes"),
                         content_digest(F.col(text_col)).alias("content_digest"))
