@@ -10,9 +10,10 @@ Only windows with such an anchor are hashed and shuffled, to find the smallest
 document (owner) of each window; every document is then linked with the
 owners of its windows.
 
-Automata. Documents are dealt to shards of bounded text. A shard also gets the
-texts of the owners that its documents are linked with, each once. It keeps
-the owners' windows once each (smallest owner first), joins consecutive ones
+Automata. Linked documents are dealt to shards of bounded text, near the owner
+that they share most with. A shard also gets the texts of the owners that its
+documents are linked with, each once. It keeps the owners' windows that its
+documents hold too, once each (smallest owner first), joins consecutive ones
 into passages, and compiles an Aho-Corasick automaton over the 7-word grams at
 every seventh place of a passage: any 13 words of a passage hold one of them.
 
@@ -43,13 +44,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bit_set, bounded_arrow_batches, in_bit_set, release_shuffles
+from tillroll.llm.common import bit_filter, bit_set, bounded_arrow_batches, in_bit_set, release_shuffles
 from tillroll.session import work_path
 
 WINDOW = 13
 ANCHOR = 5
 SEED = 7  # 2 * SEED - 1 = WINDOW: every window of a passage holds a whole seed
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 4 << 20
 MEMO_WORDS = 300_000
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
@@ -145,37 +146,38 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 
 
 class PhraseAutomaton:
-    """Aho-Corasick automaton over the passages of one shard's owners."""
+    """Aho-Corasick automaton over the passages that a shard's owners share with its documents.
 
-    def __init__(self, owners: list[tuple[int, str]]):
+    ``wanted`` are the sorted window hashes of the shard's documents. Each is
+    kept once, for its smallest owner; runs of kept windows are the passages.
+    """
+
+    def __init__(self, owners: list[tuple[int, str]], wanted: np.ndarray):
         self.numbers: dict[bytes, int] = {}
         self.passages: list[tuple[int, list[int]]] = []
-        hasher, taken = WordHashes(), set()
+        hasher, taken = WordHashes(), np.zeros(len(wanted), bool)
         seeds: dict[tuple, list[tuple[int, int]]] = {}
         for owner, text in sorted(owners, key=lambda o: o[0]):
             words = text_words(text)
-            if len(words) < WINDOW:
+            if len(words) < WINDOW or not len(wanted):
+                continue
+            windows = rolled(hasher.of(words), WINDOW)
+            at = np.minimum(np.searchsorted(wanted, windows), len(wanted) - 1)
+            places = np.flatnonzero(wanted[at] == windows)
+            which, first = np.unique(at[places], return_index=True)
+            own = np.sort(places[first[~taken[which]]])
+            taken[which] = True
+            if not len(own):
                 continue
-            windows = rolled(hasher.of(words), WINDOW).tolist()
-            own = []
-            for i, w in enumerate(windows):
-                if w not in taken:
-                    taken.add(w)
-                    own.append(i)
-            numbers = [self.numbers.setdefault(w, len(self.numbers)) for w in words]
-            at = 0
-            while at < len(own):
-                end = at
-                while end + 1 < len(own) and own[end + 1] == own[end] + 1:
-                    end += 1
-                passage = numbers[own[at]:own[end] + WINDOW]
+            for run in np.split(own, np.flatnonzero(np.diff(own) != 1) + 1):
+                passage = [self.numbers.setdefault(w, len(self.numbers))
+                           for w in words[run[0]:run[-1] + WINDOW]]
                 for q in range(0, len(passage) - SEED + 1, SEED):
                     seeds.setdefault(tuple(passage[q:q + SEED]), []).append((len(self.passages), q))
                 self.passages.append((owner, passage))
-                at = end + 1
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for seed, places in seeds.items():
-            self.automaton.add_word(seed, places)
+        for seed, found in seeds.items():
+            self.automaton.add_word(seed, found)
         if seeds:
             self.automaton.make_automaton()
         self.empty = not seeds
@@ -208,7 +210,13 @@ class PhraseAutomaton:
 
 def _stream(docs: pd.DataFrame, owners: pd.DataFrame) -> pd.DataFrame:
     """One shard: compile its automaton and stream its documents."""
-    automaton = PhraseAutomaton(list(zip(owners["owner"].tolist(), owners["owner_text"].tolist())))
+    hasher, windows = WordHashes(), [np.zeros(0, np.uint64)]
+    for text in docs["text"]:
+        words = text_words(text)
+        if len(words) >= WINDOW:
+            windows.append(np.unique(rolled(hasher.of(words), WINDOW)))
+    automaton = PhraseAutomaton(list(zip(owners["owner"].tolist(), owners["owner_text"].tolist())),
+                                np.unique(np.concatenate(windows)))
     rows = []
     for doc_id, text in zip(docs["doc_id"].tolist(), docs["text"].tolist()):
         words = text_words(text)
@@ -216,6 +224,20 @@ def _stream(docs: pd.DataFrame, owners: pd.DataFrame) -> pd.DataFrame:
     return _frame(rows)
 
 
+def dealt_to_shards(links: DataFrame, shard_docs: int) -> DataFrame:
+    """(doc_id, shard): documents go where the owner they share most with goes.
+
+    So an owner's text travels to few shards. The documents of one owner are
+    split over several shards once they are more than a shard should hold.
+    """
+    most = links.groupBy("doc_id").agg(F.max(F.struct("n", (-F.col("owner")).alias("o"))).alias("most")) \
+        .select("doc_id", (-F.col("most.o")).alias("owner"))
+    family = most.groupBy("owner").agg(F.ceil(F.count(F.lit(1)) / F.lit(shard_docs)).alias("parts"))
+    n_shards = max(1, -(-links.select("doc_id").distinct().count() // shard_docs))
+    return most.join(family, "owner").select("doc_id", F.pmod(F.xxhash64(
+        "owner", F.pmod(F.xxhash64("doc_id"), F.col("parts"))), F.lit(n_shards)).alias("shard"))
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row."""
@@ -223,8 +245,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     path = work_path(spark, "substring-dedup", fresh=True)
     context = spark.sparkContext
     base = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_shards = max(1, -(-size // SHARD_BYTES))
+    total = base.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count(F.lit(1)).alias("n")).first()
+    shard_docs = max(1, SHARD_BYTES * total["n"] // max(1, total["bytes"] or 0))
     pair = "key bigint, doc_id bigint"
 
     # anchors that occur in two documents
@@ -241,27 +263,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
 
     # links of documents with the owners of their windows
     owners = spark.read.parquet(f"{path}/owners")
-    windows.join(owners, "key").filter("doc_id > owner").select("doc_id", "owner").distinct() \
-        .write.parquet(f"{path}/links")
+    windows.join(owners, "key").filter("doc_id > owner").groupBy("doc_id", "owner") \
+        .agg(F.count(F.lit(1)).alias("n")).write.parquet(f"{path}/links")
     release_shuffles(spark)
     links = spark.read.parquet(f"{path}/links")
-
-    def shard(col: str):
-        return F.pmod(F.xxhash64(col), F.lit(n_shards)).alias("shard")
-
-    def member(values: DataFrame, col: str):
-        marks = context.broadcast(bit_set(values.select(F.xxhash64(col).alias("h")), "h"))
-
-        @F.pandas_udf("boolean")
-        def hit(h: pd.Series) -> pd.Series:
-            return pd.Series(in_bit_set(marks.value, h.to_numpy(np.int64)))
-        return hit(F.xxhash64("doc_id"))
+    dealt_to_shards(links, shard_docs).write.parquet(f"{path}/shards")
+    shards = spark.read.parquet(f"{path}/shards")
 
     # the bit sets keep unlinked texts out of the shuffles; what slips through does no harm
-    linked = member(links, "doc_id")
-    wanted = links.select(shard("doc_id"), "owner").distinct()
-    sources = base.filter(member(links, "owner")) \
+    linked = F.col("doc_id").isNotNull() & bit_filter(spark, links, "doc_id")("doc_id")
+    wanted = links.join(shards, "doc_id").select("shard", "owner").distinct()
+    sources = base.filter(bit_filter(spark, links, "owner")("doc_id")) \
         .select(F.col("doc_id").alias("owner"), F.col("text").alias("owner_text")).join(wanted, "owner")
-    streamed = base.filter(linked).withColumn("shard", shard("doc_id")).groupBy("shard") \
-        .cogroup(sources.groupBy("shard")).applyInPandas(_stream, RESULT)
+    streamed = base.filter(linked).join(shards, "doc_id", "left") \
+        .withColumn("shard", F.coalesce("shard", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)))) \
+        .groupBy("shard").cogroup(sources.groupBy("shard")).applyInPandas(_stream, RESULT)
     return base.filter(~linked).mapInArrow(_untouched, RESULT).unionByName(streamed)
