@@ -345,6 +345,24 @@ def test_budget_fit_is_the_best_sum():
         assert (fitted >= 0).all() and (fitted <= counts).all() and (fitted * lengths).sum() <= budget
 
 
+def test_budget_fit_spreads_over_all_lengths():
+    import numpy as np
+    lengths = np.arange(1, 2001)
+    for each, share, seed in ((1, 0.3, 1), (1, 0.6, 2), (7, 0.25, 3)):
+        counts = np.full(len(lengths), each)
+        budget = int((lengths * counts).sum() * share)  # its roundings are far more than the knapsack's words
+        take = mixing.fit_budget(lengths, counts, budget, seed)
+        assert (take * lengths).sum() == budget
+        assert set(take - np.floor(counts * share).astype(int)) <= {0, 1}
+        for tenth in np.array_split(np.arange(len(lengths)), 10):
+            assert abs(take[tenth].sum() / counts[tenth].sum() - share) < 0.12
+        assert (take == mixing.fit_budget(lengths, counts, budget, seed)).all()
+        assert (take != mixing.fit_budget(lengths, counts, budget, seed + 10)).any()
+    # one document far above the budget leaves the others to fill it
+    lengths, counts = np.array([1, 500, 700, 10 ** 7]), np.array([9000, 900, 900, 1])
+    assert (mixing.fit_budget(lengths, counts, 10 ** 6) * lengths).sum() == 10 ** 6
+
+
 def brute_words(text):
     return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", re.sub("[A-Z]+", lambda m: m[0].lower(), text or ""))
 

@@ -7,10 +7,11 @@ window over one row per source).
 
 A source's target is some whole passes over its documents plus a rest. The
 rest is fitted on the histogram of exact lengths (one row per length, counted
-in Spark): every length gives its proportional part, rounded down, and a
-bounded-knapsack dynamic program over the documents left over fills the
-remaining budget. Documents of a length are then picked by seeded hash; ranks
-are taken inside hash buckets, so a hot source or length is never one group.
+in Spark): every length gives its proportional part, rounded down, or up by
+one document in a seeded order. A bounded-knapsack dynamic program decides the
+last of these roundings, so that the budget is met. Documents of a length are
+then picked by seeded hash; ranks are taken inside hash buckets, so a hot
+source or length is never one group.
 
 Defined cases: NULL or blank text has size 0 and is never taken in words; a
 source of size 0 has target 0; repeated rows are documents of their own (their
@@ -20,6 +21,8 @@ columns are not read (``carry`` keeps them untouched in a struct).
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -33,7 +36,8 @@ SHARE = 1.5
 MOST = 2
 SEED = 20260101
 BUCKET_BITS = 10
-# The dynamic program works on at most this many words of remaining budget.
+# The dynamic program decides the roundings of the last words, less than this many; the
+# earlier ones follow the same seeded order without it.
 DP_WORDS = 1 << 16
 
 
@@ -58,56 +62,72 @@ def source_targets(sizes: DataFrame) -> DataFrame:
                     F.least(cap, F.coalesce("level", F.lit(float("inf"))) * F.col("weight")).alias("target")))
 
 
-def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many documents of each length to take so that the words near ``budget``."""
-    total = int((lengths * counts).sum())
-    if budget <= 0 or total == 0:
-        return np.zeros_like(counts)
-    if budget >= total:
-        return counts.copy()
-    take = np.array([int(c) * budget // total for c in counts], dtype=np.int64)
-    rest = budget - int((take * lengths).sum())
-    for i in np.argsort(-lengths):  # large lengths first, until the program can hold the rest
-        if rest <= DP_WORDS:
-            break
-        more = min(int(counts[i] - take[i]), (rest - DP_WORDS) // int(lengths[i]) + 1, rest // int(lengths[i]))
-        take[i] += more
-        rest -= more * int(lengths[i])
-    return take + _knapsack(lengths, counts - take, rest)
-
+def fit_budget(lengths: np.ndarray, counts: np.ndarray, budget: int, seed: int = SEED) -> np.ndarray:
+    """How many documents of each length to take so that the words near ``budget``.
 
-def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Bounded knapsack over reachable sums, kept as the bits of one integer."""
+    Every length gets its proportional part, rounded down, then up by one
+    document in a seeded order that favours large fractions (Pareto sampling:
+    the chance of a length is about its fraction). The knapsack decides the
+    last roundings in the same order, where they have to meet the budget.
+    """
+    take, rest = np.zeros_like(counts), max(0, budget)
+    draw = np.random.default_rng(seed).random(len(lengths))
+    while True:
+        left = np.where(lengths <= rest, counts - take, 0)  # a document longer than the rest never fits
+        total = int((lengths * left).sum())
+        if total <= rest:
+            return take + left
+        parts = [divmod(int(n) * rest, total) for n in left]
+        down = np.array([whole for whole, _ in parts], dtype=np.int64)
+        part = np.array([over / total for _, over in parts])
+        take = take + down
+        rest -= int((down * lengths).sum())
+        with np.errstate(divide="ignore"):
+            order = np.argsort(np.where(part > 0, draw / (1 - draw) * (1 - part) / part, np.inf), kind="stable")
+        for k, i in enumerate(order):
+            if rest < DP_WORDS:
+                return take + _knapsack(lengths, counts - take, rest, np.roll(order, -k))
+            if part[i] > 0 and lengths[i] <= rest:
+                take[i] += 1
+                rest -= int(lengths[i])
+
+
+def _knapsack(lengths: np.ndarray, counts: np.ndarray, budget: int, order: np.ndarray | None = None) -> np.ndarray:
+    """Bounded knapsack over reachable sums, kept as the bits of one integer.
+
+    One document of every length is tried in ``order`` before any length gets more.
+    """
     reach, history = 1, []
     mask = (1 << (budget + 1)) - 1
-    for i in np.argsort(lengths):
-        length, left = int(lengths[i]), min(int(counts[i]), budget // int(lengths[i]))
-        if left <= 0:
-            continue
-        history.append((i, length, left, reach))
-        part = 1
+    order = np.argsort(lengths) if order is None else order
+    fits = [(i, int(lengths[i]), min(int(counts[i]), budget // int(lengths[i]))) for i in order]
+    for i, length, left in [(i, w, 1) for i, w, n in fits if n > 0] + [(i, w, n - 1) for i, w, n in fits if n > 1]:
+        if reach >> budget & 1:
+            break
+        earlier, part = reach, 1
         while left > 0:
             step = min(part, left)
             reach |= (reach << (length * step)) & mask
             left -= step
             part *= 2
-        if reach >> budget & 1:
-            break
+        if reach != earlier:
+            history.append((i, length, earlier))
     extra = np.zeros_like(counts)
     at = reach.bit_length() - 1  # the largest reachable sum within the budget
-    for i, length, left, earlier in reversed(history):
-        used = 0
+    for i, length, earlier in reversed(history):
         while not earlier >> at & 1:
             at -= length
-            used += 1
-        extra[i] = used
+            extra[i] += 1
     return extra
 
 
-def _fit_source(hist: pd.DataFrame) -> pd.DataFrame:
-    hist = hist.sort_values("size", ignore_index=True)
-    take = fit_budget(hist["size"].to_numpy(np.int64), hist["n"].to_numpy(np.int64), int(hist["rest"].iloc[0]))
-    return pd.DataFrame({"key": hist["key"], "size": hist["size"], "extra": take})
+def _fit_source(seed: int):
+    def fit(hist: pd.DataFrame) -> pd.DataFrame:
+        hist = hist.sort_values("size", ignore_index=True)
+        take = fit_budget(hist["size"].to_numpy(np.int64), hist["n"].to_numpy(np.int64), int(hist["rest"].iloc[0]),
+                          zlib.crc32(hist["key"].iloc[0].encode(), seed & 0xFFFFFFFF))
+        return pd.DataFrame({"key": hist["key"], "size": hist["size"], "extra": take})
+    return fit
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -129,7 +149,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     targets = targets.withColumn("passes", passes.cast("bigint")).withColumn(
         "rest", F.round(F.col("target") - F.col("passes") * F.col("source_size")).cast("bigint"))
     extras = hist.filter("size > 0").join(targets.select("key", "rest"), "key") \
-        .groupBy("key").applyInPandas(_fit_source, "key string, size bigint, extra bigint")
+        .groupBy("key").applyInPandas(_fit_source(seed), "key string, size bigint, extra bigint")
     earlier = Window.partitionBy("key", "size").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     plan = (buckets.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
             .join(extras, ["key", "size"], "left").join(targets, "key")
