@@ -117,3 +117,24 @@ def test_stages_keep_columns_and_rows_of_any_shape(spark, docs, none, tmp_path_f
     kept = [r.doc_id for r in stages.simhash_dedup(spark, docs, str(root)).collect()]
     assert len(kept) == len(set(kept)) and 9 not in kept and {1, 2, 5, 7} <= set(kept)
     assert {1, 9}.isdisjoint(r.doc_id for r in stages.decontaminate(spark, docs, str(root)).collect())
+
+
+def test_stages_judge_rows_without_or_sharing_an_id_by_their_text(spark, tmp_path_factory):
+    import os
+    root = tmp_path_factory.mktemp("ids")
+    spark.createDataFrame(BENCH, "item_id bigint, text string").write.parquet(os.path.join(root, "benchmark.parquet"))
+    unique, other, third = (" ".join(f"{w}{i}" for i in range(40)) for w in ("alpha", "beta", "gamma"))
+    dirty = "the cat sat on the mat and the dog lay on the log"
+    rows = [(None, unique), (None, unique), (None, other), (3, third), (4, third), (4, dirty), (None, third),
+            (None, dirty + " x"), (5, None), (None, ""), (6, "clean and short"), (6, dirty)]
+    df = spark.createDataFrame([(i, t, "en", "a", 1) for i, t in rows], SCHEMA)
+
+    def left(stage):
+        return sorted(((r.doc_id, r.text) for r in stage(spark, df, str(root)).collect()), key=str)
+
+    kept = left(stages.simhash_dedup)
+    assert kept.count((None, unique)) == kept.count((None, other)) == kept.count((3, third)) == 1
+    assert not {(4, third), (None, third), (None, ""), (6, dirty)} & set(kept)
+    assert {(4, dirty), (5, None), (6, "clean and short")} <= set(kept)
+    clean = [r for r in rows if not (r[1] or "").startswith(dirty)]
+    assert left(stages.decontaminate) == sorted(clean, key=str)

@@ -33,6 +33,12 @@ def words(text: Column) -> Column:
     return F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, SPACE_RUN))
 
 
+def row_key(doc_id: Column, text: Column) -> Column:
+    """Digest of a row's id and text; a NULL id is a value of its own, NULL text is the empty text."""
+    name = F.when(doc_id.isNull(), "null ").otherwise(F.concat(F.lit("is "), doc_id.cast("string"), F.lit(" ")))
+    return F.md5(F.concat(name, F.coalesce(text, F.lit(""))).cast("binary"))
+
+
 def bounded_arrow_batches(spark: SparkSession, rows: int = 512, size: int = 32 << 20) -> None:
     """Keep Arrow batches small enough for whole texts of any length.
 

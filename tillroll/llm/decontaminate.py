@@ -41,6 +41,10 @@ def item_words(text: Column) -> Column:
     return F.filter(F.split(low, NOT_WORD), lambda w: w != "")
 
 
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _stride(m: int) -> int:
     return max(1, m // 2)
 
@@ -88,9 +92,10 @@ def _probes(words: Column, lengths: list[int]) -> Column:
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
-                  text_col: str = "text", width: int = WINDOW) -> DataFrame:
+                  text_col: str = "text", width: int = WINDOW, keyed: bool = False) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hit_spans.
 
+    With ``keyed`` also ``text_key``, which tells texts of one id (or without one) apart.
     ``hit_spans`` lists the merged hit word ranges as (first, end) from word 0.
     """
     wins = windows(benchmark, width=width)
@@ -99,7 +104,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     hint = F.broadcast if size <= BROADCAST_MAX_BYTES else (lambda df: df)
 
     base = docs.select(F.col(id_col).alias("doc_id"),
-                       F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_key"),
+                       text_key(F.col(text_col)).alias("text_key"),
                        item_words(F.col(text_col)).alias("words"))
     looked = base.select("doc_id", "text_key", "words", F.size("words").alias("n"),
                          F.explode(_probes(F.col("words"), lengths)).alias("q")) \
@@ -126,13 +131,14 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         F.max("n").alias("n"), F.sum(F.when(F.col("start").isNull(), 1).otherwise(0)).alias("copies"),
         F.array_sort(F.collect_set(whole)).alias("spots"),
         F.array_sort(F.collect_set("item_id")).alias("items"))
+    key = ["text_key"] if keyed else []
     return per_doc.withColumn("hit_spans", _merged(F.col("spots"))).select(
-        "doc_id", F.col("n").cast("bigint").alias("n_words"),
+        "doc_id", *key, F.col("n").cast("bigint").alias("n_words"),
         F.aggregate("hit_spans", F.lit(0).cast("bigint"), lambda a, s: a + s["end"] - s["first"]).alias("n_hit"),
         F.size("items").cast("bigint").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         "hit_spans", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies"))).alias("copy"),
-    ).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256",
+    ).select("doc_id", *key, "n_words", "n_hit", "n_items", "items_sha256",
              ((F.col("n_hit") > 0) & (F.col("n_hit") * 20 >= F.col("n_words"))).alias("contaminated"),
              "hit_spans")
 

@@ -38,7 +38,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bounded_arrow_batches
+from tillroll.llm.common import bounded_arrow_batches, row_key
 from tillroll.session import work_path
 
 SHINGLE = 3
@@ -46,6 +46,7 @@ MAX_BITS = 2
 HASH_SEED = 42
 PIVOTS = 16
 BLOCK_BITS = 16
+KEY = "row_key"
 # Shingle hashes held at once while a long text is summed.
 CHUNK = 1 << 16
 
@@ -83,16 +84,18 @@ _LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         prints = [text_fingerprint(t.as_py()) for t in batch.column("text")]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints, pa.int64())],
-                                         names=["doc_id", "fp"])
+        kept = [c for c in batch.schema.names if c != "text"]
+        yield pa.RecordBatch.from_arrays([*map(batch.column, kept), pa.array(prints, pa.int64())],
+                                         names=[*kept, "fp"])
 
 
 def fingerprint_rows(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
-                     text_col: str = "text") -> DataFrame:
-    """(doc_id, fp) of every row; no shuffle."""
+                     text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """(doc_id, fp) of every row, with ``key_col`` (a string) between them if given; no shuffle."""
     bounded_arrow_batches(spark)
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(_fingerprint_batches, "doc_id bigint, fp bigint")
+    key = [key_col] if key_col else []
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), *key) \
+        .mapInArrow(_fingerprint_batches, ", ".join(["doc_id bigint", *[f"{k} string" for k in key], "fp bigint"]))
 
 
 def pivot_table(prints: DataFrame) -> DataFrame:
@@ -178,20 +181,38 @@ def components(spark: SparkSession, edges: DataFrame, path: str) -> DataFrame:
             .write.parquet(f"{path}/round-{k}")
 
 
+def _labelled(spark: SparkSession, rows: DataFrame, first: Column, path: str, max_bits: int) -> DataFrame:
+    """(fp, label, first) of every distinct fingerprint; ``first`` is an aggregate of its rows."""
+    rows.groupBy("fp").agg(first.alias("first")).write.parquet(f"{path}/prints")
+    prints = spark.read.parquet(f"{path}/prints")
+    pivot_table(prints).write.parquet(f"{path}/pivots")
+    labels = components(spark, links(spark.read.parquet(f"{path}/pivots"), max_bits), f"{path}/components")
+    # fingerprints without a link are components of their own
+    return prints.join(labels, prints.fp == labels.node, "left") \
+        .select("fp", "first", F.coalesce("label", "fp").alias("label"))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint, component_id of every row."""
     path = work_path(spark, "simhash", fresh=True)
     fingerprint_rows(spark, docs, id_col, text_col).write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
-    rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")).write.parquet(f"{path}/prints")
-    prints = spark.read.parquet(f"{path}/prints")
-    pivot_table(prints).write.parquet(f"{path}/pivots")
-    labels = components(spark, links(spark.read.parquet(f"{path}/pivots"), max_bits), f"{path}/components")
-    # fingerprints without a link are components of their own
-    linked = prints.join(labels, prints.fp == labels.node, "left") \
-        .select("fp", "first_id", F.coalesce("label", "fp").alias("label"))
-    first = linked.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    linked = _labelled(spark, rows, F.min("doc_id"), path, max_bits)
+    first = linked.groupBy("label").agg(F.min("first").alias("component_id"))
     named = linked.join(first, "label").select("fp", "component_id")
     return rows.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
                                          "component_id")
+
+
+def representatives(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    max_bits: int = MAX_BITS) -> DataFrame:
+    """row_key of one row of every component: the smallest id, NULL last, and of that the smallest key."""
+    path = work_path(spark, "simhash", fresh=True)
+    keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
+                        row_key(F.col(id_col), F.col(text_col)).alias(KEY))
+    fingerprint_rows(spark, keyed, key_col=KEY).write.parquet(f"{path}/rows")
+    rows = spark.read.parquet(f"{path}/rows")
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", KEY))
+    return _labelled(spark, rows, smallest, path, max_bits) \
+        .groupBy("label").agg(F.min("first").alias("first")).select(f"first.{KEY}")

@@ -1,8 +1,8 @@
 """Pipeline stages: each calls one operator and lets its decisions take effect.
 
 All but the last keep the columns of their input, whatever these are besides
-doc_id, text, source and lang. Rows with a NULL id cannot be told apart by the
-deduplicating stage and go there.
+doc_id, text, source and lang. A row is known by its id and text together, so
+rows without an id, or sharing one, are judged each by their own text.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from tillroll.llm import decontaminate as decontamination
 from tillroll.llm import language_id as languages
 from tillroll.llm import mixing, sharding, simhash
-from tillroll.llm.common import table
+from tillroll.llm.common import row_key, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,16 +23,22 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of every near-duplicate group."""
-    found = simhash.near_duplicates(spark, docs)
-    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """Keep one row of every near-duplicate group: the smallest id's, one without an id if there is no other."""
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                        row_key(F.col("doc_id"), F.col("text")).alias(simhash.KEY))
+    # repeated rows fall together before the shuffle, so a hot one is never gathered
+    return keyed.dropDuplicates([simhash.KEY]).join(simhash.representatives(spark, docs), simhash.KEY, "left_semi") \
+        .select("row.*")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that the benchmark contaminates."""
-    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(found.filter("contaminated").select("doc_id").distinct(), "doc_id", "left_anti")
+    """Drop the rows that the benchmark contaminates, whatever other rows share their id."""
+    found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"), keyed=True) \
+        .filter("contaminated").select(F.col("doc_id").alias("hit_id"), "text_key").distinct()
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").alias("own_id"), decontamination.text_key(F.col("text")).alias("own_key")) \
+        .join(found, F.col("own_id").eqNullSafe(F.col("hit_id")) & (F.col("own_key") == F.col("text_key")),
+              "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
