@@ -79,6 +79,17 @@ def test_memo_reset_keeps_counts(monkeypatch):
     assert counter.count(many) == counter.count(many) == 6 and counter.count("seven one") == 2
 
 
+def test_capitals_without_a_composed_form():
+    from tokenizers import Tokenizer
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tok = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        counter = token_counts.PieceCounter(f.read())
+    pairs = [c + m for c, m in zip("JHTWY", "\u030c\u0331\u0308\u030a\u030a")]
+    for t in [*pairs, *(f"a{p}b THE End" for p in pairs), " ".join(pairs), "E\u0301t\u00e9 ABC \u00c9TAT"]:
+        assert counter.count(t) == len(tok.encode(t, add_special_tokens=False)), ascii(t)
+
+
 def chained(words):
     h = 42
     for w in words:

@@ -57,9 +57,12 @@ class PieceCounter:
 
     def count(self, text: str) -> int:
         raw = text.encode()
-        if SPECIAL not in raw:
-            raw = raw.lower()  # ASCII only; the tokenizer lowers what is not a special string
-        pieces = raw.split()  # bytes.split() cuts at ASCII white space only
+        if SPECIAL in raw:
+            pieces = raw.split()  # bytes.split() cuts at ASCII white space only
+        elif raw.isascii():
+            pieces = raw.lower().split()  # as the tokenizer does what is not a special string
+        else:  # it composes before it lowers, and some capitals compose only when lowered first
+            pieces = [p.lower() if p.isascii() else p for p in raw.split()]
         memo = self.memo
         try:
             return sum(map(memo.__getitem__, pieces))
