@@ -138,3 +138,9 @@ def test_stages_judge_rows_without_or_sharing_an_id_by_their_text(spark, tmp_pat
     assert {(4, dirty), (5, None), (6, "clean and short")} <= set(kept)
     clean = [r for r in rows if not (r[1] or "").startswith(dirty)]
     assert left(stages.decontaminate) == sorted(clean, key=str)
+
+
+def test_language_stage_without_labels_drops_letterless_texts_only(spark):
+    df = spark.createDataFrame(ROWS, SCHEMA).withColumn("lang", F.lit(None).cast("string"))
+    got = stages.language_id(spark, df, "")
+    assert {r.doc_id for r in got.collect()} == {1, 5, 7, 8, 9, 11, 12, None} and got.count() == 9

@@ -17,8 +17,15 @@ from tillroll.llm.common import row_key, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents whose language is undetermined; a filter in the scan."""
-    predict = languages.predictor(spark, languages.fit(spark, docs))
+    """Drop documents whose language is undetermined; a filter in the scan.
+
+    Without a usable label there is no model to judge by, and only texts
+    without a letter go.
+    """
+    model = languages.fit(spark, docs)
+    if not model["langs"]:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    predict = languages.predictor(spark, model)
     return docs.filter(predict(F.col("text"))["lang_pred"] != languages.UNKNOWN)
 
 
