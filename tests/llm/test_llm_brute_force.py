@@ -267,6 +267,13 @@ def test_links_and_components_of_planted_chains(spark):
             assert {labels[m] for m in members} == {min(members)}
 
 
+def test_simhash_refuses_more_bits_than_its_cells_find():
+    for call in (lambda: simhash.links(None, 3), lambda: simhash.near_duplicates(None, None, max_bits=3),
+                 lambda: simhash.representatives(None, None, max_bits=3)):
+        with pytest.raises(ValueError, match="up to 2 bits"):
+            call()
+
+
 def test_sharding_law_and_places(spark):
     rows = sharding.shard(spark, spark.read.parquet(f"{MID}/documents.parquet")).collect()
     loads, places = Counter(), defaultdict(list)

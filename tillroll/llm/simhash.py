@@ -116,8 +116,14 @@ def _lane(word: Column, j: int) -> Column:
     return F.shiftrightunsigned(word, 8 * j).bitwiseAND(F.lit(255).cast("bigint"))
 
 
+def _complete_up_to(max_bits: int) -> None:
+    if max_bits > MAX_BITS:
+        raise ValueError(f"the cells find all pairs up to {MAX_BITS} bits only, not {max_bits}")
+
+
 def links(table: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """Linked pairs (a < b) of distinct fingerprints within ``max_bits`` (<= 2)."""
+    _complete_up_to(max_bits)
     mask = F.lit((1 << BLOCK_BITS) - 1).cast("bigint")
     pairs_of_blocks = list(combinations(range(4), 2))
 
@@ -195,6 +201,7 @@ def _labelled(spark: SparkSession, rows: DataFrame, first: Column, path: str, ma
 def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint, component_id of every row."""
+    _complete_up_to(max_bits)
     path = work_path(spark, "simhash", fresh=True)
     fingerprint_rows(spark, docs, id_col, text_col).write.parquet(f"{path}/rows")
     rows = spark.read.parquet(f"{path}/rows")
@@ -208,6 +215,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
 def representatives(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     max_bits: int = MAX_BITS) -> DataFrame:
     """row_key of one row of every component: the smallest id, NULL last, and of that the smallest key."""
+    _complete_up_to(max_bits)
     path = work_path(spark, "simhash", fresh=True)
     keyed = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                         row_key(F.col(id_col), F.col(text_col)).alias(KEY))
