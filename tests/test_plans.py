@@ -93,3 +93,21 @@ def test_hot_store_split_by_aqe_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_quantity_is_cast_at_most_twice_a_row(spark):
+    """Once in the filter, once in the projection; never in the sort order,
+    and never tried as a whole number first (a failing cast throws per row)."""
+    p = plan(E.queries()["cleanse_transactions"](spark, SF))
+    final = p.split("== Initial Plan ==")[-1]
+    operators = "\n".join(line.split("DataFilters")[0] for line in final.splitlines())
+    assert operators.count("cast(l_quantity") == 2
+    assert "try_cast(cast(l_quantity" not in operators.replace("try_cast(try_cast(cast(l_quantity", "")
+
+
+def test_whole_numbers_keep_every_digit(spark):
+    rows = [("5", 5), (" 7 ", 7), ("5.0", 5), ("2.7", 2), ("-4.9", -4), ("1e3", 1000), ("abc", None), ("", None),
+            ("9223372036854775807", 2**63 - 1), ("9223372036854775808", None), ("1e20", None), ("NaN", None)]
+    df = spark.createDataFrame([(a,) for a, _ in rows], "n string")
+    got = [r.b for r in df.select(silver.coerce_number("n", "bigint").alias("b")).collect()]
+    assert got == [b for _, b in rows]

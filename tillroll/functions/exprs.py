@@ -15,14 +15,22 @@ def _c(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+WHOLE_NUMBER = r"^\s*[+-]?\d+\s*$"
+
+
 def coerce_number(c: ColumnOrName, to: str = "int") -> Column:
     """Lenient numeric cast: junk becomes NULL instead of failing the job.
 
-    Whole numbers are cast directly, so every digit of a large one counts.
-    Other text goes through DOUBLE, so that '2.0' and '2.7' become 2 like a
-    numeric coercion would, while 'abc' or an out-of-range value is NULL.
+    Text goes through DOUBLE, so that '2.0' and '2.7' become 2 like a numeric
+    coercion would, while 'abc' or an out-of-range value is NULL. A double
+    holds every INT exactly; for wider types a whole number is cast directly,
+    so that every digit of a large one counts. The direct cast is only tried
+    on text of that form: a failing cast costs an exception per row.
     """
-    return F.coalesce(_c(c).try_cast(to), _c(c).try_cast("double").try_cast(to))
+    through_double = _c(c).try_cast("double").try_cast(to)
+    if to in ("tinyint", "smallint", "int"):
+        return through_double
+    return F.when(_c(c).cast("string").rlike(WHOLE_NUMBER), _c(c).try_cast(to)).otherwise(through_double)
 
 
 def coerce_decimal(c: ColumnOrName, precision: int = 18, scale: int = 2) -> Column:
