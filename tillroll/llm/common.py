@@ -18,6 +18,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: it is not computed twice."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def let(value: Column, body) -> Column:
     """Evaluate ``value`` once per row and use it several times in ``body``.
 

@@ -9,15 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    centroids,
     decontaminate,
     fingerprints,
     language_id,
+    line_dedup,
     mixing,
     quality,
     samples,
     secret_scan,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     token_counts,
 )
@@ -145,3 +148,64 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")) \
         .drop("hit_spans")
+
+
+def _centroid_sql(k: int = centroids.CLUSTERS, rounds: int = centroids.ROUNDS, dim: int = centroids.DIM,
+                  scale: int = centroids.SCALE, seed: str = centroids.SEED) -> str:
+    """One CTE pair a round: assign by distance (ties: smaller number), then move by exact floor division."""
+    parts = [f"""kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor({scale} * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: isfinite(x))) = {dim}),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY h, v) - 1 AS c, v AS m
+  FROM (SELECT sha256('{seed}:' || vec_id) AS h, v FROM kept ORDER BY h, v LIMIT {k}))"""]
+    for r in range(rounds + 1):
+        parts.append(f"""a{r} AS MATERIALIZED (
+  SELECT vec_id, v, min(struct_pack(d := d, c := c)) AS best
+  FROM (SELECT row, vec_id, v, c, list_sum(list_transform(list_zip(v, m), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS d
+        FROM (SELECT *, row_number() OVER () AS row FROM kept), c{r}) GROUP BY row, vec_id, v)""")
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT c, coalesce(moved, m) AS m FROM c{r} LEFT JOIN (
+    SELECT c, list(q ORDER BY i) AS moved FROM (
+      SELECT best.c AS c, i, CAST((sum(x) - (sum(x) % count(*) + count(*)) % count(*)) // count(*) AS BIGINT) AS q
+      FROM (SELECT best, unnest(v) AS x, generate_subscripts(v, 1) AS i FROM a{r}) GROUP BY best.c, i)
+    GROUP BY c) USING (c))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(best.c AS INTEGER) AS cluster, CAST(best.d AS BIGINT) AS distance,
+       CAST(sum(best.d) OVER (PARTITION BY best.c) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = best.c"""
+
+
+LINES_SQL = r"""
+WITH letters AS (SELECT 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' AS a, 'abcdefghijklmnopqrstuvwxyz' AS b,
+                        ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) AS space),
+d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS p FROM d),
+k AS (SELECT doc_id, line, p, translate(trim(line, space), a, b) AS key FROM l, letters),
+own AS (SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 40
+        GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY p) AS body, count(*) AS n
+         FROM k LEFT JOIN own USING (key) WHERE owner IS NULL OR owner = doc_id GROUP BY doc_id)
+SELECT doc_id, CAST(len(lines) AS BIGINT) AS n_lines, CAST(len(lines) - coalesce(n, 0) AS BIGINT) AS n_dropped,
+       sha256(coalesce(body, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
+
+@query("op11_centroids", _centroid_sql())
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(spark, table(spark, sf_dir, "embeddings"))
+
+
+@query("op12_line_dedup", LINES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup(spark, table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spark, table(spark, sf_dir, "documents"))
