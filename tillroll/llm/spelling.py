@@ -54,7 +54,7 @@ from tillroll.session import work_path
 
 LETTERS = "A-Za-zÀ-ÿ"
 MIN_CHARS, MIN_COUNT, EVERY, RATIO = 7, 2, 31, 10
-RANGE_WORDS = 1 << 16
+RANGE_WORDS = 1 << 14
 PER_RANGE = 16
 #: Node numbers: 0 is the root, splitters' prefixes count down from -1, range r counts up from r << 40.
 BLOCK = 40
