@@ -142,6 +142,28 @@ def reject_accounting(bronze: DataFrame) -> DataFrame:
     )
 
 
+def reject_metrics(bronze: DataFrame) -> list[Column]:
+    """P12 as plain aggregates over Bronze rows, for one more look (``reject_counts``)
+    or for ``observe`` on the pass that cleanses them."""
+    qty_ok = F.coalesce(coerce_number("quantity", "int") > 0, F.lit(False))
+    cust_ok = F.coalesce(present("customer_id"), F.lit(False))
+    bad = malformed() if CORRUPT in bronze.columns else F.lit(False)
+    return [F.count(F.lit(1)).alias("total"),
+            F.count_if(bad).alias("malformed"),
+            F.count_if(~bad & ~qty_ok).alias("bad_quantity"),
+            F.count_if(~bad & qty_ok & ~cust_ok).alias("missing_customer"),
+            F.count_if(~bad & qty_ok & cust_ok).alias("passing")]
+
+
+def accounting(metrics: dict, clean_rows: int) -> dict:
+    """The reject accounting from the metrics of a batch and the rows it kept."""
+    total = metrics["total"]
+    return {"total": total, "clean": clean_rows, "rejected": total - clean_rows,
+            "malformed": metrics["malformed"], "bad_quantity": metrics["bad_quantity"],
+            "missing_customer": metrics["missing_customer"], "duplicates": metrics["passing"] - clean_rows,
+            "pass_rate": clean_rows / total if total else 0.0}
+
+
 def reject_counts(bronze: DataFrame, clean_rows: int) -> dict:
     """P12 without a distinct count: reasons from one plain aggregate over
     Bronze, the clean count from the written Silver table (its footers).
@@ -149,21 +171,7 @@ def reject_counts(bronze: DataFrame, clean_rows: int) -> dict:
     At scale this avoids shuffling every transaction id a second time just
     to count the survivors of a dedupe that already ran.
     """
-    q = coerce_number("quantity", "int")
-    qty_ok = F.coalesce(q > 0, F.lit(False))
-    cust_ok = present("customer_id")
-    bad = malformed() if CORRUPT in bronze.columns else F.lit(False)
-    qty_ok, cust_ok = ~bad & qty_ok, ~bad & cust_ok
-    r = bronze.agg(F.count(F.lit(1)).alias("total"),
-                   F.count_if(bad).alias("malformed"),
-                   F.count_if(~bad & ~qty_ok).alias("bad_quantity"),
-                   F.count_if(qty_ok & ~cust_ok).alias("missing_customer"),
-                   F.count_if(qty_ok & cust_ok).alias("passing")).first()
-    total = r["total"]
-    return {"total": total, "clean": clean_rows, "rejected": total - clean_rows,
-            "malformed": r["malformed"], "bad_quantity": r["bad_quantity"],
-            "missing_customer": r["missing_customer"], "duplicates": r["passing"] - clean_rows,
-            "pass_rate": clean_rows / total if total else 0.0}
+    return accounting(bronze.agg(*reject_metrics(bronze)).first().asDict(), clean_rows)
 
 
 def conform(bronze: DataFrame, table: str) -> DataFrame:

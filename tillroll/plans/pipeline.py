@@ -19,7 +19,7 @@ from tillroll.operators import dq, gold, scd2, silver
 from tillroll.plans import semantic
 from tillroll.schemas import INGEST_STAMPS, TABLES
 from tillroll.sources import binding, files
-from tillroll.streaming import file_ingest, realtime
+from tillroll.streaming import file_ingest, realtime, silver_append
 
 
 @dataclass
@@ -52,7 +52,7 @@ def _silver_read(spark, lake, t):
     """Current rows of a Silver table. Transactions are appended run by run,
     the customer dimension keeps its current rows in a partition of their own."""
     if t == "transactions":
-        return files.read_all_versions(spark, lake, "silver", t).drop("v")
+        return files.read_epochs(spark, lake, "silver", t)
     if t == "dim_customer":
         version = files.current_version(spark, lake, "silver", t)
         if version is None:
@@ -106,58 +106,23 @@ def run_realtime(spark: SparkSession, events: DataFrame, lake: str, continuous_e
                                 f"{lake}/_checkpoints/loyalty_realtime", continuous_every=continuous_every)
 
 
-_COUNTS = ["total", "malformed", "bad_quantity", "missing_customer", "duplicates", "clean"]
-
-
-def _append_transactions(spark: SparkSession, lake: str, bronze: DataFrame, pass_rate: float) -> tuple[dict, str | None]:
-    """Cleanse the Bronze rows that no published run has seen, and append them.
-
-    The survivor of an id is its first ingested good row, so a published row
-    never loses: new rows only have to be set against the published ids. The
-    counts of all runs add up to those of one cleanse over all of Bronze, and
-    the pass rate is taken over them.
-    """
-    book = f"{lake}/_accounting/transactions"
-    seen, high = dict.fromkeys(_COUNTS, 0), None
-    known = files.table_exists(spark, lake, "silver", "transactions")
-    if known:
-        done = files.published(spark, lake, "silver", "transactions")
-        past = spark.read.parquet(book).withColumn("v", F.col("v").cast("bigint")).join(done, "v", "left_semi")
-        row = past.agg(*[F.sum(c).alias(c) for c in _COUNTS], F.max("high").alias("high")).first()
-        seen, high = {c: row[c] for c in _COUNTS}, row["high"]
-    new = bronze.filter(F.col("_ingested_ts") > F.lit(high)) if high is not None else bronze
-    clean = silver.cleanse_transactions(new)
-    if known:
-        clean = clean.join(_silver_read(spark, lake, "transactions").select("transaction_id"),
-                           "transaction_id", "left_anti").select(*clean.columns)
-    version, path = files.stage_version(clean, lake, "silver", "transactions")
-    own = silver.reject_counts(new, spark.read.parquet(path).count())
-    acc = {c: seen[c] + own[c] for c in _COUNTS}
-    acc["rejected"] = acc["total"] - acc["clean"]
-    acc["pass_rate"] = acc["clean"] / acc["total"] if acc["total"] else 0.0
-    if acc["pass_rate"] < pass_rate:
-        raise dq.DQGateError(f"transactions pass rate {acc['pass_rate']:.2%} below {pass_rate:.0%}")
-    (new.agg(F.max("_ingested_ts").alias("high")).select(
-        *[F.lit(own[c]).cast("bigint").alias(c) for c in _COUNTS], F.coalesce("high", F.lit(high)).alias("high"))
-     .write.parquet(f"{book}/v={version}"))
-    files.publish_version(spark, lake, "silver", "transactions", version)
-    return acc, version
-
-
 def run_silver(spark: SparkSession, lake: str, as_of: str, *, realtime_bronze: str | None = None,
-               pass_rate: float = 0.95, null_safe_scd: bool = False, keep_versions: int = 0) -> dict:
+               pass_rate: float = 0.95, null_safe_scd: bool = False, keep_versions: int = 0,
+               buckets: int | None = None, max_bytes_per_batch: str | None = None) -> dict:
     """Task 2: Bronze -> Silver. Returns the reject accounting and versions.
 
-    Transactions are appended, never rewritten. ``keep_versions`` (0: all) is
-    how many versions stay of the tables that are rewritten on every run.
+    Transactions are appended, never rewritten: each run takes the Bronze
+    files that no run has taken (``silver_append``), in batches of at most
+    ``max_bytes_per_batch``. ``keep_versions`` (0: all) is how many versions
+    stay of the tables that are rewritten on every run.
     """
     lake = lake.rstrip("/")
     bronze = {t: spark.read.parquet(f"{lake}/bronze/{t}") for t in TABLES}
     v = {}
 
-    # Transactions: staged, counted, and published only when the pass rate
-    # holds (Q9) - a failing cleanse is never visible.
-    acc, v["transactions"] = _append_transactions(spark, lake, bronze["transactions"], pass_rate)
+    # Transactions: a batch is published only when the pass rate holds (Q9),
+    # so a failing cleanse is never visible.
+    acc, v["transactions"] = silver_append.append_transactions(spark, lake, pass_rate, buckets, max_bytes_per_batch)
     rejected = {t: silver.rejected_rows(bronze[t], t) for t in ("customers", "products", "stores")}
     for t in ("products", "stores"):
         v[t] = files.write_version(spark, silver.conform(bronze[t], t), lake, "silver", t)

@@ -18,7 +18,7 @@ from tillroll.plans import retail, semantic
 from tillroll.plans.registry import register
 from tillroll.session import work_path
 from tillroll.sources import binding, files
-from tillroll.streaming import file_ingest, realtime
+from tillroll.streaming import file_ingest, realtime, silver_append
 
 W = O.with_base
 L = O.with_logs
@@ -98,6 +98,53 @@ def q_reject_accounting(spark, sf):
     return silver.reject_accounting(binding.raw_transactions(spark, sf))
 
 
+# Two deliveries of the whole fact, cut at a ship date.
+DELIVERY_CUT = "1995-06-01"
+_RUNS_SQL = f"""passing AS (
+  SELECT *, CAST(transaction_date AS DATE) >= DATE '{DELIVERY_CUT}' AS late
+  FROM raw_txn WHERE quantity > 0 AND customer_id IS NOT NULL AND customer_id <> ''),
+runs AS (
+  SELECT * FROM passing
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY late, {O.TXN_ORDER}) = 1)"""
+
+
+def _runs_sql(select: str) -> str:
+    return "WITH " + O.RETAIL + ",\n" + _RUNS_SQL + "\n" + select
+
+
+def _two_runs(spark: SparkSession, sf: str) -> str:
+    """A lake whose Silver took two deliveries; the second carries an earlier clock than the first."""
+    lake = work_path(spark, "two_runs", fresh=True)
+    raw = binding.raw_transactions(spark, sf)
+    late = F.col("transaction_date") >= DELIVERY_CUT
+    for delivery, stamp in ((raw.filter(~late), "2024-02-01"), (raw.filter(late), "2024-01-01")):
+        (delivery.withColumn("_ingested_ts", F.lit(stamp).cast("timestamp")).withColumn("_source_file", F.lit(stamp))
+         .write.mode("append").parquet(f"{lake}/bronze/transactions"))
+        silver_append.append_transactions(spark, lake, pass_rate=0.5)
+    return lake
+
+
+@register("append_second_run", _runs_sql(f"SELECT {TXN_COLS} FROM runs"))
+def q_append_second_run(spark, sf):
+    """J1 / J6 over appended history: what the first run published stays, the second adds new ids only."""
+    lake = _two_runs(spark, sf)
+    return out(silver.drop_stamps(files.read_epochs(spark, lake, "silver", "transactions")))
+
+
+@register("append_accounting", _runs_sql("""SELECT total, clean, total - clean AS rejected, bad_quantity, missing_customer,
+       passing - clean AS duplicates, CAST(clean AS DOUBLE) / CAST(total AS DOUBLE) AS pass_rate
+FROM (SELECT count(*) AS total, count_if(NOT coalesce(quantity > 0, FALSE)) AS bad_quantity,
+             count_if(quantity > 0 AND NOT (customer_id IS NOT NULL AND customer_id <> '')) AS missing_customer,
+             (SELECT count(*) FROM passing) AS passing, (SELECT count(*) FROM runs) AS clean
+      FROM raw_txn)"""))
+def q_append_accounting(spark, sf):
+    """P12 as counted on the passes of two runs (``observe``), over both."""
+    acc = silver_append.total_accounting(spark, _two_runs(spark, sf))
+    names = ["total", "clean", "rejected", "bad_quantity", "missing_customer", "duplicates", "pass_rate"]
+    return spark.createDataFrame([tuple(acc[n] for n in names)],
+                                 ", ".join(f"{n} {'double' if n == 'pass_rate' else 'bigint'}" for n in names))
+
+
 @register("gross_margin", W("""SELECT transaction_id, CAST(amount AS DOUBLE) AS amount,
        CAST(cost_price_pct AS DOUBLE) AS cost_price_pct, CAST(gross_margin AS DOUBLE) AS gross_margin
 FROM enriched"""))

@@ -3,7 +3,8 @@
 Storage layout under a lake root (any Hadoop path):
   <lake>/bronze/<table>        parquet, appended by the ingest streams
   <lake>/silver/<table>/v=<id> parquet, one directory per written version
-                               (transactions: one per run, read together)
+  <lake>/silver/transactions/epoch=<n>  appended, bucketed by transaction id:
+                               one partition per consumed Bronze batch
   <lake>/gold/<table>/v=<id>
   <lake>/_current/<layer>/<table>  append-only log of published versions
 A new version is written completely before the pointer moves, so a reader
@@ -13,6 +14,8 @@ never sees a half-written table and a table can be rebuilt from itself
 
 from __future__ import annotations
 
+import hashlib
+import json
 import time
 from urllib.parse import unquote
 
@@ -193,6 +196,87 @@ def read_all_versions(spark: SparkSession, lake: str, layer: str, table: str) ->
     return rows.withColumn("v", F.col("v").cast("bigint")).join(done, "v", "left_semi")
 
 
+# Some 16 million ids a bucket: a task streams them past a hash table of the
+# new ids, so a bucket's size costs time, not memory.
+BUCKET_ROWS = 1 << 24
+MOST_BUCKETS = 1 << 16
+# The first run's rows stand for a day's; the table is laid out for a year.
+LAID_OUT_RUNS = 365
+
+
+def buckets_for(rows: int) -> int:
+    """Bucket count for a table that shall hold ``rows`` rows, a power of two."""
+    return min(MOST_BUCKETS, 1 << (max(0, rows - 1) // BUCKET_ROWS).bit_length())
+
+
+def bucketed_table(spark: SparkSession, lake: str, layer: str, table: str, schema: T.StructType | None = None,
+                   key: str | None = None, buckets: int | None = None) -> str:
+    """Catalog name of an appended table that is hash-bucketed by ``key``.
+
+    The files lie under the lake in one partition per ``epoch``; the catalog
+    entry only names them, so a session whose catalog forgets it registers it
+    again. Key and bucket count are fixed by the first call and kept beside
+    the table: every partition must be bucketed alike to be joined without a
+    shuffle.
+    """
+    root = lake.rstrip("/")
+    spec_path, name = f"{root}/_spec/{layer}/{table}", f"{layer}_{table}_{hashlib.md5(root.encode()).hexdigest()[:12]}"
+    if not path_exists(spark, spec_path):
+        if schema is None or key is None or buckets is None:
+            raise FileNotFoundError(f"{layer}.{table} has no bucketed table under {lake}")
+        spark.createDataFrame([(key, buckets, schema.json())], "key string, buckets int, columns string") \
+            .coalesce(1).write.json(spec_path)
+    rows = spark.read.schema("key string, buckets int, columns string").json(spec_path).collect()
+    if len(rows) != 1 or None in rows[0]:
+        raise TableStateError(f"damaged specification of {layer}.{table} under {lake}")
+    spec, columns = rows[0], T.StructType.fromJson(json.loads(rows[0]["columns"]))
+    if not spark.catalog.tableExists(name):
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns.fields)
+        location = f"{root}/{layer}/{table}".replace("'", "\\'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS `{name}` ({fields}, epoch bigint) USING parquet "
+                  f"PARTITIONED BY (epoch) CLUSTERED BY (`{spec['key']}`) SORTED BY (`{spec['key']}`) "
+                  f"INTO {spec['buckets']} BUCKETS LOCATION '{location}'")
+        if path_exists(spark, f"{root}/{layer}/{table}"):
+            spark.sql(f"MSCK REPAIR TABLE `{name}`")
+    return name
+
+
+def bucket_count(spark: SparkSession, lake: str, layer: str, table: str) -> int:
+    spec_path = f"{lake.rstrip('/')}/_spec/{layer}/{table}"
+    return spark.read.schema("key string, buckets int").json(spec_path).first()["buckets"]
+
+
+def write_epoch(spark: SparkSession, df: DataFrame, name: str, key: str, buckets: int, epoch: int) -> None:
+    """Replace one epoch's partition; a batch that is tried again writes the same rows once more.
+
+    Rows are dealt by the bucket key first, so each task writes one file for each of its buckets.
+    """
+    columns = [c for c in spark.table(name).columns if c != "epoch"]
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        (df.repartition(buckets, key).select(*columns, F.lit(epoch).cast("bigint").alias("epoch"))
+         .write.mode("overwrite").insertInto(name))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+
+
+def read_epochs(spark: SparkSession, lake: str, layer: str, table: str) -> DataFrame:
+    """Rows of every published epoch of a bucketed table, still bucketed by its key.
+
+    The published epochs (one number a run) go into the filter as values:
+    folders of other epochs are not even listed, so a batch that is written
+    anew disturbs no reader, and no join comes between the scan and its
+    bucketing. The listing is refreshed, as another session may have written.
+    """
+    if current_version(spark, lake, layer, table) is None:
+        raise FileNotFoundError(f"{layer}.{table} has no version under {lake}")
+    epochs = [r["v"] for r in published(spark, lake, layer, table).orderBy("v").collect()]
+    name = bucketed_table(spark, lake, layer, table)
+    spark.catalog.refreshTable(name)
+    return spark.table(name).filter(F.col("epoch").isin(epochs)).drop("epoch")
+
+
 def expire_versions(spark: SparkSession, lake: str, layer: str, table: str, keep: int) -> list[str]:
     """Delete the folders of all but the newest ``keep`` published versions.
 
