@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tillroll import oracle as O
 from tillroll.operators import dq, gold, oplog, scd2, silver
-from tillroll.plans import retail, semantic
+from tillroll.plans import model, retail, semantic
 from tillroll.plans.registry import register
 from tillroll.session import work_path
 from tillroll.sources import binding, files
@@ -437,6 +437,58 @@ def q_calendar_rollup(spark, sf):
     return semantic.calendar_rollup(fact, semantic.dim_date_of_months(fact))
 
 
+def _model(spark, sf) -> model.Model:
+    """The sales fact and its dates; other facts are added by the queries that need them."""
+    sales = retail.fact_sales(spark, sf)
+    return model.Model({"fact_sales": sales, "dim_date": semantic.dim_date(
+        retail.silver_tables(spark, sf).transactions)})
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    return df.withColumnsRenamed({c: c.split(".")[-1] for c in df.columns})
+
+
+@register("measures_by_quarter_under_years", W(f"""SELECT quarter, region, {REV} AS total_revenue,
+       {GM} / NULLIF({REV}, 0) AS gross_margin_pct,
+       {REV} / NULLIF(CAST(CAST(SUM(transactions) AS BIGINT) AS DOUBLE), 0) AS revenue_per_transaction
+FROM fact_sales JOIN month_dim USING (month) WHERE year IN (1995, 1996) GROUP BY quarter, region"""))
+def q_measures_by_quarter(spark, sf):
+    """Three measures by a column of the date table and one of the fact, under a filter on the date table."""
+    return _plain(_model(spark, sf).evaluate(
+        ["total_revenue", "gross_margin_pct", "revenue_per_transaction"],
+        ["dim_date.quarter", "fact_sales.region"], {"dim_date.year": lambda y: y.isin(1995, 1996)}))
+
+
+@register("yoy_by_quarter_under_year", W("""SELECT quarter, revenue, prior_year_revenue,
+       (revenue - prior_year_revenue) / NULLIF(prior_year_revenue, 0) AS yoy_revenue_growth
+FROM (
+  SELECT quarter, coalesce(CAST(SUM(CAST(revenue AS DECIMAL(38,2))) FILTER (NOT moved) AS DOUBLE), 0.0) AS revenue,
+         CAST(SUM(CAST(revenue AS DECIMAL(38,2))) FILTER (moved) AS DOUBLE) AS prior_year_revenue
+  FROM (SELECT month, revenue, FALSE AS moved FROM fact_sales
+        UNION ALL
+        SELECT strftime(CAST(month || '-01' AS DATE) + INTERVAL 12 MONTH, '%Y-%m'), revenue, TRUE FROM fact_sales)
+  JOIN month_dim USING (month) WHERE year = 1996 GROUP BY quarter)"""))
+def q_yoy_by_quarter(spark, sf):
+    """J9 + J10: the prior year moves with the filter: under 1996 it is 1995."""
+    return _plain(_model(spark, sf).evaluate(["yoy_revenue_growth"], ["dim_date.quarter"],
+                                             {"dim_date.year": lambda y: y == 1996}))
+
+
+@register("measures_across_facts", W(f"""SELECT s.total_revenue, a.avg_revenue_per_store, t.revenue_per_customer
+FROM (SELECT {REV} AS total_revenue FROM fact_sales
+      WHERE month IN (SELECT month FROM dim_date WHERE date >= DATE '1996-03-15' AND date < DATE '1996-06-02')) s,
+     (SELECT {REV} / NULLIF(CAST(count(revenue) AS DOUBLE), 0) AS avg_revenue_per_store FROM fact_store) a,
+     (SELECT {REV} / NULLIF(CAST(CAST(SUM(customers) AS BIGINT) AS DOUBLE), 0) AS revenue_per_customer
+      FROM fact_tier) t"""))
+def q_measures_across_facts(spark, sf):
+    """A filter on days passes on their months to fact_sales and does not reach facts without a date."""
+    m = _model(spark, sf)
+    m.tables |= {"fact_store_performance": retail.fact_store(spark, sf),
+                 "fact_loyalty_tier_value": retail.fact_tier(spark, sf)}
+    return m.evaluate(["total_revenue", "avg_revenue_per_store", "revenue_per_customer"], where={
+        "dim_date.date": lambda d: (d >= F.lit("1996-03-15").cast("date")) & (d < F.lit("1996-06-02").cast("date"))})
+
+
 @register("executive_summary", W(f"""
 SELECT 'Total Revenue' AS measure, {REV} AS value FROM fact_sales
 UNION ALL SELECT 'Gross Margin %', {GM} / NULLIF({REV}, 0) FROM fact_sales
