@@ -37,7 +37,7 @@ def test_pipeline_two_runs(spark):
     pipeline.write_landing(spark, SF, landing)
     # realtime leg (T2) appends its events to Bronze before the batch run
     from tillroll.streaming import file_ingest, realtime
-    events = file_ingest.stream_table(spark, SF, "events.parquet", binding.read(spark, SF, "events").schema)
+    events = file_ingest.stream_table(spark, binding.path(SF, "events"), binding.read(spark, SF, "events").schema)
     rt_path = f"{lake}/bronze/loyalty_events_realtime"
     realtime.run_to_sink(realtime.realtime_leg(binding.loyalty_realtime_source(events)), rt_path,
                          f"{lake}/_checkpoints/loyalty_events_realtime")

@@ -251,5 +251,5 @@ def silver_loyalty(batch_bronze: DataFrame, realtime_bronze: DataFrame | None,
 
 def drop_stamps(df: DataFrame) -> DataFrame:
     """Remove clock-valued bookkeeping columns before comparing results."""
-    stamps = set(INGEST_STAMPS) | {"_cleansed_ts", "_eventstream_ingested_ts", "_scd_ts"}
+    stamps = set(INGEST_STAMPS) | {"_cleansed_ts", "_eventstream_ingested_ts", "_scd_ts", "_batch"}
     return df.drop(*[c for c in df.columns if c in stamps])

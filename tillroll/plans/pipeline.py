@@ -80,19 +80,20 @@ def _dim_bounds(spark: SparkSession, lake: str) -> dict[str, int]:
 
 def run_bronze(spark: SparkSession, landing: str, lake: str,
                landing_minimums: dict | None = None,
-               max_files_per_trigger: int | None = None) -> dict:
+               max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> dict:
     """Task 1: landing gate (S8, D20), then drain landing files into Bronze.
 
     The gate counts the files that are not in Bronze yet, in one scan, so an
     empty second delivery fails however much was delivered before.
-    ``max_files_per_trigger`` drains a large backlog in bounded micro-batches.
+    ``max_files_per_trigger`` or ``max_bytes_per_trigger`` drains a large backlog in bounded micro-batches.
     """
     lake = lake.rstrip("/")
     fresh = {t: files.read_new_landing(spark, landing, t, f"{lake}/bronze/{t}") for t in TABLES}
     rows = dq.enforce_landing(dq.landing_row_counts(fresh, landing_minimums))
     return {"landing_rows": {r["table"]: r["rows"] for r in rows},
             "bronze_rows": file_ingest.ingest_all(spark, landing, lake,
-                                                  max_files_per_trigger=max_files_per_trigger)}
+                                                  max_files_per_trigger=max_files_per_trigger,
+                                                  max_bytes_per_trigger=max_bytes_per_trigger)}
 
 
 def run_realtime(spark: SparkSession, events: DataFrame, lake: str, continuous_every: str | None = None):
@@ -106,6 +107,17 @@ def run_realtime(spark: SparkSession, events: DataFrame, lake: str, continuous_e
                                 f"{lake}/_checkpoints/loyalty_realtime", continuous_every=continuous_every)
 
 
+def run_realtime_checked(spark: SparkSession, raw: DataFrame, lake: str, continuous_every: str | None = None):
+    """Realtime task with a quarantine: ``raw`` comes from ``realtime.text_source`` or ``realtime.kafka_lines``.
+
+    Kept events land where ``run_realtime`` puts them; refused lines, with the
+    reason, in ``<lake>/quarantine/loyalty_realtime``.
+    """
+    lake = lake.rstrip("/")
+    return realtime.run_checked(raw, f"{lake}/bronze/loyalty_realtime", f"{lake}/quarantine/loyalty_realtime",
+                                f"{lake}/_checkpoints/loyalty_realtime_checked", continuous_every=continuous_every)
+
+
 def run_silver(spark: SparkSession, lake: str, as_of: str, *, realtime_bronze: str | None = None,
                pass_rate: float = 0.95, null_safe_scd: bool = False, keep_versions: int = 0,
                buckets: int | None = None, max_bytes_per_batch: str | None = None) -> dict:

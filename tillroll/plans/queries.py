@@ -618,7 +618,7 @@ STREAM_DELAY = "10 minutes"
 
 def _events_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = binding.read(spark, sf, "events").schema
-    return file_ingest.stream_table(spark, sf, "events.parquet", schema)
+    return file_ingest.stream_table(spark, binding.path(sf, "events"), schema)
 
 
 def _drain(spark: SparkSession, df: DataFrame, name: str, mode: str = "append") -> DataFrame:
@@ -674,6 +674,43 @@ def q_stream_batch_union(spark, sf):
     return silver.union_feeds(batch, silver.type_table(rt, "loyalty_events"))
 
 
+_DAMAGE = """CASE WHEN CAST(event_id AS BIGINT) % 11 = 3 THEN 'malformed' WHEN CAST(event_id AS BIGINT) % 11 = 5 THEN 'keyless'
+            WHEN event_type IN ('earn', 'redeem', 'expire') THEN 'kept' ELSE 'event_type' END"""
+
+
+def _damaged_lines(events: DataFrame) -> DataFrame:
+    """Events as JSON lines, some broken off and some without their key."""
+    number = F.col("event_id").cast("bigint") % 11
+    whole = F.to_json(F.struct(*events.columns))
+    keyless = F.to_json(F.struct(*[c for c in events.columns if c != "event_id"]))
+    return events.select(F.when(number == 3, F.substring(whole, F.lit(1), F.length(whole) - 4))
+                         .when(number == 5, keyless).otherwise(whole).alias("value"))
+
+
+def _checked(spark: SparkSession, sf: str, name: str) -> tuple[str, str]:
+    root = work_path(spark, "streams", name, fresh=True)
+    _damaged_lines(binding.all_loyalty_events(spark, sf)).write.text(f"{root}/drop")
+    realtime.run_checked(realtime.text_source(spark, f"{root}/drop"), f"{root}/bronze", f"{root}/quarantine",
+                         f"{root}/_checkpoint")
+    return f"{root}/bronze", f"{root}/quarantine"
+
+
+@register("realtime_checked", W(f"""SELECT event_id, customer_id, CAST(event_date AS VARCHAR) AS event_date, event_type,
+       CAST(points AS VARCHAR) AS points
+FROM loy_all WHERE {_DAMAGE} = 'kept'"""))
+def q_realtime_checked(spark, sf):
+    """What the checked leg keeps of lines of which some are damaged."""
+    bronze, _ = _checked(spark, sf, "realtime_checked")
+    return silver.drop_stamps(spark.read.parquet(bronze))
+
+
+@register("realtime_quarantine", W(f"""SELECT {_DAMAGE} AS outcome, count(*) AS events
+FROM loy_all GROUP BY 1"""))
+def q_realtime_quarantine(spark, sf):
+    """Every event is counted as kept or under the reason of its refusal."""
+    return realtime.checked_accounting(spark, *_checked(spark, sf, "realtime_quarantine"))
+
+
 def _alerts(spark: SparkSession, log: DataFrame, predicate, window: str, alert: str, severity: int) -> DataFrame:
     """T4: drain an alert stream; every window that fires comes out."""
     root = work_path(spark, "streams", alert, fresh=True)

@@ -36,6 +36,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+# Files of a stream are told apart by its checkpoint, never by their age: a file
+# that comes late or with an old time stamp is as new as any other.
+ANY_AGE = "36500d"
+
+
+def is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+def literal_path(path: str) -> str:
+    """A path that readers take as it is: characters of glob patterns are escaped."""
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
+
+
 def landing_schema(table: str) -> T.StructType:
     """The registry's text columns, and a place for lines that do not fit them."""
     return T.StructType([*RAW_SCHEMAS[table].fields, T.StructField(CORRUPT, T.StringType(), True)])
@@ -87,7 +102,7 @@ def read_new_landing(spark: SparkSession, landing: str, table: str, bronze_path:
     files = new_landing_files(spark, f"{landing.rstrip('/')}/{table}", bronze_path)
     if not files:
         return spark.createDataFrame([], landing_schema(table))
-    return read_landing_csv(spark, files, table)
+    return read_landing_csv(spark, [literal_path(f) for f in files], table)
 
 
 def ingest_stamps() -> list[Column]:

@@ -30,14 +30,11 @@ from tillroll.sources import files
 
 COUNTS = ["total", "malformed", "bad_quantity", "missing_customer", "duplicates", "clean"]
 KEY = "transaction_id"
-# Files are told apart by the checkpoint, not by their age: a file that comes
-# with an old time stamp is as new as any other.
-ANY_AGE = "36500d"
 
 
 def bronze_stream(spark: SparkSession, path: str, max_bytes_per_batch: str | None = None) -> DataFrame:
     """The files of a Bronze table as a stream, in batches of bounded size when asked for."""
-    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFileAge", ANY_AGE)
+    reader = spark.readStream.schema(spark.read.parquet(path).schema).option("maxFileAge", files.ANY_AGE)
     if max_bytes_per_batch:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_batch)
     return reader.parquet(path)
