@@ -32,9 +32,21 @@ def _ts(v) -> Column:
     return v if isinstance(v, Column) else F.lit(str(v)).cast("timestamp_ntz")
 
 
-def _since(col: str, as_of, days: int) -> Column:
-    """``as_of - days < col <= as_of``: the log service's ``ago(days)`` asked at ``as_of``."""
-    return (F.col(col) > _ts(as_of) - F.make_dt_interval(days=F.lit(days))) & (F.col(col) <= _ts(as_of))
+# Partition column of a log that is laid out by day (files.write_day_log).
+LOG_DAY = "log_day"
+
+
+def _since(log: DataFrame, col: str, as_of, days: int) -> Column:
+    """``as_of - days < col <= as_of``: the log service's ``ago(days)`` asked at ``as_of``.
+
+    On a log laid out by day the same window is also asked of the partition
+    column: a comparison with a time does not prune day folders by itself.
+    """
+    first = _ts(as_of) - F.make_dt_interval(days=F.lit(days))
+    recent = (F.col(col) > first) & (F.col(col) <= _ts(as_of))
+    if LOG_DAY in log.columns:
+        recent = recent & F.col(LOG_DAY).between(F.to_date(first), F.to_date(_ts(as_of)))
+    return recent
 
 
 def _day(col: str) -> Column:
@@ -53,7 +65,7 @@ def _mean(col: str) -> Column:
 
 def run_history(runs: DataFrame, as_of, days: int = 7, pipeline: str = PIPELINE) -> DataFrame:
     """L1: recent runs with their duration in ms, newest first."""
-    return (runs.filter(_since("TimeGenerated", as_of, days) & (F.col("PipelineName") == pipeline))
+    return (runs.filter(_since(runs, "TimeGenerated", as_of, days) & (F.col("PipelineName") == pipeline))
                 .select("TimeGenerated", "Status", "Start", "End",
                         F.expr("timestampdiff(MILLISECOND, Start, End)").alias("DurationMs"))
                 .orderBy(F.desc("TimeGenerated")))
@@ -62,7 +74,7 @@ def run_history(runs: DataFrame, as_of, days: int = 7, pipeline: str = PIPELINE)
 def failures_by_activity(activities: DataFrame, as_of, days: int = 30,
                          pipeline: str = PIPELINE) -> DataFrame:
     """L2: failed activity runs per activity, most failures first."""
-    return (activities.filter(_since("TimeGenerated", as_of, days)
+    return (activities.filter(_since(activities, "TimeGenerated", as_of, days)
                               & (F.col("PipelineName") == pipeline)
                               & (F.col("Status") == "Failed"))
                       .groupBy("ActivityName").agg(F.count(F.lit(1)).alias("FailureCount"))
@@ -71,7 +83,7 @@ def failures_by_activity(activities: DataFrame, as_of, days: int = 30,
 
 def duration_trend(jobs: DataFrame, as_of, days: int = 30, job: str = JOB) -> DataFrame:
     """L3: average and maximum job duration per day."""
-    return (jobs.filter(_since("TimeGenerated", as_of, days) & (F.col("JobName") == job))
+    return (jobs.filter(_since(jobs, "TimeGenerated", as_of, days) & (F.col("JobName") == job))
                 .groupBy(_day("TimeGenerated").alias("TimeGenerated"))
                 .agg(_mean("DurationMinutes").alias("AvgDurationMin"),
                      F.max("DurationMinutes").alias("MaxDurationMin"))
@@ -83,7 +95,7 @@ def volume_by_path_segment(blobs: DataFrame, as_of, days: int = 30, segment: int
 
     URIs with fewer segments group under ''.
     """
-    return (blobs.filter(_since("TimeGenerated", as_of, days))
+    return (blobs.filter(_since(blobs, "TimeGenerated", as_of, days))
                  .groupBy(path_segment("Uri", segment).alias("Uri"))
                  .agg(F.count(F.lit(1)).alias("TransactionCount"),
                       F.sum("ResponseBodySize").cast("bigint").alias("TotalBytes"))
@@ -93,7 +105,7 @@ def volume_by_path_segment(blobs: DataFrame, as_of, days: int = 30, segment: int
 def daily_usage(metrics: DataFrame, as_of, days: int = 30,
                 provider: str = "MICROSOFT.DATABRICKS", metric: str = "DBUUsage") -> DataFrame:
     """Daily total of one metric of one resource provider."""
-    return (metrics.filter(_since("TimeGenerated", as_of, days)
+    return (metrics.filter(_since(metrics, "TimeGenerated", as_of, days)
                            & (F.col("ResourceProvider") == provider)
                            & (F.col("MetricName") == metric))
                    .groupBy(_day("TimeGenerated").alias("TimeGenerated"))

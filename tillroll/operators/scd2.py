@@ -99,3 +99,40 @@ def new_or_changed(staged: DataFrame, dim: DataFrame, keys: list[str],
     cond = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"s.{k}") for k in keys])
     cond = cond & ~_changed("t", "s", tracked, null_safe)
     return s.join(cur, cond, "left_anti")
+
+
+def scd2_backfill(snapshots: DataFrame, keys: list[str], tracked: list[str], as_of: str = "as_of",
+                  null_safe: bool = False) -> DataFrame:
+    """C1-C3 over a history of snapshots: the dimension that merging them one by one would give.
+
+    ``snapshots`` has one row per key and ``as_of`` date. One shuffle brings a
+    key's snapshots together (as many as there are dates); a fold over them in
+    date order opens a version where the current one's tracked attributes
+    change. A comparison with the snapshot before would not do: with ``<>``
+    semantics a NULL changes nothing and the version's own values stay, and a
+    version keeps the untracked attributes it began with. Each version ends
+    where the next one starts.
+    """
+    biz = [c for c in snapshots.columns if c != as_of]
+    rest = [c for c in biz if c not in keys]
+    row = F.struct(F.col(as_of).cast("date").alias("effective_from"), *[F.col(c) for c in rest])
+    kind = snapshots.select(row.alias("r")).schema["r"].dataType.simpleString()
+
+    def changed(version: Column, new: Column) -> Column:
+        pairs = [(version[c], new[c]) for c in tracked]
+        return reduce(lambda a, b: a | b, [~t.eqNullSafe(s) if null_safe else F.coalesce(t != s, F.lit(False))
+                                           for t, s in pairs])
+
+    def fold(versions: Column, new: Column) -> Column:
+        opens = (F.size(versions) == 0) | changed(F.get(versions, F.size(versions) - 1), new)
+        return F.when(opens, F.concat(versions, F.array(new))).otherwise(versions)
+
+    # dates differ within a key, so the first field alone settles the order
+    history = F.array_sort(F.collect_list(row), lambda a, b: F.when(a["effective_from"] < b["effective_from"], -1)
+                           .when(a["effective_from"] > b["effective_from"], 1).otherwise(0))
+    folded = snapshots.groupBy(*keys).agg(history.alias("_history")).select(
+        *keys, F.aggregate("_history", F.array().cast(f"array<{kind}>"), fold).alias("_versions"))
+    return folded.select(*keys, "_versions", F.posexplode("_versions").alias("_at", "_v")).select(
+        *[F.col(c) if c in keys else F.col(f"_v.{c}").alias(c) for c in biz], F.col("_v.effective_from"),
+        F.get("_versions", F.col("_at") + 1)["effective_from"].alias("effective_to"),
+        (F.col("_at") == F.size("_versions") - 1).alias("is_current"))

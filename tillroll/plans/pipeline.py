@@ -230,14 +230,30 @@ def run_pipeline(spark: SparkSession, landing: str, lake: str, as_of: str, *,
     return summary
 
 
+def _dates(spark: SparkSession, lake: str) -> DataFrame:
+    bounds = gold.from_one_pass(files.read_table(spark, lake, "gold", "one_pass"), "date_range")
+    return semantic.dim_date_between(bounds.select(F.col("first_date").alias("lo"), F.col("last_date").alias("hi")))
+
+
 def gold_views(spark: SparkSession, lake: str, perspective: str | None = None) -> list[str]:
-    """Publish the Gold tables under their fact names."""
+    """Publish the Gold tables under their fact names, for this session."""
     facts = {fact: files.read_table(spark, lake, "gold", table)
              for fact, table in semantic.FACT_TABLES.items()}
-    bounds = gold.from_one_pass(files.read_table(spark, lake, "gold", "one_pass"), "date_range")
-    dates = semantic.dim_date_between(bounds.select(F.col("first_date").alias("lo"),
-                                                    F.col("last_date").alias("hi")))
-    return semantic.register_views(spark, facts, dates, perspective)
+    return semantic.register_views(spark, facts, _dates(spark, lake), perspective)
+
+
+def publish_catalog(spark: SparkSession, lake: str, database: str = "gold", catalog: str | None = None,
+                    perspective: str | None = None) -> list[str]:
+    """The facts and dim_date as catalog views that other sessions read by name.
+
+    Run after each ``run_gold``; every view then shows that run's version.
+    """
+    lake = lake.rstrip("/")
+    files.write_version(spark, _dates(spark, lake), lake, "gold", "dim_date")
+    tables = semantic.FACT_TABLES | {"dim_date": "dim_date"}
+    files.create_layers(spark, (database,), catalog)
+    names = [n for n in (semantic.PERSPECTIVES[perspective] if perspective else tables)]
+    return [files.publish_view(spark, lake, "gold", tables[n], n, database, catalog) for n in names]
 
 
 def read_gold(spark: SparkSession, lake: str, name: str) -> DataFrame:

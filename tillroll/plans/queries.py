@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tillroll import oracle as O
 from tillroll.operators import dq, gold, oplog, scd2, silver
 from tillroll.plans import model, retail, semantic
-from tillroll.plans.registry import register
+from tillroll.plans.registry import ORACLES, register
 from tillroll.session import work_path
 from tillroll.sources import binding, files
 from tillroll.streaming import file_ingest, realtime, silver_append
@@ -25,6 +25,7 @@ L = O.with_logs
 
 SUITE_AS_OF = "2004-01-01"
 SCD2_AS_OF = "2024-02-01"
+DAY1 = retail.DAY1
 LOG_AS_OF = "2024-01-31 00:00:00"
 STORAGE_AS_OF = "2001-09-01"
 LANDING_MINIMUMS = {"customers": 1, "products": 1, "stores": 1, "transactions": 1,
@@ -209,6 +210,28 @@ def q_scd2_current(spark, sf):
     return scd2.current_rows(q_scd2_merge(spark, sf))
 
 
+_BACKFILL_SQL = "WITH " + O.RETAIL + """,
+snapshots AS (
+  SELECT customer_id, region, loyalty_tier, signup_date, email_opt_in, DATE '2024-01-01' AS as_of FROM day1
+  UNION ALL SELECT *, DATE '2024-02-01' FROM day2
+  UNION ALL SELECT *, DATE '2024-03-01' FROM customers),
+starts AS (
+  SELECT *, row_number() OVER w = 1 OR lag(loyalty_tier) OVER w <> loyalty_tier AS opens
+  FROM snapshots WINDOW w AS (PARTITION BY customer_id ORDER BY as_of))
+SELECT customer_id, region, loyalty_tier, signup_date, email_opt_in, as_of AS effective_from,
+       lead(as_of) OVER w AS effective_to, lead(as_of) OVER w IS NULL AS is_current
+FROM starts WHERE opens WINDOW w AS (PARTITION BY customer_id ORDER BY as_of)"""
+
+
+@register("scd2_backfill", _BACKFILL_SQL)
+def q_scd2_backfill(spark, sf):
+    """Three snapshots to type 2 rows in one pass."""
+    days = [(binding.customers_day1, DAY1), (binding.customers_day2, SCD2_AS_OF), (binding.raw_customers, "2024-03-01")]
+    parts = [silver.conform(bind(spark, sf), "customers").withColumn("as_of", F.lit(day).cast("date"))
+             for bind, day in days]
+    return scd2.scd2_backfill(parts[0].unionByName(parts[1]).unionByName(parts[2]), ["customer_id"], ["loyalty_tier"])
+
+
 # ---------------------------------------------------------------------------
 # Gold aggregates and top-k
 # ---------------------------------------------------------------------------
@@ -554,6 +577,24 @@ def q_daily_usage(spark, sf):
     return oplog.daily_usage(binding.azure_metrics(spark, sf), LOG_AS_OF)
 
 
+def _register_day_log(key: str, log, ask) -> None:
+    """A log query over the same log laid out by day; its SQL twin is that of the plain query."""
+    @register(f"{key}_day_log", ORACLES[key])
+    def over_day_log(spark, sf):
+        rows = log(spark, sf)
+        path = work_path(spark, "day_logs", key, fresh=True)
+        files.write_day_log(rows, path)
+        return ask(files.read_day_log(spark, path, rows.schema), LOG_AS_OF)
+
+
+for _key, _log, _ask in [("run_history", binding.pipeline_runs, oplog.run_history),
+                         ("failures_by_activity", binding.activity_runs, oplog.failures_by_activity),
+                         ("duration_trend", binding.job_runs, oplog.duration_trend),
+                         ("volume_by_path_segment", binding.blob_logs, oplog.volume_by_path_segment),
+                         ("daily_usage", binding.azure_metrics, oplog.daily_usage)]:
+    _register_day_log(_key, _log, _ask)
+
+
 def _alert_sql(src: str, pred: str, minutes: int, alert: str, severity: int) -> str:
     return L(f"""SELECT time_bucket(INTERVAL {minutes} MINUTE, TimeGenerated) AS window_start,
        time_bucket(INTERVAL {minutes} MINUTE, TimeGenerated) + INTERVAL {minutes} MINUTE AS window_end,

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tillroll.operators.oplog import LOG_DAY
 from tillroll.schemas import CORRUPT, RAW_SCHEMAS
 
 
@@ -125,6 +126,41 @@ def write_append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def write_day_log(df: DataFrame, path: str, ts: str = "TimeGenerated") -> None:
+    """Append log rows to a table with one folder per day.
+
+    Rows are dealt by time, so a task writes few days and a busy day is dealt
+    over several tasks, and sorted by time inside a file, so that its row
+    groups can be skipped by time as well. Rows without a time go to the
+    default partition, which no time window reads.
+    """
+    day = F.to_date(F.col(ts))
+    (df.withColumn(LOG_DAY, day).repartitionByRange(LOG_DAY, ts).sortWithinPartitions(LOG_DAY, ts)
+     .write.mode("append").partitionBy(LOG_DAY).parquet(path))
+
+
+def read_day_log(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A log laid out by day; its window queries list and read the days asked for."""
+    return spark.read.schema(T.StructType([*schema.fields, T.StructField(LOG_DAY, T.DateType(), True)])).parquet(path)
+
+
+def publish_view(spark: SparkSession, lake: str, layer: str, table: str, name: str, database: str,
+                 catalog: str | None = None) -> str:
+    """A catalog view on a table's current version, pointed anew at each publication.
+
+    The view names the version's folder: replacing it is one catalog change,
+    and a reader that has resolved the old one reads on undisturbed. Any
+    session of the catalog sees it; nothing is copied.
+    """
+    version = current_version(spark, lake, layer, table)
+    if version is None:
+        raise FileNotFoundError(f"{layer}.{table} has no version under {lake}")
+    view = _qualified(catalog, database, name)
+    folder = f"{lake.rstrip('/')}/{layer}/{table}/v={version}".replace("`", "``")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} COMMENT 'version {version}' AS SELECT * FROM parquet.`{folder}`")
+    return view
+
+
 def export_csv(df: DataFrame, path: str) -> None:
     """Header CSV export of a Gold table (one file set per table)."""
     df.write.mode("overwrite").option("header", True).csv(path)
