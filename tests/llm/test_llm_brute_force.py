@@ -467,3 +467,23 @@ def test_sql_oracle(spark, name):
     want = con.sql(queries.ORACLES[name])
     got = queries.QUERIES[name](spark, SF).select(*want.columns)
     assert sorted(map(tuple, got.collect())) == sorted(want.fetchall())
+
+
+def test_plain_pieces_count_as_the_library_counts_them():
+    """Random pieces around the edge of what is plain; and a tokenizer with another rule takes the whole way."""
+    import json as js
+    from tokenizers import Tokenizer
+    definition = open(public_tokenizers.path("word_bpe_49k.json"), encoding="utf-8").read()
+    whole = Tokenizer.from_str(definition)
+    counter = token_counts.PieceCounter(definition)
+    assert counter.cut is not None
+    rng = random.Random(8)
+    marks = [chr(i) for i in range(33, 127)] + list("éßäöñÿ×÷ªºµÀÞ") + ["\u030c", "\u0308", "J", "\x7f", "\x85", "\xa0", "ﬁ",
+                                                                       "中", "😀", "'s", "'ll", "<|endoftext|>", "n't"]
+    pieces = ["".join(rng.choice(marks) for _ in range(rng.randint(1, 9))) for _ in range(30000)]
+    got = counter.counts([p.encode() for p in pieces])
+    assert got == [len(e) for e in whole.encode_batch(pieces, add_special_tokens=False)]
+    assert 0 < len(counter.parts) < len(counter.memo)
+    other = js.loads(definition)
+    other["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\\p{L}]+|[^\\s\\p{L}]+"
+    assert token_counts.PieceCounter(js.dumps(other)).cut is None

@@ -9,7 +9,8 @@ library version, so a changed file or library never reuses old counts.
 
 The encoder counts white-space separated pieces and keeps a bounded memo of
 piece counts per worker process: pieces are independent, since the tokenizer
-never joins symbols across white space.
+never joins symbols across white space. New pieces of a batch are settled
+together, each once; see ``PieceCounter``.
 
 Defined cases: NULL counts as the empty text (0 tokens); repeated rows and
 repeated texts share one encoding and give one result row each; a cache that
@@ -20,17 +21,20 @@ no rows; other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import json
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import SPACE_CHARS, SPACE_RUN, bit_filter, bounded_arrow_batches
+from tillroll.llm.common import SPACE_CHARS, SPACE_RUN, bit_filter, bounded_arrow_batches, stored
 from tillroll.session import work_path
 
 LIMIT = 2048
 MEMO_PIECES = 800_000
+BLOCK_PIECES = 100_000
 SPECIAL = b"<|"  # special strings are matched before lower-casing
 CACHE_SCHEMA = "content_digest binary, tokenizer_digest string, n_tokens bigint"
 
@@ -45,34 +49,103 @@ def content_digest(text: Column) -> Column:
     return F.unhex(F.sha2(normal, 256))
 
 
+# Fixed value: the rule by which the tokenizer cuts a piece before it encodes it, and
+# the same rule for plain pieces: printable ASCII without capitals and the small letters
+# of Latin-1, where letters are LETTERS and numbers 0-9.
+CUT_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+LETTERS = "a-zß-öø-ÿ"
+CUT_PLAIN = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\s{LETTERS}0-9]+"
+PLAIN = re.compile(rf"[!-@\[-~{LETTERS}]+")
+
+
+def cuts_as_known(definition: str) -> bool:
+    """Whether a tokenizer leaves plain pieces as they are (composed, in lower case) and cuts them by ``CUT_RULE``."""
+    d = json.loads(definition)
+    norm, pre = d.get("normalizer") or {}, d.get("pre_tokenizer") or {}
+    harmless = ({"type": "NFC"}, {"type": "Lowercase"},
+                {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "})
+    steps = pre.get("pretokenizers") or []
+    return (norm.get("type") == "Sequence" and all(x in harmless for x in norm["normalizers"])
+            and pre.get("type") == "Sequence" and [x["type"] for x in steps] == ["Split", "ByteLevel"]
+            and steps[0]["pattern"] == {"Regex": CUT_RULE} and steps[0]["behavior"] == "Removed" and steps[0]["invert"]
+            and not steps[1]["add_prefix_space"] and not steps[1]["use_regex"]
+            and all(SPECIAL.decode() in x["content"] for x in d.get("added_tokens") or []))
+
+
 class PieceCounter:
-    """Tokens of a text as the sum over its white-space separated pieces."""
+    """Tokens of texts as sums over their white-space separated pieces.
+
+    Counts of pieces are kept in a memo; a batch's new pieces are settled
+    together, each once. A plain piece is cut by the tokenizer's own rule and
+    its parts, kept in a memo too, are given as byte-level symbols to the
+    tokenizer's model: that is all the tokenizer does with such a piece.
+    Every other piece, or a tokenizer with another rule, takes the whole way.
+    """
 
     def __init__(self, definition: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.memo: dict[bytes, int] = {}
+        self.parts: dict[str, int] = {}
+        self.cut = re.compile(CUT_PLAIN).findall if cuts_as_known(definition) else None
+        self.model = self.tokenizer.model
+        self.symbols = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+
+    def _plain(self, piece: str) -> int:
+        n, parts = 0, self.parts
+        for part in self.cut(piece):
+            if part not in parts:
+                if len(parts) >= MEMO_PIECES:
+                    parts.clear()
+                symbols = part if part.isascii() else self.symbols(part)[0][0]
+                parts[part] = len(self.model.tokenize(symbols))
+            n += parts[part]
+        return n
+
+    def _settle(self, new: list[bytes]) -> None:
+        memo, rest = self.memo, []
+        for p in new:
+            text = p.decode()
+            if self.cut and PLAIN.fullmatch(text) and SPECIAL not in p:
+                memo[p] = self._plain(text)
+            else:
+                rest.append((p, text))
+        encoded = self.tokenizer.encode_batch_fast([text for _, text in rest], add_special_tokens=False)
+        memo.update((p, len(e)) for (p, _), e in zip(rest, encoded))
+
+    def counts(self, texts: list[bytes]) -> list[int]:
+        """Token counts of UTF-8 texts."""
+        out = []
+        block: list[list[bytes]] = []
+        held = 0
+        for raw in texts:
+            if SPECIAL in raw:
+                pieces = raw.split()  # bytes.split() cuts at ASCII white space only
+            elif raw.isascii():
+                pieces = raw.lower().split()  # as the tokenizer does what is not a special string
+            else:  # it composes before it lowers, and some capitals compose only when lowered first
+                pieces = [p.lower() if p.isascii() else p for p in raw.split()]
+            block.append(pieces)
+            held += len(pieces)
+            if held >= BLOCK_PIECES:
+                out += self._block(block)
+                block, held = [], 0
+        return out + self._block(block)
+
+    def _block(self, block: list[list[bytes]]) -> list[int]:
+        memo = self.memo
+        new = list(set().union(*block).difference(memo))
+        self._settle(new)
+        out = [sum(map(memo.__getitem__, pieces)) for pieces in block]
+        if len(memo) > MEMO_PIECES:  # a full memo keeps the early, frequent pieces
+            for p in new:
+                del memo[p]
+        return out
 
     def count(self, text: str) -> int:
-        raw = text.encode()
-        if SPECIAL in raw:
-            pieces = raw.split()  # bytes.split() cuts at ASCII white space only
-        elif raw.isascii():
-            pieces = raw.lower().split()  # as the tokenizer does what is not a special string
-        else:  # it composes before it lowers, and some capitals compose only when lowered first
-            pieces = [p.lower() if p.isascii() else p for p in raw.split()]
-        memo = self.memo
-        try:
-            return sum(map(memo.__getitem__, pieces))
-        except KeyError:
-            new = [p for p in set(pieces) if p not in memo]
-        encoded = self.tokenizer.encode_batch([p.decode() for p in new], add_special_tokens=False)
-        counts = dict(zip(new, map(len, encoded)))
-        if len(memo) + len(counts) <= MEMO_PIECES:  # a full memo keeps the early, frequent pieces
-            memo.update(counts)
-        return sum(counts[p] if p in counts else memo[p] for p in pieces)
+        return self.counts([text.encode()])[0]
 
 
 def _encode(shared) -> callable:
@@ -82,7 +155,7 @@ def _encode(shared) -> callable:
             own["counter"] = PieceCounter(own["definition"])
         counter = own["counter"]
         for batch in batches:
-            counts = [counter.count(t.as_py() or "") for t in batch.column("text")]
+            counts = counter.counts([t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()])
             yield pa.RecordBatch.from_arrays([batch.column("content_digest"), pa.array(counts, pa.int64())],
                                              names=["content_digest", "n_tokens"])
     return run
@@ -101,23 +174,34 @@ def stored_counts(spark: SparkSession, cache_path: str, version: str) -> DataFra
             .groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens")))
 
 
+def digests(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(content_digest, doc_id, n_bytes) of every row, written once: all later steps but the encoding read it."""
+    return stored(docs.select(content_digest(F.col(text_col)).alias("content_digest"), F.col(id_col).alias("doc_id"),
+                              F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("bigint").alias("n_bytes")),
+                  work_path(spark, "token-digests", fresh=True))
+
+
 def fill_cache(spark: SparkSession, docs: DataFrame, tokenizer_path: str, cache_path: str,
-               id_col: str = "doc_id", text_col: str = "text") -> str:
-    """Encode the distinct texts without a stored count; returns the version."""
+               id_col: str = "doc_id", text_col: str = "text", keyed: DataFrame | None = None) -> str:
+    """Encode the distinct texts without a stored count; returns the version.
+
+    ``keyed`` are the rows' digests, where they are known already.
+    """
     with open(tokenizer_path, encoding="utf-8") as f:  # a few MB, sent to the executors once
         definition = f.read()
     version = tokenizer_version(definition)
     bounded_arrow_batches(spark)
     texts = docs.select(content_digest(F.col(text_col)).alias("content_digest"), F.col(id_col).alias("doc_id"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    (_sure_misses(spark, texts, cache_path, version)
+    keyed = digests(spark, docs, id_col, text_col) if keyed is None else keyed
+    (_sure_misses(spark, texts, keyed.select("content_digest", "doc_id"), cache_path, version)
      .mapInArrow(_encode(spark.sparkContext.broadcast({"definition": definition})),
                  "content_digest binary, n_tokens bigint")
      .withColumn("tokenizer_digest", F.lit(version)).write.mode("append").parquet(cache_path))
     return version
 
 
-def _sure_misses(spark: SparkSession, texts: DataFrame, cache_path: str, version: str) -> DataFrame:
+def _sure_misses(spark: SparkSession, texts: DataFrame, ids: DataFrame, cache_path: str, version: str) -> DataFrame:
     """(content_digest, text): one text for every digest without a stored count.
 
     A digest's text is that of its smallest id. Digests and ids alone are
@@ -125,7 +209,6 @@ def _sure_misses(spark: SparkSession, texts: DataFrame, cache_path: str, version
     others, then settle nearly every document where it is read. Only a
     document that may be in both is joined, so hardly any text moves.
     """
-    ids = texts.select("content_digest", "doc_id")
     chosen = ids.groupBy("content_digest").agg(F.min("doc_id").alias("chosen_id"))
     if _cache_exists(spark, cache_path):
         chosen = chosen.join(stored_counts(spark, cache_path, version), "content_digest", "left_anti")
@@ -146,9 +229,7 @@ def _sure_misses(spark: SparkSession, texts: DataFrame, cache_path: str, version
 def count_tokens(spark: SparkSession, docs: DataFrame, tokenizer_path: str, cache_path: str,
                  id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit of every row."""
-    version = fill_cache(spark, docs, tokenizer_path, cache_path, id_col, text_col)
-    keyed = docs.select(F.col(id_col).alias("doc_id"),
-                        F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("bigint").alias("n_bytes"),
-                        content_digest(F.col(text_col)).alias("content_digest"))
+    keyed = digests(spark, docs, id_col, text_col)
+    version = fill_cache(spark, docs, tokenizer_path, cache_path, id_col, text_col, keyed)
     return keyed.join(stored_counts(spark, cache_path, version), "content_digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
