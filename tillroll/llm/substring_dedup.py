@@ -44,14 +44,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import bit_filter, bit_set, bounded_arrow_batches, in_bit_set, release_shuffles
+from tillroll.llm.common import bit_filter, bit_set, bounded_arrow_batches, in_bit_set, release_shuffles, stored
 from tillroll.session import work_path
 
 WINDOW = 13
 ANCHOR = 5
 SEED = 7  # 2 * SEED - 1 = WINDOW: every window of a passage holds a whole seed
 SHARD_BYTES = 4 << 20
-MEMO_WORDS = 300_000
+BLOCK_WORDS = 50_000
 RESULT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
 
@@ -59,23 +59,14 @@ def text_words(text: str | None) -> list[bytes]:
     return (text or "").encode().split()  # bytes.split() cuts at ASCII white space only
 
 
-class WordHashes:
-    """64-bit hashes of words, with a bounded memo."""
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hash of every word. A memo of words would cost more than it saves: a corpus has too many."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
-    def __init__(self):
-        self.memo: dict[bytes, int] = {}
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        memo = self.memo
-        try:
-            return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(memo) > MEMO_WORDS:
-                memo.clear()
-            for w in set(words):
-                if w not in memo:
-                    memo[w] = xxhash.xxh64_intdigest(w)
-        return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+def local_hashes(words: list[bytes]) -> np.ndarray:
+    """The same for use inside one task: the interpreter's own hash, which no other process can repeat."""
+    return np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
 
 
 def rolled(hashes: np.ndarray, width: int) -> np.ndarray:
@@ -90,41 +81,59 @@ def rolled(hashes: np.ndarray, width: int) -> np.ndarray:
 
 
 def anchors(hashes: np.ndarray) -> np.ndarray:
-    """Anchor of every window."""
-    least = rolled(hashes, ANCHOR)
-    n = len(hashes) - WINDOW + 1
-    out = least[:n].copy()
-    for j in range(1, WINDOW - ANCHOR + 1):
-        np.minimum(out, least[j:j + n], out=out)
-    return out
+    """Anchor of every window: the least of nine gram hashes, by doubling the span twice and once more."""
+    out, span = rolled(hashes, ANCHOR), 1
+    while 2 * span <= WINDOW - ANCHOR + 1:
+        out, span = np.minimum(out[:-span], out[span:]), 2 * span
+    rest = WINDOW - ANCHOR + 1 - span
+    return np.minimum(out[:len(out) - rest], out[rest:])
 
 
-def _keyed(found: list[np.ndarray], ids: list[int]) -> pa.RecordBatch:
-    keys = np.concatenate(found).view(np.int64)
-    docs = np.repeat(np.array(ids, np.int64), [len(f) for f in found])
-    return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(docs)], names=["key", "doc_id"])
+def _texts(batch: pa.RecordBatch) -> list[bytes]:
+    return [t or b"" for t in batch.column("text").cast(pa.binary()).to_pylist()]
 
 
 def _mine(pick) -> callable:
-    """Rows (key, doc_id): the distinct keys that ``pick`` takes from a text's word hashes."""
+    """Rows (key, doc_id): the keys that ``pick`` takes from the word hashes of many texts in a row.
+
+    ``pick`` gets the hashes of a block of texts end to end and returns a key
+    and a mark for every place that a window can start at; windows that reach
+    over a text's end are left out here. Repeats in a row are handed on once.
+    """
+    def block(words: list[bytes], ids: list[int], sizes: list[int]) -> pa.RecordBatch:
+        keys, good = pick(word_hashes(words))
+        ends = np.cumsum(sizes)
+        owner = np.repeat(np.arange(len(ids)), sizes)[:len(keys)]
+        good &= np.arange(len(keys)) + WINDOW <= ends[owner]
+        good[1:] &= ~(good[:-1] & (keys[1:] == keys[:-1]) & (owner[1:] == owner[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(keys[good].view(np.int64)),
+                                           pa.array(np.array(ids, np.int64)[owner[good]])], names=["key", "doc_id"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHashes()
         for batch in batches:
-            found, ids = [], []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
-                words = text_words(text.as_py())
-                if doc_id is not None and len(words) >= WINDOW:
-                    found.append(np.unique(pick(hasher.of(words))))
+            words, ids, sizes = [], [], []
+            for doc_id, text in zip(batch.column("doc_id").to_pylist(), _texts(batch)):
+                own = text.split()
+                if doc_id is not None and len(own) >= WINDOW:
+                    words += own
                     ids.append(doc_id)
-            if found:
-                yield _keyed(found, ids)
+                    sizes.append(len(own))
+                    if len(words) >= BLOCK_WORDS:
+                        yield block(words, ids, sizes)
+                        words, ids, sizes = [], [], []
+            if ids:
+                yield block(words, ids, sizes)
     return run
 
 
+def _all_anchors(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    keys = anchors(hashes)
+    return keys, np.ones(len(keys), bool)
+
+
 def _windows_with(bits) -> callable:
-    def pick(hashes: np.ndarray) -> np.ndarray:
-        keep = in_bit_set(bits.value, anchors(hashes).view(np.int64))
-        return rolled(hashes, WINDOW)[keep] if keep.any() else np.zeros(0, np.uint64)
+    def pick(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        return rolled(hashes, WINDOW), in_bit_set(bits.value, anchors(hashes).view(np.int64))
     return pick
 
 
@@ -135,8 +144,7 @@ def finished(doc_id, words: list[bytes], gone: np.ndarray | None) -> tuple:
 
 def _untouched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        rows = [finished(i, text_words(t.as_py()), None)
-                for i, t in zip(batch.column("doc_id").to_pylist(), batch.column("text"))]
+        rows = [finished(i, t.split(), None) for i, t in zip(batch.column("doc_id").to_pylist(), _texts(batch))]
         yield pa.RecordBatch.from_pandas(_frame(rows), preserve_index=False)
 
 
@@ -148,20 +156,20 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
 class PhraseAutomaton:
     """Aho-Corasick automaton over the passages that a shard's owners share with its documents.
 
-    ``wanted`` are the sorted window hashes of the shard's documents. Each is
+    ``wanted`` are the sorted window hashes (of this process) of the shard's documents. Each is
     kept once, for its smallest owner; runs of kept windows are the passages.
     """
 
     def __init__(self, owners: list[tuple[int, str]], wanted: np.ndarray):
         self.numbers: dict[bytes, int] = {}
         self.passages: list[tuple[int, list[int]]] = []
-        hasher, taken = WordHashes(), np.zeros(len(wanted), bool)
+        taken = np.zeros(len(wanted), bool)
         seeds: dict[tuple, list[tuple[int, int]]] = {}
         for owner, text in sorted(owners, key=lambda o: o[0]):
             words = text_words(text)
             if len(words) < WINDOW or not len(wanted):
                 continue
-            windows = rolled(hasher.of(words), WINDOW)
+            windows = rolled(local_hashes(words), WINDOW)
             at = np.minimum(np.searchsorted(wanted, windows), len(wanted) - 1)
             places = np.flatnonzero(wanted[at] == windows)
             which, first = np.unique(at[places], return_index=True)
@@ -210,11 +218,11 @@ class PhraseAutomaton:
 
 def _stream(docs: pd.DataFrame, owners: pd.DataFrame) -> pd.DataFrame:
     """One shard: compile its automaton and stream its documents."""
-    hasher, windows = WordHashes(), [np.zeros(0, np.uint64)]
+    windows = [np.zeros(0, np.uint64)]
     for text in docs["text"]:
         words = text_words(text)
         if len(words) >= WINDOW:
-            windows.append(np.unique(rolled(hasher.of(words), WINDOW)))
+            windows.append(rolled(local_hashes(words), WINDOW))
     automaton = PhraseAutomaton(list(zip(owners["owner"].tolist(), owners["owner_text"].tolist())),
                                 np.unique(np.concatenate(windows)))
     rows = []
@@ -250,13 +258,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id",
     pair = "key bigint, doc_id bigint"
 
     # anchors that occur in two documents
-    shared = base.mapInArrow(_mine(anchors), pair).groupBy("key") \
+    shared = base.mapInArrow(_mine(_all_anchors), pair).groupBy("key") \
         .agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
     bits = context.broadcast(bit_set(shared, "key"))
     release_shuffles(spark)
 
     # windows with such an anchor that occur in two documents, with their owner
-    windows = base.mapInArrow(_mine(_windows_with(bits)), pair)
+    # the windows are written: owners and links are both drawn from them
+    windows = stored(base.mapInArrow(_mine(_windows_with(bits)), pair), f"{path}/windows")
     windows.groupBy("key").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("high")) \
         .filter("owner < high").select("key", "owner").write.parquet(f"{path}/owners")
     release_shuffles(spark)
