@@ -28,7 +28,7 @@ WINDOW = 13
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # The n-gram set is broadcast only while the benchmark's text is below this;
-# a larger benchmark is joined by shuffle on the same keys.
+# a larger benchmark is joined by shuffle on the same keys, without the texts.
 BROADCAST_MAX_BYTES = 64 << 20
 
 
@@ -91,6 +91,47 @@ def _probes(words: Column, lengths: list[int]) -> Column:
     return F.concat(itself, *map(of_length, lengths))
 
 
+def _starts(p: Column, m: Column, n: Column) -> Column:
+    """The places at which an m-word window may start that covers the probe at p."""
+    stride = F.greatest(F.lit(1), F.floor(m / 2).cast("int"))
+    return F.sequence(F.greatest(F.lit(1), p - stride + 1), F.least(p, n - m + 1))
+
+
+def _places_by_broadcast(base: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """(doc_id, text_key, n, m, start, doc_win) where windows may start; start NULL: the row itself."""
+    looked = base.select("doc_id", "text_key", "words", "n", F.explode(_probes(F.col("words"), lengths)).alias("q")) \
+        .select("doc_id", "text_key", "words", "n", "q.p", "q.m", "q.gram")
+    found = looked.join(F.broadcast(grams.withColumn("known", F.lit(True))), "gram", "left") \
+        .filter(F.col("known") | (F.col("p") == 0))
+    starts = F.when(F.col("p") > 0, _starts(F.col("p"), F.col("m"), F.col("n")))
+    return found.select("doc_id", "text_key", "words", "n", "m", F.explode_outer(starts).alias("start")) \
+        .select("doc_id", "text_key", "n", "m", "start",
+                F.slice("words", F.coalesce("start", F.lit(1)), F.col("m")).alias("doc_win"))
+
+
+def _places_by_shuffle(base: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """As ``_places_by_broadcast`` for a set of grams of any size.
+
+    A probe row carries its document's key, not its words; the words meet the
+    probes that were found once a document, so the shuffle is linear in the text.
+    """
+    probes = base.select("doc_id", "text_key", F.explode(_probes(F.col("words"), lengths)).alias("q")) \
+        .select("doc_id", "text_key", "q.p", "q.m", "q.gram").filter("p > 0")
+    found = probes.join(grams, "gram", "left_semi").groupBy("doc_id", "text_key") \
+        .agg(F.collect_set(F.struct("p", "m")).alias("probes"))
+    f = found.select(F.col("doc_id").alias("f_id"), F.col("text_key").alias("f_key"), "probes")
+    place = "array<struct<m:int,start:int,doc_win:array<string>>>"
+    itself = F.array(F.struct(F.lit(0).alias("m"), F.lit(None).cast("int").alias("start"),
+                              F.array().cast("array<string>").alias("doc_win"))).cast(place)
+    at = F.flatten(F.transform("probes", lambda q: F.transform(
+        _starts(q["p"], q["m"], F.col("n")),
+        lambda s: F.struct(q["m"].alias("m"), s.alias("start"), F.slice("words", s, q["m"]).alias("doc_win")))))
+    return base.join(f, F.col("doc_id").eqNullSafe(F.col("f_id")) & (F.col("text_key") == F.col("f_key")), "left") \
+        .select("doc_id", "text_key", "n", F.explode(F.concat(
+            itself, F.coalesce(at.cast(place), F.array().cast(place)))).alias("at")) \
+        .select("doc_id", "text_key", "n", "at.*")
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                   text_col: str = "text", width: int = WINDOW, keyed: bool = False) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated, hit_spans.
@@ -101,31 +142,21 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     wins = windows(benchmark, width=width)
     lengths = sorted(r["m"] for r in wins.select("m").distinct().collect())  # at most ``width`` rows
     size = benchmark.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    hint = F.broadcast if size <= BROADCAST_MAX_BYTES else (lambda df: df)
+    small = size <= BROADCAST_MAX_BYTES
 
-    base = docs.select(F.col(id_col).alias("doc_id"),
-                       text_key(F.col(text_col)).alias("text_key"),
-                       item_words(F.col(text_col)).alias("words"))
-    looked = base.select("doc_id", "text_key", "words", F.size("words").alias("n"),
-                         F.explode(_probes(F.col("words"), lengths)).alias("q")) \
-        .select("doc_id", "text_key", "words", "n", "q.p", "q.m", "q.gram")
+    base = docs.select(F.col(id_col).alias("doc_id"), text_key(F.col(text_col)).alias("text_key"),
+                       item_words(F.col(text_col)).alias("words")).withColumn("n", F.size("words"))
     if lengths:
-        found = looked.join(hint(_grams(wins, lengths).withColumn("known", F.lit(True))), "gram", "left") \
-            .filter(F.col("known") | (F.col("p") == 0))
-        stride = F.greatest(F.lit(1), F.floor(F.col("m") / 2).cast("int"))
-        starts = F.when(F.col("p") > 0, F.sequence(F.greatest(F.lit(1), F.col("p") - stride + 1),
-                                                   F.least(F.col("p"), F.col("n") - F.col("m") + 1)))
-        places = found.select("doc_id", "text_key", "words", "n", "m",
-                              F.explode_outer(starts).alias("start")) \
-            .withColumn("doc_win", F.slice("words", F.coalesce("start", F.lit(1)), F.col("m"))) \
-            .select("doc_id", "text_key", "n", "m", "start", "doc_win",
-                    F.when(F.col("start").isNotNull(), F.xxhash64("m", "doc_win")).alias("win_hash"))
-        hits = places.join(hint(wins.select("item_id", "win", "win_hash")), "win_hash", "left") \
+        find = _places_by_broadcast if small else _places_by_shuffle
+        places = find(base, _grams(wins, lengths), lengths).withColumn(
+            "win_hash", F.when(F.col("start").isNotNull(), F.xxhash64("m", "doc_win")))
+        known = wins.select("item_id", "win", "win_hash")
+        hits = places.join(F.broadcast(known) if small else known, "win_hash", "left") \
             .withColumn("hit", F.col("doc_win") == F.col("win")) \
             .filter(F.col("start").isNull() | F.col("hit"))
     else:
-        hits = looked.select("doc_id", "text_key", "n", "m", F.lit(None).cast("int").alias("start"),
-                             F.lit(None).cast("string").alias("item_id"))
+        hits = base.select("doc_id", "text_key", "n", F.lit(0).alias("m"), F.lit(None).cast("int").alias("start"),
+                           F.lit(None).cast("string").alias("item_id"))
     whole = F.when(F.col("start").isNotNull(), F.struct("start", "m"))
     per_doc = hits.groupBy("doc_id", "text_key").agg(
         F.max("n").alias("n"), F.sum(F.when(F.col("start").isNull(), 1).otherwise(0)).alias("copies"),

@@ -6,12 +6,16 @@ no base span touches and that look like random draws from an encoding.
 
 * The encoding is inferred from the symbols: hex, lower-case letters, base32,
   alphanumeric, base64 or base64url.
-* Not rejected as random: chi-squared uniformity over the alphabet, runs above
-  and below the middle of the alphabet, lag-one serial correlation.
+* Three tests of randomness: chi-squared uniformity over the alphabet, runs
+  above and below the middle of the alphabet, lag-one serial correlation; their
+  p-values are combined into one (Cauchy combination).
 * Discovered against ordinary text: the p-value that text of this length would
-  have so even a symbol count. Expected unevenness grows with the length, so
-  long tokens need less doubt than short ones. P-values are weighted by token
-  length and go through Benjamini-Hochberg within the document.
+  have so even a symbol count, divided by the combined p-value of randomness.
+  Expected unevenness grows with the length, so long tokens need less doubt
+  than short ones. P-values are weighted by token length and go through
+  Benjamini-Hochberg within the document.
+
+Work is linear in the text apart from sorting its tokens and spans.
 
 Offsets are code points, end exclusive. Defined cases: NULL text counts as
 empty (no spans, digest of the empty string); repeated rows give equal rows;
@@ -34,7 +38,7 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 6, 20, 24
 TOKEN_LEAST = 20
 TOKEN = r"[A-Za-z0-9+/_-]{%d,}" % TOKEN_LEAST
 FALSE_DISCOVERY = 0.05
-REJECT_Z = 3.29  # two-sided 0.001 for the tests of randomness
+RANDOM_LEAST = 0.001  # least combined p-value of the three tests of randomness
 
 DIGITS, LOW, UP = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # (pattern of the encoding, its alphabet, index of coincidence of text in it)
@@ -52,21 +56,33 @@ SPAN = "array<struct<start:int,kind_no:int,end:int,kind:string>>"
 BLOCK = 256
 
 
-def prefix_sums(a: Column) -> Column:
-    """Sums of all earlier elements, in blocks so that no long fold appends."""
+def prefix_fold(a: Column, step) -> Column:
+    """``step`` over 0 and all earlier elements, in blocks so that no long fold appends.
+
+    ``step`` must be associative and keep x for (0, x), as sums and largest
+    values of non-negative numbers do.
+    """
     def running(values: Column, start: Column) -> Column:
-        return F.aggregate(values, F.struct(F.array().cast("array<int>").alias("out"), start.alias("sum")),
-                           lambda acc, x: F.struct(F.concat(acc["out"], F.array(acc["sum"])).alias("out"),
-                                                   (acc["sum"] + x).alias("sum")), lambda acc: acc["out"])
+        return F.aggregate(values, F.struct(F.array().cast("array<int>").alias("out"), start.alias("state")),
+                           lambda acc, x: F.struct(F.concat(acc["out"], F.array(acc["state"])).alias("out"),
+                                                   step(acc["state"], x).alias("state")), lambda acc: acc["out"])
 
     def in_blocks(blocks: Column) -> Column:
-        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), lambda s, x: s + x))
+        totals = F.transform(blocks, lambda b: F.aggregate(b, F.lit(0), step))
         return let(running(totals, F.lit(0)),
                    lambda starts: F.flatten(F.zip_with(blocks, starts, running)))
 
-    count = F.ceil(F.size(a) / F.lit(BLOCK)).cast("int")
-    blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.slice(a, b * BLOCK + 1, BLOCK))
-    return F.when(F.size(a) == 0, F.array().cast("array<int>")).otherwise(let(blocks, in_blocks))
+    def whole(v: Column) -> Column:
+        count = F.ceil(F.size(v) / F.lit(BLOCK)).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), count - 1), lambda b: F.slice(v, b * BLOCK + 1, BLOCK))
+        return F.when(F.size(v) == 0, F.array().cast("array<int>")).otherwise(let(blocks, in_blocks))
+
+    return let(a, whole)
+
+
+def prefix_sums(a: Column) -> Column:
+    """Sums of all earlier elements."""
+    return prefix_fold(a, lambda s, x: s + x)
 
 
 def matches(text: Column, pattern: str, group: int = 0) -> Column:
@@ -119,8 +135,18 @@ def _lower_tail(z: Column) -> Column:
     return F.when(z <= 0, half).otherwise(1 - half)
 
 
+def _two_sided(z: Column) -> Column:
+    """Two-sided p-value, kept off 0 and 1 for the Cauchy combination."""
+    return F.least(F.greatest(_lower_tail(-F.abs(z)) * 2, F.lit(1e-300)), F.lit(0.99))
+
+
 def battery(token: Column) -> Column:
-    """(p_text, looks_random) of one token of at least TOKEN_LEAST symbols."""
+    """(p_text, p_random) of one token of at least TOKEN_LEAST symbols.
+
+    ``p_text``: chance of so even a symbol count in ordinary text of this
+    length. ``p_random``: the chi-squared, runs and serial-correlation tests of
+    randomness as one p-value (Cauchy combination).
+    """
     alphabet = ic = None
     for pattern, letters, coincidence in reversed(ENCODINGS):
         hit = F.rlike(token, F.lit(pattern)) if pattern else F.lit(True)
@@ -130,52 +156,82 @@ def battery(token: Column) -> Column:
     symbols = F.filter(F.split(token, ""), lambda c: c != "")
 
     def judged(e: Column) -> Column:
-        letters, chars = e["letters"], e["chars"]
-        n, a = F.length(token).cast("double"), F.length(letters).cast("double")
-        squares = F.aggregate(F.array_distinct(chars), F.lit(0.0), lambda s, c: s + F.pow(
-            (F.length(token) - F.length(F.replace(token, c, F.lit("")))).cast("double"), F.lit(2.0)))
-        chi = squares * a / n - n
-        # Wilson-Hilferty: the cube root of chi-squared over its degrees is near normal
-        k = a - 1
-        z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / k, F.lit(1 / 3)) - (1 - F.lit(2.0) / (k * 9))) / F.sqrt(F.lit(2.0) / (k * 9))
-        shift = n * (a * e["ic"] - 1)
-        p_text = _lower_tail((chi - k - shift) / F.sqrt((k + shift * 2) * 2))
-        values = F.transform(chars, lambda c: F.call_function("instr", letters, c).cast("double"))
-
-        def sequence_tests(v: Column) -> Column:
-            middle = (a + 1) / 2
-            high = F.aggregate(v, F.lit(0.0), lambda s, x: s + F.when(x > middle, 1.0).otherwise(0.0))
-            low = n - high
-            pairs = F.zip_with(v, F.slice(v, 2, F.size(v)), lambda x, y: F.struct(
-                F.when((x > middle) != (y > middle), 1.0).otherwise(0.0).alias("turn"),
-                ((x - middle) * (y - middle)).alias("product")))
-            sums = F.aggregate(F.slice(pairs, 1, F.size(v) - 1),
-                               F.struct(F.lit(1.0).alias("runs"), F.lit(0.0).alias("product")),
-                               lambda s, x: F.struct((s["runs"] + x["turn"]).alias("runs"),
-                                                     (s["product"] + x["product"]).alias("product")))
-            expected = high * low * 2 / n + 1
+        letters, n, a = e["letters"], e["n"], e["a"]
+        middle = (a + 1) / 2
+        squares = F.aggregate(F.array_distinct(e["chars"]), F.lit(0.0), lambda s, c: s + F.pow(
+            n - F.length(F.replace(token, c, F.lit(""))), F.lit(2.0)))
+        values = F.transform(e["chars"], lambda c: F.call_function("instr", letters, c).cast("double"))
+        # one fold: symbols above the middle, runs, lag-one products; ``last`` is 0 before the first symbol
+        zero = F.struct(*[F.lit(0.0).alias(c) for c in ("last", "high", "runs", "product")])
+        sums = F.aggregate(values, zero, lambda s, x: F.struct(
+            x.alias("last"), (s["high"] + (x > middle).cast("double")).alias("high"),
+            (s["runs"] + ((s["last"] == 0) | ((x > middle) != (s["last"] > middle))).cast("double")).alias("runs"),
+            (s["product"] + F.when(s["last"] == 0, 0.0).otherwise((s["last"] - middle) * (x - middle))).alias("product")))
+        measured = F.struct((squares * a / n - n).alias("chi"), sums.alias("s"))
+
+        def p_values(t: Column) -> Column:
+            chi, high, k = t["chi"], t["s"]["high"], a - 1
+            # Wilson-Hilferty: the cube root of chi-squared over its degrees is near normal
+            z_chi = (F.pow(F.greatest(chi, F.lit(0.0)) / k, F.lit(1 / 3)) - (1 - F.lit(2.0) / (k * 9))) / F.sqrt(F.lit(2.0) / (k * 9))
+            shift = n * (a * e["ic"] - 1)
+            p_text = _lower_tail((chi - k - shift) / F.sqrt((k + shift * 2) * 2))
+            expected = high * (n - high) * 2 / n + 1
             spread = (expected - 1) * (expected - 2) / (n - 1)
-            variance = (a * a - 1) / 12
-            def z_scores(s: Column) -> Column:
-                z_runs = F.abs(s["runs"] - expected) / F.sqrt(F.greatest(spread, F.lit(1e-9)))
-                z_serial = F.abs(s["product"]) / (variance * F.sqrt(n - 1))
-                return (z_runs < REJECT_Z) & (z_serial < REJECT_Z) & (high > 0) & (low > 0)
-            return let(sums, z_scores)
+            z_runs = (t["s"]["runs"] - expected) / F.sqrt(F.greatest(spread, F.lit(1e-9)))
+            # all symbols on one side of the middle: as far from random as runs can tell
+            p_runs = F.when((high == 0) | (high == n), F.lit(1e-300)).otherwise(_two_sided(z_runs))
+            p_serial = _two_sided(t["s"]["product"] / ((a * a - 1) / 12 * F.sqrt(n - 1)))
+            tests = [_two_sided(z_chi), p_runs, p_serial]
+            mean = sum((F.lit(1.0) / F.tan(p * F.pi()) for p in tests), F.lit(0.0)) / len(tests)
+            return F.struct(p_text.alias("p_text"), (F.atan2(F.lit(1.0), mean) / F.pi()).alias("p_random"))
+
+        return let(measured, p_values)
+
+    return let(F.struct(alphabet.alias("letters"), ic.alias("ic"), symbols.alias("chars"),
+                        F.length(token).cast("double").alias("n"),
+                        F.length(alphabet).cast("double").alias("a")), judged)
+
+
+def _untouched(tokens: Column, base: Column) -> Column:
+    """(start, end, value) of the tokens that share no code point with a base span.
 
-        return F.struct(p_text.alias("p_text"),
-                        ((z_chi < REJECT_Z) & let(values, sequence_tests)).alias("looks_random"))
+    Spans and tokens are sorted together, a token by its end: a span before it
+    begins before the token ends, so the largest end of those tells whether one
+    reaches into the token. Sorting and one running maximum, however many spans.
+    """
+    event = "array<struct<at:int,is_base:int,start:int,end:int,value:string>>"
+    ends = F.transform(tokens, lambda h: let(h["start"] + F.length(h["value"]), lambda end: F.struct(
+        end.alias("at"), F.lit(0).alias("is_base"), h["start"].alias("start"), end.alias("end"),
+        h["value"].alias("value")))).cast(event)
+    starts = F.transform(base, lambda b: F.struct(
+        b["start"].alias("at"), F.lit(1).alias("is_base"), b["start"].alias("start"), b["end"].alias("end"),
+        F.lit(None).cast("string").alias("value"))).cast(event)
+
+    def free(events: Column) -> Column:
+        reach = prefix_fold(F.transform(events, lambda e: F.when(e["is_base"] == 1, e["end"]).otherwise(0)),
+                            lambda s, x: F.greatest(s, x))
+        return let(reach, lambda r: F.filter(
+            events, lambda e, i: (e["is_base"] == 0) & (F.get(r, i) <= e["start"])))
 
-    return let(F.struct(alphabet.alias("letters"), ic.alias("ic"), symbols.alias("chars")), judged)
+    return let(F.array_sort(F.concat(ends, starts)), free)
 
 
 def random_spans(text: Column, base: Column) -> Column:
-    """Spans of kind ``random`` that survive the battery and false-discovery control."""
+    """Spans of kind ``random`` that survive the battery and false-discovery control.
+
+    A token's p-value is p_text / p_random: never below p_text, so it keeps its
+    rate of false discoveries among ordinary text, and a token that any of the
+    three tests finds unlike random needs as much more evidence. Tokens with
+    p_random below RANDOM_LEAST are no secrets whatever p_text is.
+    """
     def control(tests: Column) -> Column:
+        def with_mean(mean: Column) -> Column:
+            return F.array_sort(F.transform(tests, lambda t: F.struct(
+                (t["p"] * mean / (t["end"] - t["start"])).alias("p"), t["start"].alias("start"),
+                t["end"].alias("end"), t["looks_random"].alias("looks_random"))))
+
         m = F.size(tests).cast("double")
-        mean = F.aggregate(tests, F.lit(0.0), lambda s, t: s + (t["end"] - t["start"])) / m
-        weighted = F.array_sort(F.transform(tests, lambda t: F.struct(
-            (t["p_text"] * mean / (t["end"] - t["start"])).alias("p"), t["start"].alias("start"),
-            t["end"].alias("end"), t["looks_random"].alias("looks_random"))))
+        weighted = let(F.aggregate(tests, F.lit(0.0), lambda s, t: s + (t["end"] - t["start"])) / m, with_mean)
 
         def cut(w: Column) -> Column:
             last = F.array_max(F.transform(w, lambda t, i: F.when(
@@ -185,11 +241,9 @@ def random_spans(text: Column, base: Column) -> Column:
                                                   t["end"].alias("end"), F.lit("random").alias("kind"))).cast(SPAN)
         return F.when(m == 0, F.array().cast(SPAN)).otherwise(let(weighted, cut))
 
-    tokens = F.filter(matches(text, TOKEN), lambda h: ~F.exists(base, lambda b: (
-        b["start"] < h["start"] + F.length(h["value"])) & (h["start"] < b["end"])))
-    tests = F.transform(tokens, lambda h: let(battery(h["value"]), lambda r: F.struct(
-        h["start"].alias("start"), (h["start"] + F.length(h["value"])).alias("end"),
-        r["p_text"].alias("p_text"), r["looks_random"].alias("looks_random"))))
+    tests = F.transform(_untouched(matches(text, TOKEN), base), lambda h: let(battery(h["value"]), lambda r: F.struct(
+        h["start"].alias("start"), h["end"].alias("end"), (r["p_text"] / r["p_random"]).alias("p"),
+        (r["p_random"] >= RANDOM_LEAST).alias("looks_random"))))
     return let(tests, control)
 
 
