@@ -37,7 +37,7 @@ def plain_battery(token):
     spread = max((expected - 1) * (expected - 2) / (n - 1), 1e-9)
     serial = sum((x - middle) * (y - middle) for x, y in zip(v, v[1:])) / ((a * a - 1) / 12 * math.sqrt(n - 1))
     keep = lambda p: min(max(p, 1e-300), 0.99)
-    tests = [keep(2 * tail(z_chi)), 1e-300 if high in (0, n) else keep(2 * tail((runs - expected) / math.sqrt(spread))),
+    tests = [keep(tail(z_chi) if z_chi >= 0 else 1 - tail(z_chi)), 1e-300 if high in (0, n) else keep(2 * tail((runs - expected) / math.sqrt(spread))),
              keep(2 * tail(serial))]
     mean = sum(1 / math.tan(math.pi * p) for p in tests) / 3
     return p_text, math.atan2(1, mean) / math.pi
@@ -75,15 +75,15 @@ def test_battery_against_plain_version(spark):
 
 
 def test_each_test_of_randomness_counts():
-    """The symbols of a random token in another order, or made more even, are refused."""
+    """The symbols of a random token in another order, or made less even, are refused."""
     letters = secret_scan.DIGITS + "abcdef"
     drawn = random.Random(3).choices(letters, k=64)
     half = sorted(drawn)
     swing = [x for pair in zip(half[:32], half[32:]) for x in pair]
-    even = random.Random(3).sample(letters * 4, 64)
+    uneven = random.Random(4).choices(letters, [9, 9, 9] + [1] * 13, k=64)
     least = secret_scan.RANDOM_LEAST
     assert plain_battery("".join(drawn))[1] > 0.05
-    assert all(plain_battery("".join(t))[1] < least for t in (half, swing, even))
+    assert all(plain_battery("".join(t))[1] < least for t in (half, swing, uneven))
 
 
 def test_random_spans_against_plain_version(spark):

@@ -135,9 +135,13 @@ def _lower_tail(z: Column) -> Column:
     return F.when(z <= 0, half).otherwise(1 - half)
 
 
+def _kept_off_bounds(p: Column) -> Column:
+    """A p-value that the Cauchy combination can take."""
+    return F.least(F.greatest(p, F.lit(1e-300)), F.lit(0.99))
+
+
 def _two_sided(z: Column) -> Column:
-    """Two-sided p-value, kept off 0 and 1 for the Cauchy combination."""
-    return F.least(F.greatest(_lower_tail(-F.abs(z)) * 2, F.lit(1e-300)), F.lit(0.99))
+    return _kept_off_bounds(_lower_tail(-F.abs(z)) * 2)
 
 
 def battery(token: Column) -> Column:
@@ -181,7 +185,8 @@ def battery(token: Column) -> Column:
             # all symbols on one side of the middle: as far from random as runs can tell
             p_runs = F.when((high == 0) | (high == n), F.lit(1e-300)).otherwise(_two_sided(z_runs))
             p_serial = _two_sided(t["s"]["product"] / ((a * a - 1) / 12 * F.sqrt(n - 1)))
-            tests = [_two_sided(z_chi), p_runs, p_serial]
+            # upper tail: a short key without a repeated symbol is more even than chance, and a secret
+            tests = [_kept_off_bounds(_lower_tail(-z_chi)), p_runs, p_serial]
             mean = sum((F.lit(1.0) / F.tan(p * F.pi()) for p in tests), F.lit(0.0)) / len(tests)
             return F.struct(p_text.alias("p_text"), (F.atan2(F.lit(1.0), mean) / F.pi()).alias("p_random"))
 
