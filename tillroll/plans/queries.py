@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll import oracle as O
-from tillroll.operators import dq, gold, oplog, scd2, silver
+from tillroll.operators import dq, gold, oplog, scd2, silver, uniqueness
 from tillroll.plans import model, retail, semantic
 from tillroll.plans.registry import ORACLES, register
 from tillroll.session import work_path
@@ -338,6 +338,27 @@ def q_dq_uniqueness(spark, sf):
                                       "transaction_id", 0.999))
 
 
+_UNIQUE_LEVELS = [0.5, 0.95, 0.999]
+
+
+@register("dq_uniqueness_by_version", W("\nUNION ALL\n".join(
+    f"""SELECT 'uniqueness' AS check_name, '{name}' AS "table", CAST({level} AS DOUBLE) AS threshold,
+       CASE WHEN count(DISTINCT {key}) >= {level} * count(*) THEN 'PASS' ELSE 'FAIL' END AS status
+FROM {source}""" for name, key, source in (("bronze_transactions", "transaction_id", "raw_txn"),
+                                           ("transactions", "transaction_id", "txn")) for level in _UNIQUE_LEVELS)))
+def q_dq_uniqueness_by_version(spark, sf):
+    """Q2/A9 from sketches stored a year of sales each: the raw feed repeats ids, the cleansed one does not."""
+    year = F.coalesce(F.substring(F.col("transaction_date").cast("string"), 1, 4), F.lit("none")).alias("v")
+    results = []
+    for name, df in (("bronze_transactions", binding.raw_transactions(spark, sf)),
+                     ("transactions", retail.silver_tables(spark, sf).transactions)):
+        path = work_path(spark, "key_sketches", name, fresh=True)
+        uniqueness.key_sketches(df, "transaction_id", [year]).write.partitionBy("v").parquet(path)
+        stored = uniqueness.read_sketches(spark, path)
+        results += [uniqueness.check_uniqueness(stored, df, name, "transaction_id", level) for level in _UNIQUE_LEVELS]
+    return dq.run_suite(results)[0].select("check_name", "table", "threshold", "status")
+
+
 @register("dq_referential_integrity", W(O.ratio_check(
     "referential_integrity", "loyalty_events_unfiltered", "count_if(k.customer_id IS NOT NULL)",
     "count(*)", 0.99, " rows have a valid customer_id reference",

@@ -247,6 +247,45 @@ def read_all_versions(spark: SparkSession, lake: str, layer: str, table: str) ->
     return rows.withColumn("v", F.col("v").cast("bigint")).join(done, "v", "left_semi")
 
 
+def _decoded(uri: Column) -> Column:
+    return F.url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def lake_inventory(spark: SparkSession, lake: str, added_up: tuple[str, ...] = ()) -> DataFrame:
+    """(path, size_gb, modified, is_version) of the lake's own files, for ``oplog.storage_tiers``.
+
+    Names, sizes and times come from the listing; no content is read. ``path``
+    is relative to the lake. A file is an old version if its table has a newer
+    published one; of the tables in ``added_up`` ("layer.table"), whose
+    versions add up, every published version is current. A staged version that
+    is newer than the published one is current, too. Files and folders whose
+    names start with _ or . (pointers, markers) are not listed.
+    """
+    root = lake.rstrip("/")
+    below = root.split("://", 1)[-1].split("/", 1)[-1] + "/"
+    uri = _decoded(F.col("_metadata.file_path"))
+    rest = F.substr(uri, F.locate(below, uri) + F.lit(len(below)))
+    found = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .select(rest.alias("path"), (F.col("_metadata.file_size") / F.lit(float(1 << 30))).alias("size_gb"),
+                     F.col("_metadata.file_modification_time").alias("modified")))
+    part = lambda c, i: F.nullif(F.regexp_extract(c, r"^([^/]+)/([^/]+)/v=(\d+)/", i), F.lit(""))
+    found = found.select("*", part("path", 1).alias("layer"), part("path", 2).alias("name"),
+                         part("path", 3).cast("bigint").alias("v"))
+    pointers = f"{root}/_current"
+    if not path_exists(spark, pointers):
+        return found.select("path", "size_gb", "modified", F.lit(False).alias("is_version"))
+    place = lambda i: F.regexp_extract(_decoded(F.col("_metadata.file_path")),
+                                       r"/_current/([^/]+)/([^/]+)/[^/]+$", i)
+    log = spark.read.schema("version string").option("recursiveFileLookup", "true").json(pointers) \
+        .select(place(1).alias("layer"), place(2).alias("name"), F.col("version").cast("bigint").alias("done"))
+    newest = log.groupBy("layer", "name").agg(F.max("done").alias("newest"))
+    live = log.filter(F.concat_ws(".", "layer", "name").isin(*added_up)).select(
+        "layer", "name", F.col("done").alias("v"), F.lit(True).alias("adds")).distinct()
+    return found.join(newest, ["layer", "name"], "left").join(live, ["layer", "name", "v"], "left").select(
+        "path", "size_gb", "modified",
+        (F.coalesce(F.col("v") < F.col("newest"), F.lit(False)) & F.col("adds").isNull()).alias("is_version"))
+
+
 # Some 16 million ids a bucket: a task streams them past a hash table of the
 # new ids, so a bucket's size costs time, not memory.
 BUCKET_ROWS = 1 << 24
