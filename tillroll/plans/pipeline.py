@@ -158,7 +158,7 @@ def run_silver(spark: SparkSession, lake: str, as_of: str, *, realtime_bronze: s
     loyalty = silver.silver_loyalty(silver.drop_stamps(bronze["loyalty_events"]),
                                     silver.drop_stamps(rt) if rt is not None else None,
                                     current.select("customer_id"), current.count())
-    v["loyalty_events"] = files.write_version(spark, loyalty, lake, "silver", "loyalty_events")
+    v["loyalty_events"] = files.write_version(spark, loyalty, lake, "silver", "loyalty_events", ["event_date", "event_id"])
     if keep_versions:
         for t in ("products", "stores", "loyalty_events"):
             files.expire_versions(spark, lake, "silver", t, keep_versions)
@@ -183,6 +183,12 @@ def run_quality_gate(spark: SparkSession, lake: str, as_of: str, *, suite_as_of:
     return dq.enforce(stored)
 
 
+def _gold_order() -> dict:
+    """How Gold tables are laid out: reports filter sales by month and read stores by place."""
+    return {"sales_by_region_category_month": ["month", "region", "category"],
+            "store_performance": [F.desc("revenue"), F.asc("store_id")]}
+
+
 def run_gold(spark: SparkSession, lake: str, *, export_csv: bool = False) -> dict:
     """Task 4: Silver -> Gold.
 
@@ -201,7 +207,7 @@ def run_gold(spark: SparkSession, lake: str, *, export_csv: bool = False) -> dic
     outputs["loyalty_points_liability"] = gold.points_liability(_silver_read(spark, lake, "loyalty_events"))
     versions = {}
     for name, df in outputs.items():
-        versions[name] = files.write_version(spark, df, lake, "gold", name)
+        versions[name] = files.write_version(spark, df, lake, "gold", name, _gold_order().get(name))
         if export_csv:
             files.export_csv(files.read_table(spark, lake, "gold", name), f"{lake}/export/{name}")
     return versions
