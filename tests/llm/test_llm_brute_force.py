@@ -1,18 +1,32 @@
 """Operators against brute-force versions of their contracts on the small tables."""
 
 import hashlib
+import math
 import random
 import re
 import struct
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tillroll.llm import decontaminate, fingerprints, mixing, queries, secret_scan, sharding, simhash, token_counts
+from tillroll.llm import (
+    decontaminate,
+    fingerprints,
+    language_id,
+    mixing,
+    quality,
+    queries,
+    samples,
+    secret_scan,
+    sharding,
+    simhash,
+    token_counts,
+)
 from tillroll.session import work_path
 
 SF = "/root/testdata/sf0.001"
@@ -487,3 +501,68 @@ def test_plain_pieces_count_as_the_library_counts_them():
     other = js.loads(definition)
     other["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\\p{L}]+|[^\\s\\p{L}]+"
     assert token_counts.PieceCounter(js.dumps(other)).cut is None
+
+
+def test_quality_pools_as_its_formulas_say_and_scores_by_a_plain_forward_pass(spark, monkeypatch):
+    texts = ["the cat sat on the mat\nthe cat ran", "zz zz zz zz zz", "A 12 !! b", "", "solo"]
+    pooler = quality.Pooler.fit(texts * 10)
+    marks = quality.TOKENS.findall(texts[0])
+    rows = [pooler.padded[i] for i in pooler.ids(marks)]
+    plain = [sum(r[d] for r in rows) / len(rows) for d in range(quality.DIMENSIONS)]
+    for lag in (0, *quality.LAGS):
+        plain += [sum(rows[i][d] * rows[i - lag][d] for i in range(lag, len(rows))) / len(rows)
+                  for d in range(quality.DIMENSIONS)]
+    assert pooler.features(texts[0]) == pytest.approx(plain)
+    whole = [pooler.features(t) for t in texts]
+    monkeypatch.setattr(quality, "POOL_TOKENS", 3)  # a chunk border loses no product
+    for t, f in zip(texts, whole):
+        assert pooler.features(t) == pytest.approx(f)
+    net = quality.fit_network(np.array(whole), np.array([1.0, 0, 1, 0, 1]))
+    model = {"types": pooler.types, "vectors": pooler.vectors, "net": net, "shift": 0.25}
+    for t, score in zip(texts, quality.score_texts(model, pooler, texts)):
+        x = [(v - m) / s for v, m, s in zip(pooler.features(t), net["mean"], net["std"])]
+        hidden = [math.tanh(sum(a * w for a, w in zip(x, column)) + b) for column, b in zip(net["w1"].T, net["b1"])]
+        logit = sum(h * w for h, w in zip(hidden, net["w2"])) + net["b2"][0]
+        assert score == pytest.approx(1 / (1 + math.exp(-(logit / net["temperature"] + 0.25))))
+
+
+def test_quality_temperature_is_inside_its_grid_and_scores_do_not_tie(spark):
+    labels = spark.read.parquet(f"{MID}/labels.parquet")
+    docs = spark.read.parquet(f"{MID}/documents.parquet")
+    model = quality.fit(spark, docs, labels)
+    assert 0.03 < model["net"]["temperature"] < 40
+    scores = [r.score for r in quality.score(spark, docs, model).collect()]
+    assert len(set(scores)) > 0.9 * len({r.text or "" for r in docs.select("text").collect()})
+
+
+def test_quality_labels_that_teach_nothing(spark):
+    docs = spark.createDataFrame([("a", None), ("b", ""), ("c", "some words")], "doc_id string, text string")
+    for marked, share in (([], 0.5), ([("a", 1), ("c", 1)], 1.0), ([("c", 0)], 0.0)):
+        labels = spark.createDataFrame(marked, "doc_id string, quality int")
+        rows = quality.score(spark, docs, quality.fit(spark, docs, labels)).collect()
+        assert [r.score for r in rows] == [share] * 3
+
+
+def test_samples_take_long_texts_by_a_slice(spark):
+    long = "".join(chr(97 + i % 26) for i in range(1000)) + "é"
+    rows = spark.createDataFrame([(i, long) for i in range(40)] + [(90, "short"), (91, None), (None, long)],
+                                 "doc_id bigint, text string")
+    cut = rows.select("doc_id", samples.sample_text(F.col("text"), F.col("doc_id"), 400).alias("cut")).collect()
+    slices = [r.cut for r in cut if r.doc_id is None or r.doc_id < 40]
+    assert all(len(s) == 100 and s in long for s in slices) and len(set(slices)) > 10
+    assert [r.cut for r in cut if r.doc_id in (90, 91)] == ["short", ""]
+    german = " ".join(["der hund lag auf dem sofa"] * 4000)
+    assert len(german) > samples.SAMPLE_TEXT_BYTES
+    docs = spark.createDataFrame([(i, "the cat sat on the mat", "en") for i in range(9)]
+                                 + [(20 + i, german, "de") for i in range(9)], "doc_id bigint, text string, lang string")
+    model = language_id.fit(spark, docs)
+    assert model["langs"] == ["de", "en"]
+    assert {r.lang_pred for r in language_id.identify(spark, docs, model).filter("doc_id >= 20").collect()} == {"de"}
+
+
+def test_held_out_is_a_boolean_without_an_id(spark, tmp_path):
+    spark.createDataFrame([(1, "one text", "en"), (None, "no id here", "en")], "doc_id bigint, text string, lang string") \
+        .write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, 1)], "doc_id bigint, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    for name in ("op1_language_id", "op3_quality"):
+        assert all(r.held_out in (True, False) for r in queries.QUERIES[name](spark, str(tmp_path)).collect())

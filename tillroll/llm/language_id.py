@@ -79,12 +79,11 @@ def fit(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col:
     table of its words and n-grams is too.
     """
     bounded_arrow_batches(spark)
-    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()
-                       & (F.octet_length(text_col) <= samples.SAMPLE_TEXT_BYTES))
+    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     if train is not None:
         rows = rows.filter(train)
     sample = samples.per_class(rows, lang_col, id_col)
-    counted = (sample.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    counted = (sample.select(F.col(lang_col).alias("lang"), samples.sample_text(F.col(text_col), F.col(id_col)).alias("text"))
                .mapInArrow(_count, "lang string, n int, gram string, k bigint")
                .groupBy("n", "gram").agg(F.sum("k").alias("total"),
                                          F.collect_list(F.struct("lang", "k")).alias("by_lang"))

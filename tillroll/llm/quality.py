@@ -5,23 +5,25 @@ in the sample is its own type; others fall into a type by shape (lower,
 UPPER, Title, mixed, number, punctuation). Every type has a fixed sparse
 random index vector drawn from its name; its word vector is the sum of the
 index vectors of its neighbours within two places, over the sample, with
-logarithmic damping. A document pools its tokens' word vectors (mean), the
-variety of its types, the share of tokens that repeat the one before, and its
-length; a two-layer numpy network scores it, and a temperature fitted on a validation part makes
+logarithmic damping. A document pools its tokens' word vectors and nothing
+else: their mean, their second moment, and the mean products of vectors one and
+two tokens apart, which see order and repetition. A two-layer numpy network
+scores the pooled vectors, and a temperature fitted on a validation part makes
 the scores probabilities.
 
 Fitting reads a bounded sample of labelled rows (``samples.CLASS_ROWS`` per
-label); every whole text is scored in Arrow batches without a shuffle.
+label; of a text above ``samples.SAMPLE_TEXT_BYTES`` a seeded slice); every
+whole text is scored in Arrow batches without a shuffle.
 
 Defined cases: NULL text counts as empty and gets the empty text's score;
 repeated label rows of a document count once (the larger label); without two
 labels to learn from every score is the share of label 1 (0.5 without labels);
-an empty table gives no rows; other columns are not read.
+an empty table gives no rows; other columns are not read; ids may be of any
+type with a text form.
 """
 
 from __future__ import annotations
 
-import operator
 import re
 import zlib
 from collections import Counter
@@ -45,6 +47,12 @@ EPOCHS = 60
 BATCH = 64
 CUT = 0.3
 MEMO_TOKENS = 200_000
+LAGS = (1, 2)
+FEATURES = DIMENSIONS * (2 + len(LAGS))
+# Tokens whose vectors are held at once while a long text is pooled.
+POOL_TOKENS = 1 << 14
+# The sampled ids are broadcast up to this many rows, some twenty times what two labels give.
+SAMPLE_BROADCAST_ROWS = 1 << 16
 
 
 def shape(token: str) -> str:
@@ -75,6 +83,8 @@ class Pooler:
 
     def __init__(self, types: dict[str, int], vectors: np.ndarray):
         self.types, self.vectors = types, vectors
+        # the last row is that of tokens without a type
+        self.padded = np.vstack([vectors, np.zeros((1, DIMENSIONS))])
         self.memo: dict[str, int] = {}
 
     @classmethod
@@ -94,8 +104,7 @@ class Pooler:
                 np.add.at(context, at[:-d], index[at[d:]])
         context = np.sign(context) * np.log1p(np.abs(context))
         norms = np.linalg.norm(context, axis=1, keepdims=True)
-        pooler.vectors = context / np.where(norms > 0, norms, 1)
-        return pooler
+        return cls(types, context / np.where(norms > 0, norms, 1))
 
     def ids(self, tokens: list[str]) -> np.ndarray:
         memo = self.memo
@@ -111,16 +120,18 @@ class Pooler:
         return np.fromiter(map(memo.__getitem__, tokens), np.int64, len(tokens))
 
     def features(self, text: str | None) -> np.ndarray:
-        out = np.zeros(DIMENSIONS + 3)
-        tokens = TOKENS.findall(text or "")
-        at = self.ids(tokens)
-        if len(at):
-            counts = np.bincount(at, minlength=len(self.vectors))[:len(self.vectors)]
-            out[:DIMENSIONS] = counts @ self.vectors / len(at)
-            out[DIMENSIONS] = np.count_nonzero(counts) / np.sqrt(len(at))
-            out[DIMENSIONS + 1] = np.log1p(len(at)) / 10
-            out[DIMENSIONS + 2] = sum(map(operator.eq, tokens, tokens[1:])) / len(at)
-        return out
+        """Mean, second moment and lagged products of the word vectors, pooled over the whole text."""
+        at = self.ids(TOKENS.findall(text or ""))
+        sums = np.zeros((2 + len(LAGS), DIMENSIONS))
+        for start in range(0, len(at), POOL_TOKENS):
+            own = min(start, LAGS[-1])  # rows before ``own`` were pooled with the chunk before
+            rows = self.padded[at[start - own:start + POOL_TOKENS]]
+            sums[0] += rows[own:].sum(0)
+            for i, lag in enumerate((0, *LAGS), 1):
+                first = max(own, lag)
+                if first < len(rows):
+                    sums[i] += np.einsum("ij,ij->j", rows[first:], rows[first - lag:len(rows) - lag])
+        return sums.ravel() / max(1, len(at))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -155,11 +166,15 @@ def fit_network(x: np.ndarray, y: np.ndarray, seed: int = 7) -> dict:
                 p[k] = p[k] - 0.003 * (m[k] / (1 - 0.9 ** step)) / (np.sqrt(v[k] / (1 - 0.999 ** step)) + 1e-8)
     logit = np.tanh(x[held] @ p["w1"] + p["b1"]) @ p["w2"] + p["b2"]
 
+    # Platt's targets: separable rows must not drive the temperature to zero and the scores to ties
+    ones = y[held].sum()
+    target = np.where(y[held] > 0, (ones + 1) / (ones + 2), 1 / (len(held) - ones + 2))
+
     def loss(t: float) -> float:
         q = np.clip(_sigmoid(logit / t), 1e-9, 1 - 1e-9)
-        return float(-(y[held] * np.log(q) + (1 - y[held]) * np.log(1 - q)).mean())
+        return float(-(target * np.log(q) + (1 - target) * np.log(1 - q)).mean())
 
-    p["temperature"] = min(np.geomspace(0.1, 8, 80), key=loss)
+    p["temperature"] = min(np.geomspace(0.02, 50, 160), key=loss)
     return p | {"mean": mean, "std": std}
 
 
@@ -170,14 +185,14 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, id_col: str = "
     if train is not None:
         marked = marked.filter(train)
     chosen = samples.per_class(marked, "label", id_col)
-    # about CLASS_ROWS ids per label: bounded, so the documents need no shuffle
-    rows = docs.filter(F.coalesce(F.octet_length(text_col), F.lit(0)) <= samples.SAMPLE_TEXT_BYTES) \
-        .select(id_col, F.coalesce(F.col(text_col), F.lit("")).alias("text")) \
-        .join(F.broadcast(chosen), id_col).select(id_col, "text", "label")
-    found = rows.toArrow()
-    order = np.argsort(np.array(found.column(id_col).to_pylist(), dtype=np.int64), kind="stable")
-    texts = [found.column("text")[int(i)].as_py() for i in order]
-    y = np.array(found.column("label").to_pylist(), dtype=float)[order]
+    # about CLASS_ROWS ids per label, so the documents need no shuffle while the labels are few
+    if chosen.count() <= SAMPLE_BROADCAST_ROWS:
+        chosen = F.broadcast(chosen)
+    rows = docs.select(id_col, samples.sample_text(F.col(text_col), F.col(id_col)).alias("text")) \
+        .join(chosen, id_col).select(id_col, "text", "label")
+    found = sorted(rows.toPandas().itertuples(index=False, name=None), key=lambda r: (str(r[0]), r[1]))
+    texts = [text for _, text, _ in found]
+    y = np.array([label for _, _, label in found], dtype=float)
     pooler = Pooler.fit(texts)
     if len(set(y)) < 2:
         return {"types": pooler.types, "vectors": pooler.vectors, "share": float(y.mean()) if len(y) else 0.5}
@@ -193,7 +208,7 @@ def score_texts(model: dict, pooler: Pooler, texts) -> np.ndarray:
     if "net" not in model:
         return np.full(len(texts), model["share"])
     net = model["net"]
-    x = (np.array([pooler.features(t) for t in texts]).reshape(-1, DIMENSIONS + 3) - net["mean"]) / net["std"]
+    x = (np.array([pooler.features(t) for t in texts]).reshape(-1, FEATURES) - net["mean"]) / net["std"]
     logit = np.tanh(x @ net["w1"] + net["b1"]) @ net["w2"] + net["b2"]
     return _sigmoid(logit / net["temperature"] + model["shift"])
 

@@ -43,7 +43,7 @@ def query(name: str, sql: str | None = None):
 @query("op1_language_id")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = samples.id_remainder(F.col("doc_id"), 4) == 2
+    held_out = F.coalesce(samples.id_remainder(F.col("doc_id"), 4) == 2, F.lit(False))  # a NULL id has no remainder
     model = language_id.fit(spark, docs, train=~held_out)
     return language_id.identify(spark, docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
@@ -59,7 +59,7 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_quality")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    held_out = samples.id_remainder(F.col("doc_id"), 5) == 0
+    held_out = F.coalesce(samples.id_remainder(F.col("doc_id"), 5) == 0, F.lit(False))
     model = quality.fit(spark, docs, table(spark, sf_dir, "labels"), train=~held_out)
     return quality.score(spark, docs, model).select("doc_id", held_out.alias("held_out"), "score", "predicted")
 

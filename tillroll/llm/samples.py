@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Rows a class may add to a sample (expected; see ``per_class``) and the
-# longest text a sample takes. Predictions always read whole texts.
+# Rows a class may add to a sample (expected; see ``per_class``) and the most
+# bytes a sample takes of one text. Predictions always read whole texts.
 CLASS_ROWS = 1500
 SAMPLE_TEXT_BYTES = 1 << 16
 
@@ -16,6 +16,17 @@ def id_remainder(id_col: Column, mod: int) -> Column:
     return F.crc32(id_col.cast("string").cast("binary")) % mod
 
 
+def sample_text(text: Column, id_col: Column, most: int = SAMPLE_TEXT_BYTES) -> Column:
+    """The text as a sample takes it: whole up to ``most`` bytes, else a slice at a place drawn by the id.
+
+    A code point has at most four bytes, so a slice of ``most`` / 4 of them stays within the bound.
+    """
+    text, n = F.coalesce(text, F.lit("")), most // 4
+    places = F.greatest(F.char_length(text) - F.lit(n - 1), F.lit(1))
+    start = F.coalesce(F.pmod(F.xxhash64(F.lit("slice"), id_col), places), F.lit(0)).cast("int") + 1
+    return F.when(F.octet_length(text) <= most, text).otherwise(F.substr(text, start, F.lit(n)))
+
+
 def per_class(rows: DataFrame, label: str, id_col: str, most: int = CLASS_ROWS) -> DataFrame:
     """Keep about ``most`` rows of every class, chosen by a hash of the id.
 
