@@ -1,6 +1,7 @@
 """Sharding over fixed virtual slots.
 
-Records are hashed by id into a fixed number of virtual slots. Bytes are
+Records are hashed by id and text into a fixed number of virtual slots, so
+rows that share an id, or have none, spread like any others. Bytes are
 summed per slot, and a slot-to-shard map, one row per slot, decides the shard.
 Every map is stored as a new version; rebalancing edits the last version, so
 only the slots that leave an overfull shard (or fill a new one) move.
@@ -9,8 +10,9 @@ The law is ``bytes``: shard sizes are near equal. Slots are placed largest
 first on the least loaded shard, as a fold over the array of slot sizes
 (``n_slots`` entries, whatever the size of the data).
 
-Defined cases: NULL text counts as the empty text; NULL ids share one slot;
-repeated rows each get a place of their own; an empty table gives no rows;
+Defined cases: NULL text counts as the empty text; rows of one id, or without
+an id, are dealt by their texts; repeated rows (id and text alike) share a slot
+and each get a place of their own; an empty table gives no rows;
 other columns are not read.
 """
 
@@ -39,7 +41,7 @@ def records(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + F.lit(ROW_OVERHEAD)).cast("bigint").alias("size"),
         F.crc32(text.cast("binary")).cast("bigint").alias("text_crc32"),
-        F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_slots)).cast("int").alias("virtual_slot"),
+        F.pmod(F.xxhash64(F.col(id_col), text), F.lit(n_slots)).cast("int").alias("virtual_slot"),
     )
 
 

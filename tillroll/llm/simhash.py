@@ -7,8 +7,12 @@ after that works on distinct fingerprints.
 Pivot tables: each distinct fingerprint's Hamming distances to 16 fixed
 reference fingerprints are computed once and packed, eight to a long. By the
 triangle inequality two fingerprints within 2 bits differ by at most 2 in
-every coordinate, so a pair is discarded by its largest coordinate difference
-before its real distance is computed.
+every coordinate. That discards twice. Two coordinates of a cell are part of
+the key that pairs meet by, cut into bands of five: one side enters its own
+band, the other the one or two bands within reach of its coordinate, so a pair
+too far apart never forms and a crowded cell is split over many tasks. What
+still meets is discarded by its largest coordinate difference before its real
+distance is computed.
 
 Pivot tables alone would still meet every pair. Pairs therefore meet in cells:
 of four 16-bit blocks at least two are equal if at most two bits differ, so
@@ -46,6 +50,8 @@ MAX_BITS = 2
 HASH_SEED = 42
 PIVOTS = 16
 BLOCK_BITS = 16
+# Width of a band of pivot distances; 2 * MAX_BITS + 1, so that at most two are within reach.
+BAND = 5
 KEY = "row_key"
 # Shingle hashes held at once while a long text is summed.
 CHUNK = 1 << 16
@@ -121,35 +127,56 @@ def _complete_up_to(max_bits: int) -> None:
         raise ValueError(f"the cells find all pairs up to {MAX_BITS} bits only, not {max_bits}")
 
 
-def links(table: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """Linked pairs (a < b) of distinct fingerprints within ``max_bits`` (<= 2)."""
-    _complete_up_to(max_bits)
-    mask = F.lit((1 << BLOCK_BITS) - 1).cast("bigint")
-    pairs_of_blocks = list(combinations(range(4), 2))
+_BLOCK_PAIRS = list(combinations(range(4), 2))
+
+
+def _block(fp: Column, i: int) -> Column:
+    return F.shiftrightunsigned(fp, BLOCK_BITS * i).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1).cast("bigint"))
+
+
+def meeting_rows(table: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame, DataFrame]:
+    """Both sides of the pair join: they meet by cell (no, bits) and bands (u, v) of two pivots of the cell."""
+    coords = [c for c in table.columns if c.startswith("d")]
 
-    def block(fp: Column, i: int) -> Column:
-        return F.shiftrightunsigned(fp, BLOCK_BITS * i).bitwiseAND(mask)
+    def coordinate(p: int) -> Column:
+        return _lane(F.col(f"d{p // 8}"), p % 8).cast("int")
+
+    def band(x: Column) -> Column:
+        return F.floor(x / BAND).cast("int")
+
+    def reach(x: str) -> Column:
+        return F.explode(F.sequence(band(F.col(x) - max_bits), band(F.col(x) + max_bits)))
 
     cells = F.array(*[
-        F.struct(F.lit(c).alias("no"), F.shiftleft(block(F.col("fp"), i), BLOCK_BITS).bitwiseOR(
-            block(F.col("fp"), j)).alias("bits")) for c, (i, j) in enumerate(pairs_of_blocks)])
+        F.struct(F.lit(c).alias("no"), F.shiftleft(_block(F.col("fp"), i), BLOCK_BITS).bitwiseOR(
+            _block(F.col("fp"), j)).alias("bits"), coordinate(2 * c).alias("u"), coordinate(2 * c + 1).alias("v"))
+        for c, (i, j) in enumerate(_BLOCK_PAIRS)])
+    celled = table.select("fp", *coords, F.explode(cells).alias("cell")).select("fp", *coords, "cell.*")
+    left = celled.select(F.col("fp").alias("a"), *[F.col(c).alias(f"a_{c}") for c in coords], "no", "bits",
+                         band(F.col("u")).alias("u"), band(F.col("v")).alias("v"))
+    right = celled.withColumn("b_u", reach("u")).withColumn("b_v", reach("v")).select(
+        F.col("fp").alias("b"), *[F.col(c).alias(f"b_{c}") for c in coords],
+        F.col("no").alias("b_no"), F.col("bits").alias("b_bits"), "b_u", "b_v")
+    return left, right
+
+
+def links(table: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+    """Linked pairs (a < b) of distinct fingerprints within ``max_bits`` (<= 2)."""
+    _complete_up_to(max_bits)
+    left, right = meeting_rows(table, max_bits)
     coords = [c for c in table.columns if c.startswith("d")]
-    celled = table.select("fp", *coords, F.explode(cells).alias("cell")) \
-        .select("fp", *coords, "cell.no", "cell.bits")
-    left = celled.select(F.col("fp").alias("a"), *[F.col(c).alias(f"a_{c}") for c in coords], "no", "bits")
-    right = celled.select(F.col("fp").alias("b"), *[F.col(c).alias(f"b_{c}") for c in coords],
-                          F.col("no").alias("b_no"), F.col("bits").alias("b_bits"))
     diff = F.col("a").bitwiseXOR(F.col("b"))
     # no earlier cell is common: each earlier pair of blocks differs somewhere
     first = F.lit(True)
-    for c, (i, j) in enumerate(pairs_of_blocks):
-        both = (block(diff, i) == 0) & (block(diff, j) == 0)
+    for c, (i, j) in enumerate(_BLOCK_PAIRS):
+        both = (_block(diff, i) == 0) & (_block(diff, j) == 0)
         first = first & ((F.col("no") <= c) | ~both)
     near = F.lit(True)
     for c in coords:
         for j in range(8):
             near = near & (F.abs(_lane(F.col(f"a_{c}"), j) - _lane(F.col(f"b_{c}"), j)) <= max_bits)
-    on = ((F.col("no") == F.col("b_no")) & (F.col("bits") == F.col("b_bits")) & (F.col("a") < F.col("b"))
+    on = ((F.col("no") == F.col("b_no")) & (F.col("bits") == F.col("b_bits"))
+          & (F.col("u") == F.col("b_u")) & (F.col("v") == F.col("b_v")) & (F.col("a") < F.col("b"))
           & near & (F.bit_count(diff) <= max_bits) & first)
     return left.join(right, on).select("a", "b")
 
