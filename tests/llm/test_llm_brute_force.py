@@ -568,24 +568,6 @@ def test_held_out_is_a_boolean_without_an_id(spark, tmp_path):
         assert all(r.held_out in (True, False) for r in queries.QUERIES[name](spark, str(tmp_path)).collect())
 
 
-def test_pivots_split_a_crowded_cell_before_pairs_form(spark):
-    draw = random.Random(5)
-    low = {draw.getrandbits(32) for _ in range(1500)}
-    low |= {x ^ (1 << b) for x in list(low)[:200] for b in draw.sample(range(32), 2)}
-    prints = [(7 << 32) | x for x in low]  # all in one cell of two equal blocks
-    table = simhash.pivot_table(spark.createDataFrame([(p,) for p in prints], "fp bigint")).cache()
-    left, right = simhash.meeting_rows(table)
-    keys = left.groupBy("no", "bits", "u", "v").agg(F.count("*").alias("n"))
-    other = right.groupBy("b_no", "b_bits", "b_u", "b_v").agg(F.count("*").alias("m"))
-    met = keys.join(other, (F.col("no") == F.col("b_no")) & (F.col("bits") == F.col("b_bits"))
-                    & (F.col("u") == F.col("b_u")) & (F.col("v") == F.col("b_v")))
-    assert met.agg(F.sum(F.col("n") * F.col("m"))).first()[0] < 0.6 * len(prints) ** 2  # without bands: all of them
-    assert keys.agg(F.max("n")).first()[0] < len(prints) / 4
-    got = {(r.a, r.b) for r in simhash.links(table).collect()}
-    want = {tuple(sorted((a, b))) for i, a in enumerate(prints) for b in prints[:i] if (a ^ b).bit_count() <= 2}
-    assert got == want and len(want) >= 300
-
-
 def test_sharding_spreads_rows_of_one_id_and_of_none(spark):
     rows = [(i, f"text {i} " + "x" * 300) for i in range(1200)] \
         + [(7, f"same id {i} " + "y" * 300) for i in range(1200)] + [(None, f"no id {i} " + "z" * 300) for i in range(1200)]
