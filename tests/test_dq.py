@@ -118,3 +118,16 @@ def test_pass_rate(spark):
     r = one(dq.check_pass_rate(silver.reject_accounting(bronze), "transactions", 0.95))
     assert r.status == "FAIL" and r.metric_value == 0.25
     assert r.detail == "1 clean / 4 total (3 rejected)"
+
+
+def test_results_are_stored_before_the_gate_and_runs_stay_apart(spark, tmp_path):
+    path = f"{tmp_path}/results"
+    row = "check_name string, `table` string, status string, metric_value double, threshold double, detail string"
+    good = spark.createDataFrame([("uniqueness", "a", "PASS", 1.0, 0.9, ""), ("freshness", "a", "PASS", 1.0, 2.0, "")], row)
+    bad = spark.createDataFrame([("uniqueness", "b", "FAIL", 0.5, 0.9, "x"), ("freshness", "b", "PASS", 1.0, 2.0, "")], row)
+    assert dq.enforce(dq.store_results(good, path, "2024-01-01", "r1")).count() == 2
+    with pytest.raises(dq.DQGateError, match="b.uniqueness"):
+        dq.enforce(dq.store_results(bad, path, "2024-01-02", "r2"))
+    runs = {r.run_id: (r.run_as_of, r.checks, r.failed, r.blocked)
+            for r in dq.gate_history(spark.read.parquet(path)).collect()}
+    assert runs == {"r1": ("2024-01-01", 2, 0, False), "r2": ("2024-01-02", 2, 1, True)}

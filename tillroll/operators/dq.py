@@ -196,6 +196,23 @@ def enforce(results: DataFrame) -> DataFrame:
     return results
 
 
+def store_results(results: DataFrame, path: str, run_as_of: str, run_id: str) -> DataFrame:
+    """Append one run's check results to the results table; returns them as stored.
+
+    They are written before anything is enforced, so a failed run leaves its evidence.
+    """
+    (results.withColumn("run_as_of", F.lit(run_as_of)).withColumn("run_id", F.lit(run_id))
+     .write.mode("append").parquet(path))
+    return results.sparkSession.read.parquet(path).filter(F.col("run_id") == run_id)
+
+
+def gate_history(stored: DataFrame) -> DataFrame:
+    """Q8 over the results table: per run its checks, its failed checks, and whether the gate stopped it."""
+    failed = F.count(F.when(F.col("status") == "FAIL", 1))
+    return stored.groupBy("run_id", "run_as_of").agg(
+        F.count(F.lit(1)).alias("checks"), failed.alias("failed"), (failed > 0).alias("blocked"))
+
+
 def assert_pass_rate(accounting: DataFrame, table: str, threshold: float = 0.95) -> None:
     """Q9 as an assertion before a Silver write."""
     enforce(check_pass_rate(accounting, table, threshold))

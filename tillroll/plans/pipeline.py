@@ -177,10 +177,7 @@ def run_quality_gate(spark: SparkSession, lake: str, as_of: str, *, suite_as_of:
     results = dq.silver_suite(_silver_read(spark, lake, "transactions"), read_dim_customer(spark, lake),
                               _silver_read(spark, lake, "loyalty_events"), suite_as_of or as_of,
                               freshness_days, customer_rows=_dim_bounds(spark, lake)["customers"])
-    (results.withColumn("run_as_of", F.lit(as_of)).withColumn("run_id", F.lit(run_id))
-            .write.mode("append").parquet(f"{lake}/dq_results"))
-    stored = spark.read.parquet(f"{lake}/dq_results").filter(F.col("run_id") == run_id)
-    return dq.enforce(stored)
+    return dq.enforce(dq.store_results(results, f"{lake}/dq_results", as_of, run_id))
 
 
 def _gold_order() -> dict:

@@ -398,6 +398,34 @@ def q_dq_failed(spark, sf):
     return dq.run_suite([q_dq_suite(spark, sf), _no_ts(raw)])[1]
 
 
+_SQL_RUNS = """(SELECT *, 'silver' AS run_id FROM (""" + "\nUNION ALL\n".join([
+    _SQL_COMPLETENESS, _SQL_TXN_UNIQUE, _SQL_TXN_RI, _SQL_TXN_FRESH, _SQL_CUST_UNIQUE, _SQL_LOY_RI]) + """)
+UNION ALL SELECT *, 'bronze' AS run_id FROM (""" + O.ratio_check(
+    "uniqueness", "bronze_transactions", "count(DISTINCT transaction_id)", "count(*)", 0.999,
+    " unique values for transaction_id", "raw_txn") + "))"
+
+
+def _stored_runs(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """Two runs appended to one results table: the Silver suite, and the raw feed's uniqueness."""
+    path = work_path(spark, name, fresh=True)
+    dq.store_results(_no_ts(dq.check_uniqueness(binding.raw_transactions(spark, sf), "bronze_transactions",
+                                                "transaction_id", 0.999)), path, SUITE_AS_OF, "bronze")
+    dq.store_results(q_dq_suite(spark, sf), path, SUITE_AS_OF, "silver")
+    return spark.read.parquet(path)
+
+
+@register("dq_results_stored", W(f"SELECT *, '{SUITE_AS_OF}' AS run_as_of FROM {_SQL_RUNS}"))
+def q_dq_results_stored(spark, sf):
+    return _stored_runs(spark, sf, "dq-results")
+
+
+@register("dq_gate_history", W(f"""SELECT run_id, '{SUITE_AS_OF}' AS run_as_of, count(*) AS checks,
+       count(*) FILTER (status = 'FAIL') AS failed, count(*) FILTER (status = 'FAIL') > 0 AS blocked
+FROM {_SQL_RUNS} GROUP BY run_id"""))
+def q_dq_gate_history(spark, sf):
+    return dq.gate_history(_stored_runs(spark, sf, "dq-gate"))
+
+
 @register("dq_pass_rate", W("""SELECT 'pass_rate' AS check_name, 'transactions' AS "table",
        CASE WHEN score >= 0.95 THEN 'PASS' ELSE 'FAIL' END AS status, round(score, 4) AS metric_value,
        CAST(0.95 AS DOUBLE) AS threshold,
